@@ -5,6 +5,6 @@ from agora.catalog.registry import QUERIES, SQL
 
 def load_all():
     """Import every query module; returns the queries and their SQL."""
-    from agora.catalog import star  # noqa: F401
+    from agora.catalog import raw, star, streams, tables, text  # noqa: F401
 
     return QUERIES, SQL

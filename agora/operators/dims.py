@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from agora import fixed
 from agora.functions.posts import confidence_bucket
 from agora.operators.keys import surrogate_keys
 from agora.operators.raw import insert_if_absent
+from agora.sources.local import small_table
 
 
 @dataclass(frozen=True)
@@ -23,13 +24,9 @@ class Dimensions:
     sentiment: DataFrame
 
 
-def _seed(spark: SparkSession, names: Sequence[str], rows: Iterable[tuple]) -> DataFrame:
-    # An Arrow table becomes a local relation, whose exact size lets Spark
-    # broadcast it without a hint.
+def _seed(spark: SparkSession, ddl: str, rows: Iterable[tuple]) -> DataFrame:
     numbered = [(i, *row) for i, row in enumerate(rows, start=1)]
-    columns = [pa.array([r[0] for r in numbered], pa.int32())]
-    columns += [pa.array([r[i] for r in numbered]) for i in range(1, len(names))]
-    return spark.createDataFrame(pa.table(columns, names=list(names)))
+    return small_table(spark, StructType.fromDDL(ddl), numbered)
 
 
 def dim_time(spark: SparkSession, start: str = fixed.CALENDAR_START, end: str = fixed.CALENDAR_END) -> DataFrame:
@@ -58,18 +55,18 @@ def dim_time(spark: SparkSession, start: str = fixed.CALENDAR_START, end: str =
 
 
 def dim_platform(spark: SparkSession, rows: Sequence[tuple[str, str]] = fixed.PLATFORM_ROWS) -> DataFrame:
-    return _seed(spark, ["platform_id", "platform_name", "channel"], rows)
+    return _seed(spark, "platform_id int, platform_name string, channel string", rows)
 
 
 def dim_sentiment(spark: SparkSession) -> DataFrame:
     rows = [(s, b) for s in fixed.SENTIMENT_LABELS for b in fixed.CONFIDENCE_BUCKETS]
-    return _seed(spark, ["sentiment_id", "sentiment_label", "confidence_bucket"], rows)
+    return _seed(spark, "sentiment_id int, sentiment_label string, confidence_bucket string", rows)
 
 
 def dim_topic_seed(spark: SparkSession) -> DataFrame:
     """Every label the topic rules can give, without keywords."""
     rows = [(label, category) for _, label, category in fixed.TOPIC_RULES] + [fixed.OTHER_TOPIC, fixed.NO_TOPIC]
-    seed = _seed(spark, ["topic_id", "topic_label", "topic_category"], rows)
+    seed = _seed(spark, "topic_id int, topic_label string, topic_category string", rows)
     return seed.withColumn("top_keywords", F.array().cast("array<string>"))
 
 

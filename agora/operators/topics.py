@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from agora import fixed
 from agora.functions.text import tokenize
+from agora.sources.local import small_table
+
+_TOPIC_WORDS = StructType.fromDDL("topic_no int, _words array<string>")
 
 Rule = tuple[Sequence[str], str, str]
 
@@ -58,13 +61,8 @@ def topic_table(model: TopicModel, rules: Sequence[Rule] = fixed.TOPIC_RULES, *,
     described = model.lda.describeTopics(naming)
     # k rows of a few word numbers each, whatever the corpus.
     rows, words = described.collect(), model.words.vocabulary
-    named = pa.table(
-        {
-            "topic_no": pa.array([r.topic for r in rows], pa.int32()),
-            "_words": pa.array([[words[i] for i in r.termIndices] for r in rows], pa.list_(pa.string())),
-        }
-    )
-    table = described.sparkSession.createDataFrame(named)
+    named = [(r.topic, [words[i] for i in r.termIndices]) for r in rows]
+    table = small_table(described.sparkSession, _TOPIC_WORDS, named)
     return table.select(
         "topic_no",
         label_rules(F.col("_words"), rules).alias("_l"),

@@ -20,6 +20,7 @@ from agora.operators.dims import Dimensions, default_dimensions
 from agora.plans.star import MONTHLY, summarise
 from agora.plans.views import VIEWS
 from agora.sources import tables
+from agora.sources.local import empty_table
 
 RAW_TABLES = {
     fixed.X_SOURCE: ("raw_x", schemas.RAW_X, schemas.X_COUNTS),
@@ -123,7 +124,7 @@ class Warehouse:
                 flagged = raw.mark_processed(self.raw(source).where(F.col(tables.PART).isin(parts)), done)
                 tables.overwrite_partitions(flagged, self._path(name))
         # One writer at a time: whatever is staged now has just been loaded.
-        empty = self.spark.createDataFrame([], staged.schema)
+        empty = empty_table(self.spark, staged.schema)
         empty.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(tables.PART).parquet(
             self._path("staging")
         )

@@ -19,7 +19,10 @@ from pyspark.sql.types import StringType
 from agora.functions.posts import count_from_text, time_from_title
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-_FIELDS = "link string, title string, fullname string, username string, text_content string, likes string, comments string, retweets string, quotes string"
+_FIELDS = (
+    "link string, title string, fullname string, username string, text_content string, "
+    "likes string, comments string, retweets string, quotes string"
+)
 
 # --- fixed values: class names of the page layout ----------------------------
 ITEM, LINK, DATE = "timeline-item", "tweet-link", "tweet-date"
@@ -88,8 +91,8 @@ def _read_item(item: Element) -> dict[str, str | None]:
         "text_content": _first_text(item, "div", BODY),
     }
     for field, icon in ICONS.items():
-        stats = (s for s in _with_class(item, "span", STAT) if any(_with_class(s, "span", icon)))
-        record[field] = _text(next(stats, None))
+        holders = (s for s in _with_class(item, "span", STAT) for _ in _with_class(s, "span", icon))
+        record[field] = _text(next(holders, None))
     return record
 
 

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from agora.functions.posts import partition_label
 from agora.session import work_dir
+from agora.sources.local import empty_table
 
 FIRST_YEAR, LAST_YEAR = 2023, 2026
 PART = "part"
@@ -40,7 +41,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType, by: str | Non
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], full)
+        return empty_table(spark, full)
 
 
 def _balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:

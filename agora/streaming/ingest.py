@@ -10,10 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from agora.operators.load import FACT_KEY, new_facts
+from agora.operators.raw import dedup_keep_last
 from agora.sources import tables
 
 
-def append_new(batch: DataFrame, path: str, schema: StructType, keys: Sequence[str] = FACT_KEY, grain: str = "year") -> None:
+def append_new(
+    batch: DataFrame, path: str, schema: StructType, keys: Sequence[str] = FACT_KEY, grain: str = "year"
+) -> None:
     """Append the rows of one batch the table lacks; safe to repeat.
 
     Only the partitions the batch falls in are read back.
@@ -27,6 +30,38 @@ def append_new(batch: DataFrame, path: str, schema: StructType, keys: Sequence[s
         rows.unpersist()
 
 
+def merge_latest(
+    batch: DataFrame, path: str, schema: StructType, keys: Sequence[str], arrival: Sequence[str], grain: str = "quarter"
+) -> None:
+    """Merge one batch into a table, the last capture of each key by ``arrival`` winning.
+
+    Stored rows compete with the batch, so a repeated or late batch changes
+    nothing that is newer. Only the partitions the batch falls in are rewritten.
+    """
+    rows = tables.with_partition(batch, grain).persist()
+    try:
+        touched = tables.touched_partitions(rows)
+        if touched:
+            stored = tables.read_table(batch.sparkSession, path, schema).where(F.col(tables.PART).isin(touched))
+            latest = dedup_keep_last(stored.unionByName(rows), keys, arrival)
+            tables.overwrite_partitions(latest, path)
+    finally:
+        rows.unpersist()
+
+
+def _run(rows: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    return (
+        rows.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def _files(spark: SparkSession, source: str, schema: StructType, per_batch: int) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(source)
+
+
 def stream_ingest(
     spark: SparkSession,
     source: str,
@@ -38,29 +73,42 @@ def stream_ingest(
     keys: Sequence[str] = FACT_KEY,
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Process the files that arrived since the last run, then stop.
+    """Append the posts of the files that arrived since the last run, then stop.
 
     The checkpoint remembers finished files; a batch repeated after a failure
     finds its rows already stored and adds only what is missing.
     """
-    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
-    rows = to_rows(files)
+    rows = to_rows(_files(spark, source, schema, files_per_batch))
+    return _run(rows, checkpoint, lambda batch, _: append_new(batch, out, rows.schema, keys))
 
-    def write(batch: DataFrame, _: int) -> None:
-        append_new(batch, out, rows.schema, keys)
 
-    return (
-        rows.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def stream_upsert(
+    spark: SparkSession,
+    source: str,
+    schema: StructType,
+    out: str,
+    checkpoint: str,
+    *,
+    keys: Sequence[str],
+    arrival: Sequence[str],
+    to_rows: Callable[[DataFrame], DataFrame] = lambda df: df,
+    files_per_batch: int = 1000,
+) -> StreamingQuery:
+    """Keep the last capture of each post from the files that arrived since the last run, then stop."""
+    rows = to_rows(_files(spark, source, schema, files_per_batch))
+    return _run(rows, checkpoint, lambda batch, _: merge_latest(batch, out, rows.schema, keys, arrival))
 
 
-def stream_dedup(df: DataFrame, keys: Sequence[str], time_col: str, delay: str) -> DataFrame:
+def stream_dedup(df: DataFrame, keys: Sequence[str], time_col: str, delay: str, *, spread: int = 8) -> DataFrame:
     """First capture of each key within ``delay`` of event time.
 
-    State is bounded by the watermark. Choose ``delay`` no shorter than posts
-    are captured again; batch ``dedup_keep_last`` remains the reference result.
+    Copies are dropped per slice of the input first and across slices second,
+    so a post captured over and over is not sent to one task copy by copy.
+    State is bounded by the watermark; choose ``delay`` no shorter than the
+    time after which posts are still captured again. ``stream_upsert`` keeps
+    the last capture instead and needs no watermark.
     """
-    return df.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(list(keys))
+    # Which slice a copy falls in decides nothing but the work per task.
+    sliced = df.withWatermark(time_col, delay).withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(spread)))
+    thinned = sliced.dropDuplicatesWithinWatermark([*keys, "_slice"]).drop("_slice")
+    return thinned.dropDuplicatesWithinWatermark(list(keys))
