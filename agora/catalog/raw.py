@@ -241,7 +241,7 @@ def json_pack_unpack(spark, sf):
     packed = raw.pack_extra(sample.reddit_posts(spark, sf).select("id", *fields), fields)
     unpacked = raw.unpack_extra(packed, schemas.REDDIT_EXTRA)
     props = sample.read(spark, sf, "events").select(F.col("event_id").cast("string").alias("id"), "props")
-    k = raw.unpack_extra(props, schemas.T.StructType.fromDDL("k bigint"), "props")
+    k = raw.unpack_extra(props, schemas.columns(k=schemas.T.LongType()), "props")
     counts = ["score", "upvote_count", "downvote_count"]
     return unpacked.join(k, "id").withColumns({c: F.col(c).cast("long") for c in counts})
 

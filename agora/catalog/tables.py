@@ -165,7 +165,7 @@ SELECT doc_id, round(CAST(shared AS DOUBLE) / (na + nb - shared), 9) AS similari
 )
 def trigram_similarity_(spark, sf):
     score = trigram_similarity(F.col("text"), F.lit(_NEEDLE))
-    return sample.read(spark, sf, "documents").select("doc_id", F.round(score, 9).alias("similarity"))
+    return sample.read_spread(spark, sf, "documents").select("doc_id", F.round(score, 9).alias("similarity"))
 
 
 _SEARCHES = [("the", "indonesia, economy"), ("le", "investasi"), ("der", "personalfinance,unlisted"), ("of", None)]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from agora import fixed
+from agora import fixed, schemas
 from agora.functions.posts import confidence_bucket
 from agora.operators.keys import surrogate_keys
 from agora.operators.raw import insert_if_absent
@@ -24,9 +24,9 @@ class Dimensions:
     sentiment: DataFrame
 
 
-def _seed(spark: SparkSession, ddl: str, rows: Iterable[tuple]) -> DataFrame:
+def _seed(spark: SparkSession, schema: StructType, rows: Iterable[tuple]) -> DataFrame:
     numbered = [(i, *row) for i, row in enumerate(rows, start=1)]
-    return small_table(spark, StructType.fromDDL(ddl), numbered)
+    return small_table(spark, schema, numbered)
 
 
 def dim_time(spark: SparkSession, start: str = fixed.CALENDAR_START, end: str = fixed.CALENDAR_END) -> DataFrame:
@@ -55,18 +55,18 @@ def dim_time(spark: SparkSession, start: str = fixed.CALENDAR_START, end: str =
 
 
 def dim_platform(spark: SparkSession, rows: Sequence[tuple[str, str]] = fixed.PLATFORM_ROWS) -> DataFrame:
-    return _seed(spark, "platform_id int, platform_name string, channel string", rows)
+    return _seed(spark, schemas.PLATFORM, rows)
 
 
 def dim_sentiment(spark: SparkSession) -> DataFrame:
     rows = [(s, b) for s in fixed.SENTIMENT_LABELS for b in fixed.CONFIDENCE_BUCKETS]
-    return _seed(spark, "sentiment_id int, sentiment_label string, confidence_bucket string", rows)
+    return _seed(spark, schemas.SENTIMENT, rows)
 
 
 def dim_topic_seed(spark: SparkSession) -> DataFrame:
     """Every label the topic rules can give, without keywords."""
     rows = [(label, category) for _, label, category in fixed.TOPIC_RULES] + [fixed.OTHER_TOPIC, fixed.NO_TOPIC]
-    seed = _seed(spark, "topic_id int, topic_label string, topic_category string", rows)
+    seed = _seed(spark, schemas.TOPIC, rows)
     return seed.withColumn("top_keywords", F.array().cast("array<string>"))
 
 

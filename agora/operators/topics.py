@@ -10,13 +10,12 @@ from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from agora import fixed
+from agora import fixed, schemas
 from agora.functions.text import tokenize
 from agora.sources.local import small_table
 
-_TOPIC_WORDS = StructType.fromDDL("topic_no int, _words array<string>")
+_TOPIC_WORDS = schemas.columns(topic_no=schemas.INT, _words=schemas.WORDS)
 
 Rule = tuple[Sequence[str], str, str]
 

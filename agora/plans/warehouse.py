@@ -27,9 +27,6 @@ RAW_TABLES = {
     fixed.REDDIT_SOURCE: ("raw_reddit", schemas.RAW_REDDIT, schemas.REDDIT_COUNTS),
 }
 POST_KEY = ["source_type", "id", "posted_at"]
-REJECTS = schemas.T.StructType.fromDDL(
-    "source_type string, source_id string, posted_at timestamp, channel string, reject_reason string"
-)
 
 # Adds columns to a frame of cleaned posts (processed_text).
 Step = Callable[[DataFrame], DataFrame]
@@ -59,7 +56,7 @@ class Warehouse:
         return tables.read_table(self.spark, self._path("fact_post"), schemas.FACT)
 
     def rejected(self) -> DataFrame:
-        return tables.read_table(self.spark, self._path("rejects"), REJECTS)
+        return tables.read_table(self.spark, self._path("rejects"), schemas.REJECT)
 
     def view(self, name: str) -> DataFrame:
         return self.spark.table(name)

@@ -4,51 +4,63 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+STRING, INT, TIME, FLAG = T.StringType(), T.IntegerType(), T.TimestampType(), T.BooleanType()
+WORDS, SCORE = T.ArrayType(T.StringType()), T.DecimalType(6, 5)
 
-def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
 
+def columns(**kinds: T.DataType) -> T.StructType:
+    """A schema from name=type pairs, in the order given."""
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
 
-RAW_X = _schema(
-    "id string, fullname string, username string, text_content string, posted_at timestamp, "
-    "like_count int, comment_count int, retweet_count int, quote_count int, "
-    "scraped_at timestamp, is_processed boolean"
+
+RAW_X = columns(
+    id=STRING, fullname=STRING, username=STRING, text_content=STRING, posted_at=TIME,
+    like_count=INT, comment_count=INT, retweet_count=INT, quote_count=INT,
+    scraped_at=TIME, is_processed=FLAG,
 )
-RAW_REDDIT = _schema(
-    "id string, username string, text_content string, subreddit string, posted_at timestamp, "
-    "score int, upvote_count int, downvote_count int, permalink string, "
-    "scraped_at timestamp, is_processed boolean"
+RAW_REDDIT = columns(
+    id=STRING, username=STRING, text_content=STRING, subreddit=STRING, posted_at=TIME,
+    score=INT, upvote_count=INT, downvote_count=INT, permalink=STRING,
+    scraped_at=TIME, is_processed=FLAG,
 )
 X_COUNTS = ["like_count", "comment_count", "retweet_count", "quote_count"]
 REDDIT_COUNTS = ["score", "upvote_count", "downvote_count"]
 
-STAGED = _schema(
-    "id string, source_type string, text_content string, processed_text string, posted_at timestamp, "
-    "sentiment_label string, sentiment_score decimal(6,5), topic_label string, topic_category string, "
-    "top_keywords array<string>, "
-    "comment_count int, like_count int, retweet_count int, quote_count int, subreddit string, "
-    "username string, score int, upvote_count int, downvote_count int, permalink string"
+STAGED = columns(
+    id=STRING, source_type=STRING, text_content=STRING, processed_text=STRING, posted_at=TIME,
+    sentiment_label=STRING, sentiment_score=SCORE, topic_label=STRING, topic_category=STRING, top_keywords=WORDS,
+    comment_count=INT, like_count=INT, retweet_count=INT, quote_count=INT, subreddit=STRING, username=STRING,
+    score=INT, upvote_count=INT, downvote_count=INT, permalink=STRING,
 )
-FACT = _schema(
-    "source_id string, source_url string, time_id int, platform_id int, topic_id int, sentiment_id int, "
-    "like_count int, comment_count int, quote_count int, retweet_count int, upvote_count int, "
-    "downvote_count int, sentiment_score decimal(6,5), engagement_tier string, posted_at timestamp, "
-    "loaded_at timestamp"
+FACT = columns(
+    source_id=STRING, source_url=STRING, time_id=INT, platform_id=INT, topic_id=INT, sentiment_id=INT,
+    like_count=INT, comment_count=INT, quote_count=INT, retweet_count=INT, upvote_count=INT, downvote_count=INT,
+    sentiment_score=SCORE, engagement_tier=STRING, posted_at=TIME, loaded_at=TIME,
 )
-APP_CONFIG = _schema("key string, value string, created_at timestamp")
+REJECT = columns(source_type=STRING, source_id=STRING, posted_at=TIME, channel=STRING, reject_reason=STRING)
+APP_CONFIG = columns(key=STRING, value=STRING, created_at=TIME)
+
+# Dimensions whose rows are written out in code.
+PLATFORM = columns(platform_id=INT, platform_name=STRING, channel=STRING)
+TOPIC = columns(topic_id=INT, topic_label=STRING, topic_category=STRING)
+SENTIMENT = columns(sentiment_id=INT, sentiment_label=STRING, confidence_bucket=STRING)
 
 # Platform-specific fields carried beside a pending row.
-X_EXTRA = _schema("username string, like_count int, retweet_count int, comment_count int, quote_count int")
-REDDIT_EXTRA = _schema(
-    "username string, subreddit string, upvote_count int, downvote_count int, score int, permalink string"
+X_EXTRA = columns(username=STRING, like_count=INT, retweet_count=INT, comment_count=INT, quote_count=INT)
+REDDIT_EXTRA = columns(
+    username=STRING, subreddit=STRING, upvote_count=INT, downvote_count=INT, score=INT, permalink=STRING
 )
 
 # One JSON search response. created_utc is read as text: providers send it
 # both as a number and as a quoted number.
-JSON_RESPONSE = _schema(
-    "data array<struct<id: string, author: string, selftext: string, body: string, subreddit: string, "
-    "created_utc: string, score: int, ups: int, downs: int, permalink: string>>"
+JSON_RESPONSE = columns(
+    data=T.ArrayType(
+        columns(
+            id=STRING, author=STRING, selftext=STRING, body=STRING, subreddit=STRING,
+            created_utc=STRING, score=INT, ups=INT, downs=INT, permalink=STRING,
+        )
+    )
 )
 
-# One search of the scrape configuration; channel is X_global or r/<name>.
-SEARCH = _schema("query string, subreddit string")
+# One search of the scrape configuration; subreddit may list several, by commas.
+SEARCH = columns(query=STRING, subreddit=STRING)

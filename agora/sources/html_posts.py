@@ -1,14 +1,15 @@
 """Posts from fetched HTML search pages.
 
-Spark has no HTML reader, so pages are read in Arrow batches: a small tree
-reader finds the raw text of each field, and native expressions turn the texts
+Spark has no HTML reader, so pages are read in Arrow batches: a small helper
+finds the raw text of each field, and native expressions turn the texts
 into typed columns.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 from xml.etree.ElementTree import Element, SubElement
 
 import pandas as pd
@@ -31,41 +32,40 @@ ICONS = {"likes": "icon-heart", "comments": "icon-comment", "retweets": "icon-re
 MORE = "show-more"
 
 
-class _Tree(HTMLParser):
-    """Builds an element tree; stray end tags are ignored, open tags closed by their parent."""
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.root = Element("page")
-        self.open = [self.root]
-
-    def handle_starttag(self, tag, attrs):
-        node = SubElement(self.open[-1], tag, {k: v or "" for k, v in attrs})
-        if tag not in _VOID:
-            self.open.append(node)
-
-    def handle_startendtag(self, tag, attrs):
-        SubElement(self.open[-1], tag, {k: v or "" for k, v in attrs})
-
-    def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                del self.open[depth:]
-                break
-
-    def handle_data(self, data):
-        parent = self.open[-1]
-        if len(parent):
-            parent[-1].tail = (parent[-1].tail or "") + data
-        else:
-            parent.text = (parent.text or "") + data
+_TOKEN = re.compile(
+    r"<!--.*?-->|<(?P<raw>script|style)\b.*?</(?P=raw)\s*>|<[!?][^>]*>"
+    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|(?P<text>[^<]+|<)",
+    re.IGNORECASE | re.DOTALL,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 
 
 def _tree(page: str) -> Element:
-    reader = _Tree()
-    reader.feed(page)
-    reader.close()
-    return reader.root
+    """The element tree of a page. Stray end tags are ignored, and what is still
+    open inside an element closes with it."""
+    root = Element("page")
+    stack = [root]
+    for token in _TOKEN.finditer(page):
+        if (text := token["text"]) is not None:
+            parent = stack[-1]
+            text = unescape(text) if "&" in text else text
+            if len(parent):
+                parent[-1].tail = (parent[-1].tail or "") + text
+            else:
+                parent.text = (parent.text or "") + text
+        elif (tag := token["tag"]) is not None:
+            tag = tag.lower()
+            if not token["end"]:
+                attrs = {k.lower(): unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(token["attrs"])}
+                node = SubElement(stack[-1], tag, attrs)
+                if tag not in _VOID and not token["attrs"].endswith("/"):
+                    stack.append(node)
+            else:
+                depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), None)
+                if depth:
+                    del stack[depth:]
+    return root
 
 
 def _with_class(node: Element, tag: str, name: str) -> Iterator[Element]:
