@@ -205,8 +205,8 @@ def clean_text(
 ) -> DataFrame:
     """Run every cleaning step, in this fixed order, into ``out_col``.
 
-    One projection per step keeps each intermediate text a plain column, so
-    steps that look at it twice do not recompute the steps before.
+    One projection per step keeps intermediate texts plain columns, so that
+    native steps that look at a text twice do not repeat the steps before.
     """
     # Joining the tokens leaves blanks only, as long as the slang values hold no
     # other white space, so the last step rarely has to touch a text.
