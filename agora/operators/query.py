@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 from typing import Any
@@ -83,6 +84,12 @@ def single_row(df: DataFrame) -> Row:
     return rows[0]
 
 
+def setting(config: DataFrame, key: str, default: Any = None) -> Any:
+    """One configuration value, read from its JSON; ``default`` if the key is absent or empty."""
+    rows = config.where(F.col("key") == key).select("value").limit(1).collect()
+    return default if not rows or rows[0].value is None else json.loads(rows[0].value)
+
+
 def page_with_total(
     df: DataFrame, order: Sequence[tuple[str, bool]], limit: int, offset: int = 0, name: str = "total_count"
 ) -> DataFrame:
@@ -117,10 +124,14 @@ def embed_related(
     keys, part = list(on), f"{name}_part"
     sizes = child.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("_parts"))
     numbered = child.join(sizes, keys).withColumn(part, F.pmod(F.xxhash64(*child_key), F.col("_parts")).cast("int"))
-    grouped = numbered.groupBy(*keys, part).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
-    empty = F.array().cast(grouped.schema[name].dataType)
-    return (
-        parent.join(grouped, keys, "left")
-        .withColumn(part, F.coalesce(F.col(part), F.lit(0)))
-        .withColumn(name, F.coalesce(F.col(name), empty))
+    # Without the explicit repartition Spark would group inside the join's own
+    # partitioning, which keeps a large family in one task.
+    spread = numbered.repartition(*keys, part)
+    grouped = spread.groupBy(*keys, part).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
+    # Two joins instead of one outer join: AQE can split the parts of a large
+    # family in an inner join, but not on the optional side of an outer one.
+    families = parent.join(grouped, keys)
+    childless = parent.join(sizes, keys, "left_anti").select(
+        "*", F.lit(0).alias(part), F.array().cast(grouped.schema[name].dataType).alias(name)
     )
+    return families.unionByName(childless)

@@ -110,17 +110,10 @@ def insert_if_absent(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -
     return existing.unionByName(absent, allowMissingColumns=True)
 
 
-def time_window_filter(df: DataFrame, since: str, until: str, *, year_col: str | None = None) -> DataFrame:
-    """Posts with ``since <= posted_at < until``.
-
-    On a table partitioned by year, name its column: Spark prunes partitions by
-    filters on partition columns only, not by ``posted_at``.
-    """
-    out = df.where((F.col("posted_at") >= F.lit(since).cast("timestamp")) & (F.col("posted_at") < F.lit(until).cast("timestamp")))
-    if year_col:
-        first, last = int(since[:4]), int(until[:4])
-        out = out.where(F.col(year_col).between(first, last))
-    return out
+def time_window_filter(df: DataFrame, since: str, until: str) -> DataFrame:
+    """Posts with ``since <= posted_at < until``; stored tables use ``tables.read_window``."""
+    at = F.col("posted_at")
+    return df.where((at >= F.lit(since).cast("timestamp")) & (at < F.lit(until).cast("timestamp")))
 
 
 def get_unprocessed(df: DataFrame, platform: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agora import fixed
+from agora import fixed, schemas
 from agora.functions.text import trigram_similarity
 
 
@@ -20,6 +20,13 @@ def similar_texts(df: DataFrame, column: str, needle: str, threshold: float = 0.
     return scored.where(F.col("similarity") >= threshold)
 
 
+def searches_from_config(config: DataFrame, key: str = "scrape-config") -> DataFrame:
+    """The searches stored as JSON under one key of the configuration table."""
+    listed = config.where(F.col("key") == key).select(F.from_json("value", schemas.SEARCH_CONFIG).alias("c"))
+    every = F.concat(F.coalesce("c.nitter", F.array()), F.coalesce("c.reddit", F.array()))
+    return listed.select(F.inline(every))
+
+
 def search_channels(searches: DataFrame) -> DataFrame:
     """One row per (query, channel): comma-separated subreddits are split, none means X."""
     names = F.coalesce(F.split("subreddit", ","), F.array(F.lit(None).cast("string")))

@@ -17,6 +17,7 @@ from agora import fixed, schemas
 from agora.functions.text import clean_text
 from agora.operators import load, raw
 from agora.operators.dims import Dimensions, default_dimensions
+from agora.operators.query import setting
 from agora.plans.star import MONTHLY, summarise
 from agora.plans.views import VIEWS
 from agora.sources import tables
@@ -95,19 +96,22 @@ class Warehouse:
         )
         tables.append_table(tables.with_partition(out, "quarter"), self._path("staging"))
 
-    def load(self) -> None:
+    def load(self) -> int:
         """Turn staged posts into facts, keep what cannot be resolved as rejects, then clear staging.
 
         Every write skips rows already there, so a run that died halfway is
-        finished by running again.
+        finished by running again. Returns the number of new facts.
         """
         staged = self.staged()
         resolved = load.resolve_keys(staged, self.dims)
         years = tables.with_partition(load.accepted(resolved), "year")
         touched = tables.touched_partitions(tables.with_partition(staged.select("posted_at"), "year"))
         facts = self.facts().where(F.col(tables.PART).isin(touched))
-        fresh = load.new_facts(facts, years).withColumn("loaded_at", F.current_timestamp())
+        now = F.lit(datetime.now(timezone.utc))
+        fresh = load.new_facts(facts, years).withColumn("loaded_at", now)
         tables.append_table(fresh, self._path("fact_post"))
+        stored = self.facts().where(F.col(tables.PART).isin(touched))
+        loaded = stored.where(F.col("loaded_at") == now).count()
 
         key = ["source_type", "source_id", "posted_at"]
         refused = tables.with_partition(load.rejects(resolved), "year")
@@ -125,6 +129,21 @@ class Warehouse:
         empty.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(tables.PART).parquet(
             self._path("staging")
         )
+        return loaded
+
+    def load_and_refresh(self) -> int:
+        """Load, then rebuild the views if anything was loaded."""
+        loaded = self.load()
+        if loaded:
+            self.refresh_views()
+        return loaded
+
+    def cleaning_options(self, config: DataFrame) -> dict:
+        """Word lists of the cleaner as the configuration table states them, else the defaults."""
+        return {
+            "dropped_hashtags": setting(config, "unnecessary-hashtags", fixed.DROPPED_HASHTAGS),
+            "slang": setting(config, "slang-mapping", fixed.SLANG),
+        }
 
     def refresh_views(self, years: list[int] | None = None, version: str | None = None) -> dict[str, str]:
         """Rebuild the four views in a new version folder and repoint their names.

@@ -64,3 +64,4 @@ JSON_RESPONSE = columns(
 
 # One search of the scrape configuration; subreddit may list several, by commas.
 SEARCH = columns(query=STRING, subreddit=STRING)
+SEARCH_CONFIG = columns(nitter=T.ArrayType(SEARCH), reddit=T.ArrayType(SEARCH))

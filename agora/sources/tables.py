@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from agora.functions.posts import partition_label
+from agora.functions.posts import partition_label, window_partitions
+from agora.operators.raw import time_window_filter
 from agora.session import work_dir
 from agora.sources.local import empty_table
 
@@ -44,6 +45,25 @@ def read_table(spark: SparkSession, path: str, schema: StructType, by: str | Non
         return empty_table(spark, full)
 
 
+def read_window(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    since: str,
+    until: str,
+    grain: str,
+    first_year: int = FIRST_YEAR,
+    last_year: int = LAST_YEAR,
+) -> DataFrame:
+    """Posts of ``[since, until)`` from a stored table, reading only their partitions.
+
+    Spark prunes by filters on the partition column, not by ``posted_at``, so
+    the window is stated for both.
+    """
+    parts = window_partitions(since, until, grain, first_year, last_year)
+    return time_window_filter(read_table(spark, path, schema).where(F.col(PART).isin(parts)), since, until)
+
+
 def _balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
     # Rows meet by partition, so each gets few files; AQE splits a partition
     # that holds a large share of the rows and merges small ones.

@@ -4,7 +4,6 @@ import pytest
 
 import __spark_entry__ as entry
 from agora.functions.text import clean_text
-from agora.operators import raw
 from agora.operators.query import query
 from agora.session import work_dir
 from agora.sources import sample_posts as sample
@@ -39,13 +38,14 @@ def test_views_read_no_text_and_join_dimensions_without_shuffling_facts(spark, s
 
 def test_year_filter_prunes_partitions(spark):
     path = work_dir(spark, "years")
-    df = spark.createDataFrame([("a", "2023-05-01"), ("b", "2024-05-01")], "id string, p string").selectExpr(
+    df = spark.createDataFrame(
+        [("a", "2023-05-01"), ("b", "2024-05-01"), ("c", "2030-01-01")], "id string, p string"
+    ).selectExpr(
         "id", "to_timestamp(p) AS posted_at"
     )
     tables.append_table(tables.with_partition(df, "year"), path)
-    stored = tables.read_table(spark, path, df.schema)
-    out = raw.time_window_filter(stored, "2024-01-01", "2025-01-01", year_col="part")
-    assert "PartitionFilters: [isnotnull(part" in plan(out) and [r.id for r in out.collect()] == ["b"]
+    out = tables.read_window(spark, path, df.schema, "2024-01-01", "2025-01-01", "year")
+    assert "PartitionFilters: [part" in plan(out) and "2024" in plan(out) and [r.id for r in out.collect()] == ["b"]
 
 
 def test_hot_keys_are_reduced_before_the_shuffle(spark, sf_dir):

@@ -96,6 +96,15 @@ def test_search_channels(spark):
     assert got == {("bbm", "r/indonesia"), ("bbm", "r/economy"), ("umr", "X_global")}
 
 
+def test_searches_from_config(spark):
+    value = '{"nitter": [{"query": "umr", "depth": 2}], "reddit": [{"query": "bbm", "subreddit": "economy"}]}'
+    config = spark.createDataFrame([("scrape-config", value, None), ("other", "1", None)], schemas.APP_CONFIG)
+    got = {tuple(r) for r in search.searches_from_config(config).collect()}
+    assert got == {("umr", None), ("bbm", "economy")}
+    only = config.select("key", F.lit('{"reddit": [{"query": "x"}]}').alias("value"))
+    assert [tuple(r) for r in search.searches_from_config(only).collect()] == [("x", None)]
+
+
 def test_text_search_is_literal(spark):
     df = spark.createDataFrame([(1, "Naik 100% hari ini"), (2, "naik 1000"), (3, None)], "id int, t string")
     assert ids(search.text_search(df, "t", "NAIK 100%")) == [1]

@@ -99,14 +99,19 @@ def test_load_finishes_what_a_dead_run_left(house, spark):
     assert house.staged().count() == 5
     staged = house.staged().persist()
     staged.count()
-    house.load()
+    assert house.load() == 3
     # The run died before staging was cleared: its rows are staged again.
     tables.append_table(staged, house._path("staging"))
     staged.unpersist()
-    house.load()
+    assert house.load_and_refresh() == 0
     assert (house.facts().count(), house.rejected().count(), house.staged().count()) == (3, 2, 0)
 
 
+def test_cleaning_options(house, spark):
+    config = spark.createDataFrame([("slang-mapping", '{"x": "y"}'), ("unnecessary-hashtags", None)], "key string, value string")
+    assert house.cleaning_options(config) == {"slang": {"x": "y"}, "dropped_hashtags": fixed.DROPPED_HASHTAGS}
+
+
 def test_overwrite_touches_only_its_partitions(spark):
     path = work_dir(spark, "parts")
     df = spark.createDataFrame([("a", "2023", 1), ("b", "2024", 2)], "k string, part string, v int")
