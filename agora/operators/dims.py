@@ -36,7 +36,7 @@ def dim_time(spark: SparkSession, start: str = fixed.CALENDAR_START, end: str =
     day = F.col("full_date")
     iso_day = F.extract(F.lit("dayofweek_iso"), day).cast("int")
     return (
-        spark.range(1)
+        spark.range(0, 1, 1, 1)
         .select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("full_date"))
         .select(
             (F.datediff(day, first) + 1).cast("int").alias("time_id"),

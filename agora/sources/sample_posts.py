@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from agora import fixed
 from agora.functions.posts import channel
 from agora.operators.raw import union_platforms
+from agora.schemas import INT, STRING, columns
 
 SUBREDDITS = {
     "click": "indonesia",
@@ -18,9 +20,34 @@ SUBREDDITS = {
 }
 TOPIC_OF_LANGUAGE = {"en": "Inflasi & Harga", "fr": "Energi", "de": "Moneter & Kurs"}
 
+_LONG, _DOUBLE, _NTZ = T.LongType(), T.DoubleType(), T.TimestampNTZType()
+
+# Declared, so that opening a table starts no job to look at its files.
+TABLES = {
+    "customer": columns(
+        c_custkey=_LONG, c_name=STRING, c_nationkey=INT, c_acctbal=_DOUBLE, c_mktsegment=STRING
+    ),
+    "orders": columns(
+        o_orderkey=_LONG, o_custkey=_LONG, o_orderstatus=STRING, o_totalprice=_DOUBLE, o_orderdate=_NTZ,
+        o_orderpriority=STRING,
+    ),
+    "lineitem": columns(
+        l_orderkey=_LONG, l_partkey=_LONG, l_suppkey=_LONG, l_linenumber=INT, l_quantity=_DOUBLE,
+        l_extendedprice=_DOUBLE, l_discount=_DOUBLE, l_tax=_DOUBLE, l_returnflag=STRING, l_linestatus=STRING,
+        l_shipdate=_NTZ,
+    ),
+    "events": columns(
+        event_id=_LONG, ts=_NTZ, user_id=_LONG, event_type=STRING, value=_DOUBLE, props=STRING
+    ),
+    "documents": columns(doc_id=_LONG, text=STRING, lang=STRING, source=STRING, n_chars=_LONG),
+    "labels": columns(doc_id=_LONG, quality=INT, toxic=INT),
+    "pages": columns(page_id=_LONG, url=STRING, html=STRING),
+    "conversations": columns(conv_id=_LONG, turn=_LONG, role=STRING, text=STRING),
+}
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -37,76 +64,73 @@ def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(read(spark, sf_dir, name))
 
 
-def _pick(value, table: dict, default: str | None = None):
-    out = F.lit(default)
-    for key, name in table.items():
-        out = F.when(value == key, name).otherwise(out)
-    return out
+def _case(subject: str, table: dict[str, str], default: str | None = None) -> str:
+    whens = " ".join(f"WHEN '{key}' THEN '{name}'" for key, name in table.items())
+    return f"CASE {subject} {whens}" + (f" ELSE '{default}' END" if default else " END")
 
 
-def _document_count(spark: SparkSession, sf_dir: str):
-    return read(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("n")).scalar()
+def _with_doc_id(spark: SparkSession, sf_dir: str, df: DataFrame, key: str) -> DataFrame:
+    """Assign a document to each post: documents are numbered from 0 without gaps."""
+    documents = read(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("n")).scalar()
+    return df.withColumn("doc_id", F.col(key).cast("long") % documents)
 
 
 def x_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X posts, from ``orders``."""
-    key, quiet = F.col("o_orderkey"), F.col("o_orderkey") % 10 == 0
-    unless_quiet = lambda c: F.when(quiet, 0).otherwise(c).cast("int")
-    return read(spark, sf_dir, "orders").select(
-        key.cast("string").alias("id"),
-        F.concat(F.lit("user_"), F.col("o_custkey").cast("string")).alias("username"),
-        (F.col("o_orderdate").cast("timestamp") + F.expr("interval '336' month")).alias("posted_at"),
-        unless_quiet(F.floor("o_totalprice") % 2000).alias("like_count"),
-        unless_quiet(F.col("o_custkey") % 50).alias("retweet_count"),
-        unless_quiet(key % 7).alias("comment_count"),
-        (key % 3).cast("int").alias("quote_count"),
-        F.lit(0).alias("upvote_count"),
-        F.lit(0).alias("downvote_count"),
-        (key % _document_count(spark, sf_dir)).alias("doc_id"),
+    """X posts, from ``orders``; every tenth draws no interaction."""
+    posts = read(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_orderkey AS string) AS id",
+        "concat('user_', o_custkey) AS username",
+        "CAST(o_orderdate AS timestamp) + INTERVAL '336' MONTH AS posted_at",
+        "CAST(if(o_orderkey % 10 = 0, 0, floor(o_totalprice) % 2000) AS int) AS like_count",
+        "CAST(if(o_orderkey % 10 = 0, 0, o_custkey % 50) AS int) AS retweet_count",
+        "CAST(if(o_orderkey % 10 = 0, 0, o_orderkey % 7) AS int) AS comment_count",
+        "CAST(o_orderkey % 3 AS int) AS quote_count",
+        "0 AS upvote_count",
+        "0 AS downvote_count",
     )
+    return _with_doc_id(spark, sf_dir, posts, "id")
 
 
 def reddit_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reddit posts, from ``events``."""
-    key = F.col("event_id")
-    subreddit = _pick(F.col("event_type"), SUBREDDITS)
-    up, down = F.floor("value").cast("int"), F.floor(F.col("value") / 4).cast("int")
-    return read(spark, sf_dir, "events").select(
-        key.cast("string").alias("id"),
-        F.concat(F.lit("u_"), F.col("user_id").cast("string")).alias("username"),
-        F.col("ts").cast("timestamp").alias("posted_at"),
-        subreddit.alias("subreddit"),
-        up.alias("upvote_count"),
-        down.alias("downvote_count"),
-        (up - down).alias("score"),
-        F.lit(0).alias("like_count"),
-        F.lit(0).alias("retweet_count"),
-        F.lit(0).alias("comment_count"),
-        F.lit(0).alias("quote_count"),
-        F.concat(F.lit("/r/"), subreddit, F.lit("/comments/"), key.cast("string")).alias("permalink"),
-        (key % _document_count(spark, sf_dir)).alias("doc_id"),
+    events = read(spark, sf_dir, "events").selectExpr(
+        "CAST(event_id AS string) AS id",
+        "user_id",
+        "ts",
+        f"{_case('event_type', SUBREDDITS)} AS subreddit",
+        "CAST(floor(value) AS int) AS up",
+        "CAST(floor(value / 4) AS int) AS down",
     )
+    posts = events.selectExpr(
+        "id",
+        "concat('u_', user_id) AS username",
+        "CAST(ts AS timestamp) AS posted_at",
+        "subreddit",
+        "up AS upvote_count",
+        "down AS downvote_count",
+        "up - down AS score",
+        "0 AS like_count",
+        "0 AS retweet_count",
+        "0 AS comment_count",
+        "0 AS quote_count",
+        "concat('/r/', subreddit, '/comments/', id) AS permalink",
+    )
+    return _with_doc_id(spark, sf_dir, posts, "id")
 
 
 def document_scores(spark: SparkSession, sf_dir: str, *, text: bool = False) -> DataFrame:
     """Per document: stand-in sentiment and topic, and the text where asked for."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", *(["text"] if text else []))
-    labels = read(spark, sf_dir, "labels")
-    label = (
-        F.when(F.col("toxic") == 1, "negative")
-        .when(F.col("quality") == 1, "positive")
-        .when(F.col("toxic").isNotNull(), "neutral")
-    )
-    topic = _pick(F.col("lang"), TOPIC_OF_LANGUAGE, fixed.OTHER_TOPIC[0])
     categories = {name: category for _, name, category in fixed.TOPIC_RULES}
-    score = ((3333 + (F.col("doc_id") * 37) % 6667) / 10000.0).cast("decimal(6,5)")
-    return docs.join(labels, "doc_id", "left").select(
+    topic_categories = {lang: categories[topic] for lang, topic in TOPIC_OF_LANGUAGE.items()}
+    docs = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left")
+    return docs.selectExpr(
         "doc_id",
-        label.alias("sentiment_label"),
-        score.alias("sentiment_score"),
-        topic.alias("topic_label"),
-        _pick(topic, {t: categories[t] for t in TOPIC_OF_LANGUAGE.values()}, fixed.OTHER_TOPIC[1]).alias("topic_category"),
-        *([F.col("text").alias("text_content")] if text else []),
+        "CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive' WHEN toxic IS NOT NULL THEN 'neutral' END"
+        " AS sentiment_label",
+        "CAST((3333 + doc_id * 37 % 6667) / 10000 AS decimal(6,5)) AS sentiment_score",
+        f"{_case('lang', TOPIC_OF_LANGUAGE, fixed.OTHER_TOPIC[0])} AS topic_label",
+        f"{_case('lang', topic_categories, fixed.OTHER_TOPIC[1])} AS topic_category",
+        *(["text AS text_content"] if text else []),
     )
 
 
