@@ -66,11 +66,27 @@ def nfkc(text: Column) -> Column:
     return F.coalesce(_nfkc(F.when(text.rlike(f"[{fixed.NFKC_CHANGES}]"), text)), text)
 
 
+def _any_tld(tlds: Sequence[str]) -> str:
+    """Alternatives for the given TLDs, short enough for a list of thousands.
+
+    What follows a TLD is matched up to the next white space, so 'com' adds
+    nothing to 'co'. The rest is grouped by first letter.
+    """
+    kept: list[str] = []
+    for name in sorted(set(tlds)):
+        if not kept or not name.startswith(kept[-1]):
+            kept.append(name)
+    if not kept or not kept[0]:
+        raise ValueError("without a TLD every text holding a dot would match")
+    by_letter: dict[str, list[str]] = {}
+    for name in kept:
+        by_letter.setdefault(name[0], []).append(re.escape(name[1:]))
+    return "|".join(f"{re.escape(letter)}(?:{'|'.join(rest)})" for letter, rest in by_letter.items())
+
+
 def url_pattern(tlds: Sequence[str]) -> str:
     """Regular expression for links and bare domains below the given TLDs."""
-    if not tlds:
-        raise ValueError("an empty TLD list would match every text holding a dot")
-    names = "|".join(re.escape(t) for t in tlds)
+    names = _any_tld(tlds)
     run = r"[\p{L}\p{N}_.-]"
     # A bare domain is only tried from the start of its run of characters: a
     # later start can match nothing the first start did not, and trying each
@@ -81,8 +97,7 @@ def url_pattern(tlds: Sequence[str]) -> str:
 def strip_urls(text: Column, tlds: Sequence[str] = fixed.COMMON_TLDS) -> Column:
     pattern = url_pattern(tlds)
     # Every match holds one of these; few texts do, and looking for them is cheap.
-    names = "|".join(re.escape(t) for t in tlds)
-    suspect = text.rlike(rf"://|www\.|\.(?:{names})")
+    suspect = text.rlike(rf"://|www\.|\.(?:{_any_tld(tlds)})")
     return F.when(suspect, F.regexp_replace(text, pattern, "")).otherwise(text)
 
 

@@ -31,6 +31,8 @@ def local_session(cores: int | str = "*", app: str = "agora", memory: str = "8g"
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
+        # Recording the Python line of every column call costs more than small queries.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
     )
     for key, value in SETTINGS.items():

@@ -32,10 +32,10 @@ ICONS = {"likes": "icon-heart", "comments": "icon-comment", "retweets": "icon-re
 MORE = "show-more"
 
 
+# Groups: raw-text element, closing slash, tag name, attributes, text.
 _TOKEN = re.compile(
-    r"<!--.*?-->|<(?P<raw>script|style)\b.*?</(?P=raw)\s*>|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|(?P<text>[^<]+|<)",
+    r"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[!?][^>]*>"
+    r"|<(/?)([a-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|([^<]+|<)",
     re.IGNORECASE | re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
@@ -46,25 +46,25 @@ def _tree(page: str) -> Element:
     open inside an element closes with it."""
     root = Element("page")
     stack = [root]
-    for token in _TOKEN.finditer(page):
-        if (text := token["text"]) is not None:
-            parent = stack[-1]
+    for _, closing, tag, attrs, text in _TOKEN.findall(page):
+        parent = stack[-1]
+        if text:
             text = unescape(text) if "&" in text else text
             if len(parent):
                 parent[-1].tail = (parent[-1].tail or "") + text
             else:
                 parent.text = (parent.text or "") + text
-        elif (tag := token["tag"]) is not None:
+        elif closing:
             tag = tag.lower()
-            if not token["end"]:
-                attrs = {k.lower(): unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(token["attrs"])}
-                node = SubElement(stack[-1], tag, attrs)
-                if tag not in _VOID and not token["attrs"].endswith("/"):
-                    stack.append(node)
-            else:
-                depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), None)
-                if depth:
-                    del stack[depth:]
+            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), None)
+            if depth:
+                del stack[depth:]
+        elif tag:
+            tag = tag.lower()
+            values = {k.lower(): unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(attrs)} if attrs else {}
+            node = SubElement(parent, tag, values)
+            if tag not in _VOID and not attrs.endswith("/"):
+                stack.append(node)
     return root
 
 
@@ -76,23 +76,30 @@ def _text(node: Element | None) -> str | None:
     return None if node is None else "".join(node.itertext()).strip()
 
 
-def _first_text(node: Element, tag: str, name: str) -> str | None:
-    return _text(next(_with_class(node, tag, name), None))
-
-
 def _read_item(item: Element) -> dict[str, str | None]:
-    link = next(_with_class(item, "a", LINK), None)
-    date = next((a for span in _with_class(item, "span", DATE) for a in span.findall("a")), None)
-    record = {
-        "link": None if link is None else link.get("href"),
-        "title": None if date is None else date.get("title"),
-        "fullname": _first_text(item, "a", NAME),
-        "username": _first_text(item, "a", USER),
-        "text_content": _first_text(item, "div", BODY),
-    }
-    for field, icon in ICONS.items():
-        holders = (s for s in _with_class(item, "span", STAT) for _ in _with_class(s, "span", icon))
-        record[field] = _text(next(holders, None))
+    """The first element of each kind below one post block, as text."""
+    found: dict[str, Element] = {}
+    for node in item.iter():
+        classes = node.get("class")
+        if not classes or node is item:
+            continue
+        if node.tag == "a":
+            for field, name in (("link", LINK), ("fullname", NAME), ("username", USER)):
+                if name in classes:
+                    found.setdefault(field, node)
+        elif node.tag == "div":
+            if BODY in classes:
+                found.setdefault("text_content", node)
+        elif node.tag == "span":
+            if DATE in classes and (dated := node.find("a")) is not None:
+                found.setdefault("title", dated)
+            if STAT in classes:
+                for field, icon in ICONS.items():
+                    if any(icon in inner.get("class", "") for inner in node.iter("span") if inner is not node):
+                        found.setdefault(field, node)
+    record = {field: _text(node) for field, node in found.items()}
+    for field, attribute in (("link", "href"), ("title", "title")):
+        record[field] = found[field].get(attribute) if field in found else None
     return record
 
 

@@ -118,6 +118,17 @@ def test_empty_tld_list_is_refused():
         X.url_pattern([])
 
 
+def test_long_tld_lists_are_shortened_without_changing_matches():
+    tlds = ["com", "co", "community", "c-x", "org", "o", "id", "x.y"]
+    short = re.compile("(?:" + X._any_tld(tlds) + r")\S*")
+    plain = re.compile("(?:" + "|".join(map(re.escape, tlds)) + r")\S*")
+    words = [a + b for a in ["c", "co", "com", "comm", "c-", "c-x", "or", "o", "i", "id", "x.y", "xzy", ""] for b in ["", "z", "/q"]]
+    assert all(bool(short.fullmatch(w)) == bool(plain.fullmatch(w)) for w in words)
+    for bad in ([], [""], ["", "com"]):
+        with pytest.raises(ValueError):
+            X._any_tld(bad)
+
+
 def test_guarded_url_pattern_matches_the_plain_one(spark):
     tlds = "|".join(fixed.COMMON_TLDS)
     plain = rf"https?://{X._NON_SPACE}+|www\.{X._NON_SPACE}+|[\p{{L}}\p{{N}}_.-]+\.(?:{tlds}){X._NON_SPACE}*"
