@@ -9,7 +9,6 @@ from agora.catalog import sql as S
 from agora.catalog.registry import query
 from agora.catalog.star import facts, resolved
 from agora.functions import posts as P
-from agora.operators import dims as D
 from agora.operators import load, raw
 from agora.operators.keys import surrogate_keys
 from agora.plans import star, views
@@ -165,6 +164,25 @@ def config_lookup(spark, sf):
     return raw.config_lookup(config, keys.select("key"), "default").join(keys, "key")
 
 
+@query(
+    "config_upsert",
+    """SELECT coalesce(n.key, o.key) AS key, CASE WHEN n.key IS NULL THEN o.value ELSE n.value END AS value
+FROM (SELECT c_name AS key, c_mktsegment AS value FROM customer WHERE c_acctbal > 0) o
+FULL OUTER JOIN (SELECT c_name AS key, CAST(c_nationkey AS VARCHAR) AS value FROM customer WHERE c_nationkey < 12) n
+  ON o.key = n.key""",
+)
+def config_upsert(spark, sf):
+    """Key/value entries written over a configuration table: known keys change, new ones are added."""
+    customers = sample.read(spark, sf, "customer")
+    config = customers.where("c_acctbal > 0").select(
+        F.col("c_name").alias("key"), F.col("c_mktsegment").alias("value"), F.lit(None).cast("timestamp").alias("created_at")
+    )
+    entries = customers.where("c_nationkey < 12").select(
+        F.col("c_name").alias("key"), F.col("c_nationkey").cast("string").alias("value")
+    )
+    return raw.set_config(config, entries).select("key", "value")
+
+
 _PART = """CASE WHEN year(posted_at) BETWEEN 2023 AND 2026 THEN CAST(year(posted_at) AS VARCHAR){q} ELSE 'default' END"""
 
 
@@ -315,6 +333,3 @@ def load_balance(spark, sf):
     return resolved(spark, sf).groupBy("source_type").agg(
         F.count(F.lit(1)).alias("staged"), F.count_if(kept).alias("accepted"), F.count_if(~kept).alias("rejected")
     )
-
-
-__all__ = ["D"]

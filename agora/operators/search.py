@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agora import fixed, schemas
@@ -46,7 +46,9 @@ def keyword_search(posts: DataFrame, searches: DataFrame) -> DataFrame:
     return posts.join(wanted, "channel").where(F.contains(F.col("text_content"), F.col("query")))
 
 
-def topk_per_query(hits: DataFrame, k: int, *, by: str = "query", newest: str = "posted_at", tie: str = "id", slices: int = 16) -> DataFrame:
+def topk_per_query(
+    hits: DataFrame, k: int, *, by: str = "query", newest: str = "posted_at", tie: str = "id", slices: int = 16
+) -> DataFrame:
     """The ``k`` newest posts of each query, ties by id.
 
     The newest k of every slice of a query hold its newest k overall. Ranking

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.ml import PipelineModel, Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IndexToString, StringIndexer
 from pyspark.ml.functions import vector_to_array
@@ -55,16 +55,19 @@ def score_sentiment(df: DataFrame, text_col: str, scorer: Scorer, batch_size: in
     ).drop("_s")
 
 
-def train_sentiment(labelled: DataFrame, text_col: str, label_col: str, *, features: int = 1 << 16, seed_iter: int = 20) -> PipelineModel:
+def train_sentiment(
+    labelled: DataFrame, text_col: str, label_col: str, *, features: int = 1 << 16, iterations: int = 20
+) -> PipelineModel:
     """Fit the default scorer: hashed word counts and multinomial logistic regression, all on the JVM."""
-    data = labelled.select(tokenize(F.coalesce(F.col(text_col), F.lit(""))).alias("_tokens"), F.col(label_col).alias("_label"))
+    tokens = tokenize(F.coalesce(F.col(text_col), F.lit("")))
+    data = labelled.select(tokens.alias("_tokens"), F.col(label_col).alias("_label"))
     index = StringIndexer(inputCol="_label", outputCol="_y", stringOrderType="alphabetAsc").fit(data)
     stages = [
         index,
         HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=features),
         LogisticRegression(
             featuresCol="_tf", labelCol="_y", predictionCol="_yhat", probabilityCol="_prob",
-            rawPredictionCol="_raw", maxIter=seed_iter, regParam=0.01, family="multinomial",
+            rawPredictionCol="_raw", maxIter=iterations, regParam=0.01, family="multinomial",
         ),
         IndexToString(inputCol="_yhat", outputCol="_class", labels=index.labels),
     ]

@@ -26,7 +26,9 @@ class TopicModel:
     lda: LDAModel
 
 
-def label_rules(keywords: Column, rules: Sequence[Rule] = fixed.TOPIC_RULES, other: tuple[str, str] = fixed.OTHER_TOPIC) -> Column:
+def label_rules(
+    keywords: Column, rules: Sequence[Rule] = fixed.TOPIC_RULES, other: tuple[str, str] = fixed.OTHER_TOPIC
+) -> Column:
     """struct(topic_label, topic_category) of the first rule sharing a word with ``keywords``."""
 
     def named(label: str, category: str) -> Column:
@@ -55,7 +57,9 @@ def fit_topics(
     return TopicModel(words, lda.fit(words.transform(tokens)))
 
 
-def topic_table(model: TopicModel, rules: Sequence[Rule] = fixed.TOPIC_RULES, *, naming: int = 10, kept: int = 5) -> DataFrame:
+def topic_table(
+    model: TopicModel, rules: Sequence[Rule] = fixed.TOPIC_RULES, *, naming: int = 10, kept: int = 5
+) -> DataFrame:
     """One row per topic: its label and category by its top words, and the words kept."""
     described = model.lda.describeTopics(naming)
     # k rows of a few word numbers each, whatever the corpus.

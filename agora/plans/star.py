@@ -90,10 +90,9 @@ def mean_score() -> Column:
 
 def stddev_score() -> Column:
     """Sample standard deviation from exact sums; null for a single post."""
-    wide = lambda c: c.cast("decimal(38,0)")
     n, total = F.col("scored"), F.col("score_units")
-    squares = wide(F.col("score_sq_high")) * F.lit(1 << 20).cast("decimal(8,0)") + F.col("score_sq_low").cast("decimal(20,0)")
-    n19, total19 = n.cast("decimal(19,0)"), total.cast("decimal(19,0)")
-    spread = n19 * squares.cast("decimal(38,0)") - total19 * total19
+    squares = F.col("score_sq_high").cast("decimal(20,0)") * F.lit(1 << 20).cast("decimal(8,0)") + F.col("score_sq_low")
+    whole = lambda c: c.cast("decimal(19,0)")
+    spread = whole(n) * squares - whole(total) * whole(total)
     variance = spread.cast("double") / (n.cast("double") * (n - 1))
     return F.when(n > 1, F.sqrt(variance) / UNITS)

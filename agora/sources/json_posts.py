@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agora import schemas
+from agora import fixed, schemas
 from agora.functions.posts import time_from_epoch
 
-SITE = "https://www.reddit.com"
-
 
 def extract_json_records(df: DataFrame, json_col: str) -> DataFrame:
     """One row per post of each response; posts without id or creation time are dropped."""
@@ -28,5 +26,5 @@ def extract_json_records(df: DataFrame, json_col: str) -> DataFrame:
         F.coalesce("score", F.lit(0)).alias("score"),
         F.coalesce("ups", F.lit(0)).alias("upvote_count"),
         F.coalesce("downs", F.lit(0)).alias("downvote_count"),
-        F.concat(F.lit(SITE), F.nullif("permalink", F.lit(""))).alias("permalink"),
+        F.concat(F.lit(fixed.REDDIT_SITE), F.nullif("permalink", F.lit(""))).alias("permalink"),
     )
