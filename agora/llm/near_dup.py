@@ -9,11 +9,14 @@ full: they are linked if 100 * intersection >= 75 * union.
 No bucket's pairs are all listed. Equal sets are first reduced to one. Then:
 
 1. every member of a bucket meets the bucket's least id: one pair per member;
-2. links found give components; a bucket whose members are all in one
-   component has no more to tell. That ends groups of near copies of any size;
-3. in the other buckets, members of different components meet in blocks of
-   ``BLOCK`` ids, so large buckets are spread over tasks. Signatures are
-   compared there, and only agreeing pairs leave the task.
+2. links found give components. Buckets with the same least id form a group; a
+   group whose members are all in one component has no more to tell. That ends
+   most groups of near copies, whatever their size;
+3. the other groups meet in blocks of ``BLOCK`` ids with their full sets, so
+   large groups are spread over tasks. Members whose signatures agree with one
+   of another component are compared in full, all intersections of a block in
+   one matrix product, and a task returns each member with the least id its
+   links lead to: one row per member.
 
 So components are those of all linked pairs that share a bucket. A pair at
 similarity 0.75 misses all buckets with a chance of 5 in a million (0.8: 5 in
@@ -128,51 +131,80 @@ def _linked(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(out, pa.bool_())
 
 
+def members_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc and its full set, for the ids of ``ids`` (doc), stored. ``texts``: doc, text."""
+    asked = texts.join(ids.distinct(), "doc", "left_semi")
+    return stored(asked.mapInArrow(_sets, "doc long, members binary"), "sets")
+
+
 def confirm(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full sets are linked, stored. ``texts``: doc, text."""
+    """Those of ``pairs`` (a, b) whose full sets are linked, stored."""
     pairs = stored(pairs.distinct(), "pairs")
-    asked = pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))).distinct()
-    sets = stored(texts.join(asked, "doc", "left_semi").mapInArrow(_sets, "doc long, members binary"), "sets")
+    sets = members_of(texts, pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))))
     met = pairs.join(sets.select(F.col("doc").alias("a"), F.col("members").alias("left")), "a")
     met = met.join(sets.select(F.col("doc").alias("b"), F.col("members").alias("right")), "b")
     return stored(met.where(_linked("left", "right")).select("a", "b"), "links")
 
 
-def _agree(batches):
-    """Agreeing pairs of each (bucket, block, block): rows of one key follow one another."""
-    names = ["bucket", "lo", "hi", "block", "doc", "component", "bits_a", "bits_b"]
-    held = None
+_NAMES = ["least", "lo", "hi", "doc", "component", "bits_a", "bits_b"]
+
+
+def _meet(batches):
+    """Connected members of each (group, block, block): rows of one key follow one another."""
+    rows, sets = np.zeros((0, len(_NAMES)), np.int64), []
     for batch in batches:
-        rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names], 1)
-        rows = rows if held is None else np.concatenate([held, rows])
-        change = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(1)) + 1
-        if not len(change):
-            held = rows
-            continue
-        yield from _agreeing(rows[: change[-1]], np.concatenate([[0], change]))
-        held = rows[change[-1] :]
-    if held is not None:
-        yield from _agreeing(held, np.array([0, len(held)]))
+        more = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in _NAMES], 1)
+        rows = np.concatenate([rows, more])
+        sets += [np.frombuffer(m.as_py(), np.uint64) for m in batch.column("members")]
+        at = [0, *(np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(1)) + 1)]
+        yield from _connected(rows, sets, at)
+        rows, sets = rows[at[-1] :], sets[at[-1] :]
+    yield from _connected(rows, sets, [0, len(rows)])
 
 
-def _agreeing(rows: np.ndarray, at: np.ndarray):
+def _connected(rows: np.ndarray, sets: list[np.ndarray], at: list[int]):
     a, b = [], []
     for first, last in zip(at[:-1], at[1:]):
-        g = rows[first:last]
-        lo, hi = g[0, 1], g[0, 2]
-        left, right = g[g[:, 3] == lo], g[g[:, 3] == hi]
-        bits = left[:, None, 6:].view(np.uint64) ^ right[None, :, 6:].view(np.uint64)
-        same = HASHES - np.bitwise_count(bits).sum(2, dtype=np.int64)
-        keep = (same >= AGREE) & (left[:, None, 5] != right[None, :, 5])
-        if lo == hi:
-            keep &= left[:, None, 4] < right[None, :, 4]
-        i, j = np.nonzero(keep)
-        a.append(np.minimum(left[i, 4], right[j, 4]))
-        b.append(np.maximum(left[i, 4], right[j, 4]))
-    a, b = np.concatenate(a), np.concatenate(b)
-    if len(a):
-        both = np.unique(np.stack([a, b], 1), axis=0)
-        yield pa.record_batch([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
+        g, members = rows[first:last], sets[first:last]
+        bits = np.ascontiguousarray(g[:, 5:]).view(np.uint64)
+        apart = np.zeros((len(g), len(g)), np.uint8)
+        for half in bits.T:
+            apart += np.bitwise_count(half[:, None] ^ half[None])
+        some = np.flatnonzero(((apart <= HASHES - AGREE) & (g[:, None, 4] != g[None, :, 4])).any(1))
+        if not len(some):
+            continue
+        both, size = intersections([members[k] for k in some]), np.array([len(members[k]) for k in some])
+        linked = 100 * both >= PERCENT * (size[:, None] + size[None] - both)
+        doc, label = g[some, 3], g[some, 3]
+        while True:
+            least = np.where(linked, label[None], label[:, None]).min(1)
+            if (least == label).all():
+                break
+            label = least
+        a.append(label[label != doc])
+        b.append(doc[label != doc])
+    if sum(map(len, a)):
+        yield pa.record_batch([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every two sets (of distinct numbers), as products of 0/1 matrices."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    column = np.cumsum(shared) - 1
+    keep = shared[place]
+    owner, column = owner[keep], column[place[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out, width = np.zeros((len(sets), len(sets)), np.int64), 4096
+    for low in range(0, int(shared.sum()), width):
+        a, b = np.searchsorted(column, [low, low + width])
+        matrix = np.zeros((len(sets), width), np.float32)  # counts stay far below 2**24
+        matrix[owner[a:b], column[a:b] - low] = 1
+        out += (matrix @ matrix.T).astype(np.int64)
+    np.fill_diagonal(out, [len(s) for s in sets])
+    return out
 
 
 def sign(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -182,35 +214,35 @@ def sign(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def links(texts: DataFrame, signed: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Confirmed links (a, b) that give the components of all links; sets that are equal are linked to their least id's only."""
+    """Pairs (a, b) joined by confirmed links, enough for all components; of equal sets only the least id takes part."""
     usable = signed.where(F.col("n_shingles") > 0).where(F.col("doc").isNotNull())
     one = usable.groupBy("set_a", "set_b").agg(F.min("doc").alias("doc"))
-    single = usable.select("doc", "bands", "bits_a", "bits_b").join(one.select("doc").distinct(), "doc", "left_semi")
+    single = usable.select("doc", "bands").join(one.select("doc").distinct(), "doc", "left_semi")
     signatures = usable.select("doc", "bits_a", "bits_b")
     in_buckets = single.select("doc", F.explode("bands").alias("bucket"))
     buckets = in_buckets.groupBy("bucket").agg(F.min("doc").alias("least"), F.max("doc").alias("_most")).where("least < _most")
-    members = stored(in_buckets.join(buckets.select("bucket", "least"), "bucket"), "members")
+    met = in_buckets.join(buckets.select("bucket", "least"), "bucket").where("doc != least")
+    pairs = stored(met.select("least", "doc").distinct(), "groups")
 
-    pairs = members.where("doc != least").select(F.col("least").alias("a"), F.col("doc").alias("b")).distinct()
     named = lambda side: signatures.select(F.col("doc").alias(side), F.struct("bits_a", "bits_b").alias(f"_{side}"))
     apart = sum(F.bit_count(F.col(f"_a.{bits}").bitwiseXOR(F.col(f"_b.{bits}"))) for bits in ("bits_a", "bits_b"))
-    agreeing = pairs.join(named("a"), "a").join(named("b"), "b").where(HASHES - apart >= AGREE).select("a", "b")
-    starry = confirm(texts, agreeing)
+    asked = pairs.select(F.col("least").alias("a"), F.col("doc").alias("b")).join(named("a"), "a").join(named("b"), "b")
+    starry = confirm(texts, asked.where(HASHES - apart >= AGREE).select("a", "b"))
 
+    # The least id has met every member already; its component still counts.
     found = components(starry).withColumnRenamed("node", "doc")
-    placed = members.join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    sizes = placed.groupBy("bucket").agg(
+    placed = pairs.join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    groups = placed.groupBy("least").agg(
         F.count(F.lit(1)).alias("size"), F.min("component").alias("_low"), F.max("component").alias("_high")
     )
-    open_buckets = sizes.where("_low < _high AND size > 2").select("bucket", F.ceil(F.col("size") / block).cast("long").alias("blocks"))
-    rows = placed.where("doc != least").join(open_buckets, "bucket").join(signatures, "doc")
+    groups = groups.where("_low < _high").select("least", F.ceil(F.col("size") / block).cast("long").alias("blocks"))
+    rows = stored(placed.join(groups, "least").join(signatures, "doc"), "open-groups")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    keys = [F.col("bucket"), F.least("block", "_other").alias("lo"), F.greatest("block", "_other").alias("hi")]
-    rows = rows.select(*keys, "block", "doc", "component", "bits_a", "bits_b")
-    rows = rows.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-    more = confirm(texts, rows.mapInArrow(_agree, "a long, b long"))
-    return starry.union(more)
+    rows = rows.withColumn("lo", F.least("block", "_other")).withColumn("hi", F.greatest("block", "_other"))
+    rows = rows.join(members_of(texts, rows.select("doc")), "doc").select(*_NAMES, "members")
+    rows = rows.repartition("least", "lo", "hi").sortWithinPartitions("least", "lo", "hi")
+    return starry.union(stored(rows.mapInArrow(_meet, "a long, b long"), "connected"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
