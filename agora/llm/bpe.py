@@ -19,13 +19,14 @@ from __future__ import annotations
 
 import functools
 import heapq
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from agora.llm.vocabularies import Memo, cuts, default_path, rank_file, splitter
+from agora.llm.vocabularies import LAST_SHARED, Memo, cuts, default_path, rank_file, splitter
 
 RANKS = "byte_bpe_50k.tiktoken"
 LEAF_BYTES = 16
@@ -46,7 +47,12 @@ class TreeCoder:
             self.tokens[rank] = token
         self.stays: dict[tuple[int, int], bool] = {}
         self.whole = Memo(self._pieces)
-        self.after_space = Memo(lambda cut: self._pieces(" " + cut))
+        self.after_space = Memo(self._after_space)
+
+    def _after_space(self, cut: str) -> bytes:
+        if cut.isalpha() and max(cut) <= LAST_SHARED:  # one match of the pattern
+            return array("I", self.encode(b" " + cut.encode())).tobytes()
+        return self._pieces(" " + cut)
 
     def _pieces(self, text: str) -> bytes:
         out = []

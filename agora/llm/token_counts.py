@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from agora.llm.vocabularies import Memo, byte_letters, cuts, default_path, merge_file, splitter
+from agora.llm.vocabularies import LAST_SHARED, Memo, byte_letters, cuts, default_path, merge_file, splitter
 
 MERGES = "byte_bpe_50k.json"
 
@@ -38,7 +38,12 @@ class Counter:
         special = sorted((t["content"] for t in content["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.whole = Memo(self._pieces)
-        self.after_space = Memo(lambda cut: self._pieces(" " + cut))
+        self.after_space = Memo(self._after_space)
+
+    def _after_space(self, cut: str) -> int:
+        if cut.isalpha() and max(cut) <= LAST_SHARED:  # one match of the pattern
+            return self.count_piece(b" " + cut.encode())
+        return self._pieces(" " + cut)
 
     def _pieces(self, text: str) -> int:
         return sum(self.count_piece(piece.encode("utf-8", "surrogatepass")) for piece in splitter().findall(text))

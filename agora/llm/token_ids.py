@@ -10,6 +10,8 @@ library whole.
 from __future__ import annotations
 
 import functools
+import sys
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -17,22 +19,20 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from agora.llm.vocabularies import Memo, byte_letters, cuts, merge_file, splitter
+from agora.llm.vocabularies import LAST_SHARED, Memo, byte_letters, cuts, merge_file, splitter
 
 # str.split() takes these for white space, the tokenizer does not.
 _NO_SPACE = regex.compile("[\x1c-\x1f]")
 
 
-# Up to here Python's pattern module and the tokenizers library agree on every letter and number.
-LAST_SHARED = "\u024f"
-
-
 class Ids:
     """Encodes texts under one tokenizer file; ids come as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        if sys.byteorder != "little" or array("I").itemsize != 4:
+            raise RuntimeError("ids are packed in the machine's order, which must be little-endian")
         self.tokenizer = Tokenizer.from_file(path)
         content = merge_file(path)
         first = content["pre_tokenizer"]
@@ -43,17 +43,33 @@ class Ids:
             raise ValueError(f"{path}: neither byte-level nor a file that drops white space")
         self.find = splitter().findall if self.keeps_space else regex.compile(steps[0]["pattern"]["Regex"]).findall
         self.normal = self.tokenizer.normalizer.normalize_str if content["normalizer"] else str
+        self.lowers = not self.keeps_space and content["normalizer"]["type"] == "Sequence"
+        self.merge = self.tokenizer.model.tokenize
         self.letters = dict(enumerate(byte_letters()))
+        self.blank = self.letters[32]
         self.special = [t["content"] for t in content["added_tokens"]]
         self.whole = Memo(self._cut)
         self.after_space = Memo(lambda cut: self._cut(" " + cut))
 
     def _cut(self, cut: str) -> bytes:
         if max(cut, default="") > LAST_SHARED:
-            return np.asarray(self.tokenizer.encode(cut, add_special_tokens=False).ids, "<u4").tobytes()
-        merge, letters = self.tokenizer.model.tokenize, self.letters
-        pieces = [p.encode().decode("latin-1").translate(letters) for p in self.find(self.normal(cut))]
-        return np.asarray([t.id for p in pieces for t in merge(p)], "<u4").tobytes()
+            return array("I", self.tokenizer.encode(cut, add_special_tokens=False).ids).tobytes()
+        # Up to LAST_SHARED every letter is composed, so normalising is lower-casing.
+        text = cut.lower() if self.lowers else cut
+        word = text[1:] if text[:1] == " " else text
+        pieces = (text,) if word.isalpha() else self.find(text)
+        ids, letters = [], self.letters
+        for p in pieces:
+            if not p.isascii():
+                p = p.encode().decode("latin-1").translate(letters)
+            elif p.isalpha():
+                pass
+            elif p[1:].isalpha() and p[0] == " ":
+                p = self.blank + p[1:]
+            else:
+                p = p.translate(letters)
+            ids += [t.id for t in self.merge(p)]
+        return array("I", ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special) or not self.keeps_space and _NO_SPACE.search(text):
