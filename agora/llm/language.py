@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from agora.llm.shared import held_out, utf8
+from agora.llm.shared import held_out, stored, utf8
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -164,6 +164,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, key: str = "doc_id",
     ranked = rows.withColumn("place", place)
     ranked = ranked.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy("place", "_id")))
     chosen = ranked.where(F.col("_rank") <= per_language).select("_id", "place").distinct()
+    # Stored first, so that Spark knows its size and need not shuffle the texts to a short list.
+    chosen = stored(chosen, "chosen")
     texts = docs.where(usable).select(F.col(key).alias("_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     found = texts.join(chosen, "_id").select("place", "lang", "text")
     sample = found.mapInArrow(_sample, "place long, lang string, bytes binary").toArrow()
