@@ -220,7 +220,7 @@ WHERE posted_at >= TIMESTAMP '2024-01-01' AND posted_at < TIMESTAMP '2025-01-01'
 )
 def time_window_filter(spark, sf):
     """Posts of the half-open window of one year."""
-    since, until = P.year_window(year=2024)
+    since, until = P.year_window(2024)
     return raw.time_window_filter(sample.posts(spark, sf), since, until).select("source_type", "id", _micros())
 
 

@@ -19,7 +19,7 @@ _SPACE, _NON_SPACE = f"[{fixed.SPACES}]", f"[^{fixed.SPACES}]"
 
 
 def _documents(spark, sf):
-    return sample.read_spread(spark, sf, "documents").select("doc_id", "text")
+    return sample.read(spark, sf, "documents").select("doc_id", "text")
 
 
 def _sub(column: str, pattern: str, new: str = "") -> str:
@@ -36,12 +36,12 @@ def _sub(column: str, pattern: str, new: str = "") -> str:
 )
 def unescape_html(spark, sf):
     """Entities of whole pages resolved; the SQL spells out those the test pages hold ('&amp' also counts without ';')."""
-    return sample.read_spread(spark, sf, "pages").select("page_id", X.unescape_html(F.col("html")).alias("text"))
+    return sample.read(spark, sf, "pages").select("page_id", X.unescape_html(F.col("html")).alias("text"))
 
 
 @query("strip_tags", f"SELECT page_id, {_sub('html', '<[^>]+>', ' ')} AS text FROM pages")
 def strip_tags(spark, sf):
-    return sample.read_spread(spark, sf, "pages").select("page_id", X.strip_tags(F.col("html")).alias("text"))
+    return sample.read(spark, sf, "pages").select("page_id", X.strip_tags(F.col("html")).alias("text"))
 
 
 @query("strip_symbols", f"SELECT doc_id, {_sub('text', '[' + chr(92) + 'p{S}<>' + chr(92) + '[' + chr(92) + ']]')} AS text FROM documents")
@@ -65,7 +65,7 @@ _URL = (
     f"""SELECT page_id, {_sub('url', _URL)} AS url, {_sub('html', _URL)} AS text FROM pages""",
 )
 def strip_urls(spark, sf):
-    return sample.read_spread(spark, sf, "pages").select(
+    return sample.read(spark, sf, "pages").select(
         "page_id", X.strip_urls(F.col("url")).alias("url"), X.strip_urls(F.col("html")).alias("text")
     )
 
@@ -93,7 +93,7 @@ def _tagged(spark, sf):
         F.lit("#"), "lang", F.lit("_"), "source", F.lit(" "),
         F.replace("text", F.lit(" a"), F.lit(" #Viral #viralvideo")),
     )
-    return sample.read_spread(spark, sf, "documents").select("doc_id", text.alias("text"))
+    return sample.read(spark, sf, "documents").select("doc_id", text.alias("text"))
 
 
 @query("expand_hashtags", f"WITH {_TAGGED_SQL} SELECT doc_id, {_EXPAND_SQL} AS text FROM tagged")
@@ -146,9 +146,9 @@ def collapse_ws(spark, sf):
 @query("clean_text")
 def clean_text(spark, sf):
     """The full cleaner over documents, pages and conversation turns."""
-    docs = sample.read_spread(spark, sf, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), "text")
-    pages = sample.read_spread(spark, sf, "pages").select(F.concat(F.lit("p"), "page_id").alias("id"), F.col("html").alias("text"))
-    turns = sample.read_spread(spark, sf, "conversations").select(F.concat(F.lit("c"), "conv_id", F.lit("_"), "turn").alias("id"), "text")
+    docs = sample.read(spark, sf, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), "text")
+    pages = sample.read(spark, sf, "pages").select(F.concat(F.lit("p"), "page_id").alias("id"), F.col("html").alias("text"))
+    turns = sample.read(spark, sf, "conversations").select(F.concat(F.lit("c"), "conv_id", F.lit("_"), "turn").alias("id"), "text")
     texts = docs.unionByName(pages).unionByName(turns)
     return X.clean_text(texts, "text").select("id", "processed_text")
 
@@ -252,7 +252,7 @@ SELECT doc_id, CASE WHEN len(t) = 0 THEN 'Tidak Terklasifikasi' ELSE lang END AS
 )
 def topic_default(spark, sf):
     """Texts without tokens are unclassified, the others keep their topic."""
-    docs = sample.read_spread(spark, sf, "documents").withColumn("text", F.when(F.col("lang") == "fr", " ").otherwise(F.col("text")))
+    docs = sample.read(spark, sf, "documents").withColumn("text", F.when(F.col("lang") == "fr", " ").otherwise(F.col("text")))
     some = F.size(X.tokenize(F.col("text"))) > 0
     named = docs.select(
         "doc_id",
@@ -275,7 +275,7 @@ def _search_pages(spark, sf):
         F.lit("</div></span>"),
     )
     count = lambda c: F.when(c == 0, F.lit("")).otherwise(F.format_number(c, 0))
-    p = sample.spread(sample.x_posts(spark, sf))
+    p = sample.x_posts(spark, sf)
     when = F.date_format("posted_at", "MMM d, yyyy · h:mm a 'UTC'")
     page = F.concat(
         F.lit('<html><body><div class="timeline"><div class="timeline-item show-more"><a href="?f=tweets">Load newest</a></div>'),

@@ -26,9 +26,14 @@ _EDGE = f"(?:(?<={fixed.WORD})(?!{fixed.WORD})|(?<!{fixed.WORD})(?={fixed.WORD})
 # Letters that [a-z] matches when case is ignored.
 _ANY_CASE_AZ = r"[A-Za-z\x{130}\x{131}\x{17F}\x{212A}]"
 
-EMAIL = f"{_EDGE}{fixed.EMAIL}{_EDGE}"
-HASHTAG = f"{fixed.HASHTAG_SIGN}{fixed.WORD}+"
-MENTION = f"{fixed.MENTION_SIGN}({fixed.WORD}+)"
+
+
+def _java(pattern: str) -> str:
+    """A fixed pattern with Python's classes spelled out for Java."""
+    return pattern.replace(r"\w", fixed.WORD).replace(r"\S", _NON_SPACE).replace(r"\b", _EDGE)
+
+
+EMAIL, HASHTAG, MENTION = map(_java, (fixed.EMAIL, fixed.HASHTAG, fixed.MENTION))
 
 
 def _unescape_all(text: str) -> str:
@@ -91,8 +96,7 @@ def url_pattern(tlds: Sequence[str]) -> str:
     # A bare domain is only tried from the start of its run of characters: a
     # later start can match nothing the first start did not, and trying each
     # one would cost quadratic time on long unbroken texts.
-    links = "|".join(f"{start}{_NON_SPACE}+" for start in fixed.LINK_STARTS)
-    return rf"{links}|(?<!{run}){run}+\.(?:{names}){_NON_SPACE}*"
+    return rf"{_java(fixed.LINK)}|(?<!{run}){run}+\.(?:{names}){_NON_SPACE}*"
 
 
 def strip_urls(text: Column, tlds: Sequence[str] = fixed.COMMON_TLDS) -> Column:

@@ -111,27 +111,20 @@ def embed_related(
     fields: Sequence[str],
     name: str,
     *,
-    child_key: Sequence[str],
-    chunk: int = 10_000,
+    child_key: Sequence[str] = (),
+    parts: int = 1,
 ) -> DataFrame:
     """Embed child rows into their parent as an array of structs.
 
-    A parent with up to ``chunk`` children yields one row; a larger one yields
-    several, numbered by ``<name>_part``, with every child in exactly one of
-    them, so that no array and no task has to hold an unbounded family.
-    ``child_key`` is unique among the children of a parent.
+    Every parent yields ``parts`` rows, numbered by ``<name>_part``, whatever
+    the size of its family; each child is in exactly one of them, chosen by the
+    hash of ``child_key``. A part without children holds an empty array. Ask
+    for more parts where a family may be too large for one array.
     """
     keys, part = list(on), f"{name}_part"
-    sizes = child.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("_parts"))
-    numbered = child.join(sizes, keys).withColumn(part, F.pmod(F.xxhash64(*child_key), F.col("_parts")).cast("int"))
-    # Without the explicit repartition Spark would group inside the join's own
-    # partitioning, which keeps a large family in one task.
-    spread = numbered.repartition(*keys, part)
-    grouped = spread.groupBy(*keys, part).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
-    # Two joins instead of one outer join: AQE can split the parts of a large
-    # family in an inner join, but not on the optional side of an outer one.
-    families = parent.join(grouped, keys)
-    childless = parent.join(sizes, keys, "left_anti").select(
-        "*", F.lit(0).alias(part), F.array().cast(grouped.schema[name].dataType).alias(name)
-    )
-    return families.unionByName(childless)
+    number = F.pmod(F.xxhash64(*child_key), F.lit(parts)).cast("int") if parts > 1 else F.lit(0)
+    fields_of = F.sort_array(F.collect_list(F.struct(*fields))).alias(name)
+    grouped = child.withColumn(part, number).groupBy(*keys, part).agg(fields_of)
+    every = parent.withColumn(part, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    nothing = F.array().cast(grouped.schema[name].dataType)
+    return every.join(grouped, [*keys, part], "left").withColumn(name, F.coalesce(name, nothing))

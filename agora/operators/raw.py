@@ -144,5 +144,5 @@ def config_lookup(config: DataFrame, keys: DataFrame, default: str | None) -> Da
 
 
 def set_config(config: DataFrame, entries: DataFrame) -> DataFrame:
-    """Upsert key/value entries such as the time of the last run."""
-    return upsert(config, entries, ["key"], keep=["created_at"])
+    """Upsert key/value entries such as the time of the last run; new ones get the time as ``created_at``."""
+    return upsert(config, entries, ["key"], keep=["created_at"], defaults={"created_at": F.current_timestamp()})

@@ -125,10 +125,11 @@ def engagement_effect(fact: DataFrame, dims: Dimensions) -> DataFrame:
     """Do negative posts draw more interaction? Means, their ratio and the correlation, per platform.
 
     One pass: posts are summed per platform and sentiment key, squares
-    included, and the correlation follows from the sums.
+    included, and the correlation follows from the sums. They are whole numbers,
+    so neither order nor cancellation changes the result.
     """
     total = (
-        F.col("like_count").cast("double") + F.col("retweet_count") + F.col("upvote_count") + F.col("comment_count")
+        F.col("like_count").cast("decimal(12,0)") + F.col("retweet_count") + F.col("upvote_count") + F.col("comment_count")
     )
     sums = fact.groupBy("platform_id", "sentiment_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum(total).alias("e"), F.sum(total * total).alias("ee")
@@ -140,16 +141,20 @@ def engagement_effect(fact: DataFrame, dims: Dimensions) -> DataFrame:
         F.sum("e").alias("e"),
         F.sum("ee").alias("ee"),
         F.sum(F.when(negative, F.col("n")).otherwise(0)).alias("n_neg"),
-        F.sum(F.when(negative, F.col("e")).otherwise(0.0)).alias("e_neg"),
+        F.sum(F.when(negative, F.col("e")).otherwise(0)).alias("e_neg"),
     )
-    n, e, ee, nn, en = (F.col(c).cast("double") for c in ("n", "e", "ee", "n_neg", "e_neg"))
+    n, e, nn, en = (F.col(c).cast("double") for c in ("n", "e", "n_neg", "e_neg"))
+    whole = lambda c: F.col(c).cast("decimal(19,0)")
+    both = (whole("n") * whole("e_neg") - whole("n_neg") * whole("e")).cast("double")
+    squares = (whole("n") * F.col("ee").cast("decimal(19,0)") - whole("e") * whole("e")).cast("double")
+    flags = (whole("n") * whole("n_neg") - whole("n_neg") * whole("n_neg")).cast("double")
     avg_negative, avg_other = en / F.nullif(nn, F.lit(0.0)), (e - en) / F.nullif(n - nn, F.lit(0.0))
-    spread = F.sqrt(n * nn - nn * nn) * F.sqrt(n * ee - e * e)
+    spread = F.sqrt(flags) * F.sqrt(squares)
     return per_platform.select(
         "platform_name",
         F.col("n").alias("post_count"),
         avg_negative.alias("avg_negative"),
         avg_other.alias("avg_other"),
         (avg_negative / F.nullif(avg_other, F.lit(0.0))).alias("ratio"),
-        ((n * en - nn * e) / F.nullif(spread, F.lit(0.0))).alias("correlation"),
+        (both / F.nullif(spread, F.lit(0.0))).alias("correlation"),
     )

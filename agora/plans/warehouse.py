@@ -38,6 +38,8 @@ class Warehouse:
     spark: SparkSession
     root: str
     dims: Dimensions | None = None
+    first_year: int = tables.FIRST_YEAR
+    last_year: int = tables.LAST_YEAR
 
     def __post_init__(self) -> None:
         self.root = self.root.rstrip("/")
@@ -59,8 +61,20 @@ class Warehouse:
     def rejected(self) -> DataFrame:
         return tables.read_table(self.spark, self._path("rejects"), schemas.REJECT)
 
+    def _part(self, df: DataFrame, grain: str) -> DataFrame:
+        return tables.with_partition(df, grain, self.first_year, self.last_year)
+
+    def _current(self):
+        """The newest complete version of the views (version, loaded_until), None before the first."""
+        known = tables.read_table(self.spark, self._path("view_versions"), schemas.VIEW_VERSION, by=None)
+        return known.orderBy(F.desc("built_at"), F.desc("version")).first()
+
     def view(self, name: str) -> DataFrame:
-        return self.spark.table(name)
+        """A stored view, whichever session built it."""
+        current = self._current()
+        if current is None:
+            raise LookupError("no views have been built yet")
+        return self.spark.read.parquet(f"{self._path(name)}/version={current.version}")
 
     def upload(self, source: str, scraped: DataFrame, arrival: list[str]) -> None:
         """Merge scraped posts into the raw table; only the partitions they fall in are rewritten.
@@ -69,7 +83,7 @@ class Warehouse:
         """
         name, schema, counts = RAW_TABLES[source]
         last = raw.dedup_keep_last(scraped, ["id"], arrival)
-        incoming = tables.with_partition(raw.prepare_raw(last, schema, counts), "quarter").persist()
+        incoming = self._part(raw.prepare_raw(last, schema, counts), "quarter").persist()
         try:
             touched = tables.touched_partitions(incoming)
             stored = self.raw(source).where(F.col(tables.PART).isin(touched))
@@ -94,7 +108,7 @@ class Warehouse:
                 for n, t in columns.items()
             ]
         )
-        tables.append_table(tables.with_partition(out, "quarter"), self._path("staging"))
+        tables.append_table(self._part(out, "quarter"), self._path("staging"))
 
     def load(self) -> int:
         """Turn staged posts into facts, keep what cannot be resolved as rejects, then clear staging.
@@ -104,8 +118,8 @@ class Warehouse:
         """
         staged = self.staged()
         resolved = load.resolve_keys(staged, self.dims)
-        years = tables.with_partition(load.accepted(resolved), "year")
-        touched = tables.touched_partitions(tables.with_partition(staged.select("posted_at"), "year"))
+        years = self._part(load.accepted(resolved), "year")
+        touched = tables.touched_partitions(self._part(staged.select("posted_at"), "year"))
         facts = self.facts().where(F.col(tables.PART).isin(touched))
         now = F.lit(datetime.now(timezone.utc))
         fresh = load.new_facts(facts, years).withColumn("loaded_at", now)
@@ -114,7 +128,7 @@ class Warehouse:
         loaded = stored.where(F.col("loaded_at") == now).count()
 
         key = ["source_type", "source_id", "posted_at"]
-        refused = tables.with_partition(load.rejects(resolved), "year")
+        refused = self._part(load.rejects(resolved), "year")
         known = self.rejected().where(F.col(tables.PART).isin(touched))
         tables.append_table(load.new_facts(known, refused, key), self._path("rejects"))
 
@@ -132,9 +146,10 @@ class Warehouse:
         return loaded
 
     def load_and_refresh(self) -> int:
-        """Load, then rebuild the views if anything was loaded."""
+        """Load, then rebuild the views if they are older than the facts, whichever run loaded those."""
         loaded = self.load()
-        if loaded:
+        current, newest = self._current(), self.facts().agg(F.max("loaded_at")).first()[0]
+        if newest is not None and (current is None or current.loaded_until is None or current.loaded_until < newest):
             self.refresh_views()
         return loaded
 
@@ -146,23 +161,31 @@ class Warehouse:
         }
 
     def refresh_views(self, years: list[int] | None = None, version: str | None = None) -> dict[str, str]:
-        """Rebuild the four views in a new version folder and repoint their names.
+        """Rebuild the four views in a new version folder and make it the current one.
 
-        With ``years``, only facts of those years are read and the other years
-        are taken over from the current version.
+        With ``years``, only facts of those years are read: their months replace
+        those in the current version's stored monthly summary, which all views
+        are built from. The version is recorded last, so a run that dies leaves
+        the former one current.
         """
         version = version or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
         facts = self.facts()
+        until = facts.agg(F.max("loaded_at")).first()[0]
         if years:
-            facts = facts.where(F.col(tables.PART).isin([str(y) for y in years]))
-        path = tables.write_version(summarise(facts, self.dims, MONTHLY), self._path("monthly"), version)
-        monthly = self.spark.read.parquet(path)
-        out = {}
-        for name, build in VIEWS.items():
-            rows = build(monthly, self.dims)
-            if years and self.spark.catalog.tableExists(name):
-                rows = rows.unionByName(self.spark.table(name).where(~F.col("year").isin(list(years))))
-            out[name] = tables.write_version(rows, self._path(name), version)
+            current = self._current()
+            if current is None:
+                raise LookupError("years can only be replaced in views that exist; refresh all of them first")
+            labels = {str(y) if self.first_year <= y <= self.last_year else "default" for y in years}
+            facts = facts.where(F.col(tables.PART).isin(sorted(labels)) & F.year("posted_at").isin(list(years)))
+            rest = self.spark.read.parquet(f"{self._path('monthly')}/version={current.version}").where(~F.col("year").isin(list(years)))
+            # Facts of other years may be newer than the views; the views stay due for them.
+            until = current.loaded_until
+        summary = summarise(facts, self.dims, MONTHLY)
+        summary = summary.unionByName(rest) if years else summary
+        monthly = self.spark.read.parquet(tables.write_version(summary, self._path("monthly"), version))
+        out = {name: tables.write_version(build(monthly, self.dims), self._path(name), version) for name, build in VIEWS.items()}
+        record = self.spark.createDataFrame([(version, datetime.now(timezone.utc), until)], schemas.VIEW_VERSION)
+        record.write.mode("append").parquet(self._path("view_versions"))
         for name, where in out.items():
             self.spark.read.parquet(where).createOrReplaceTempView(name)
         return out

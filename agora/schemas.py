@@ -65,3 +65,6 @@ JSON_RESPONSE = columns(
 # One search of the scrape configuration; subreddit may list several, by commas.
 SEARCH = columns(query=STRING, subreddit=STRING)
 SEARCH_CONFIG = columns(nitter=T.ArrayType(SEARCH), reddit=T.ArrayType(SEARCH))
+
+# One row per built version of the views; loaded_until: the newest fact it holds.
+VIEW_VERSION = columns(version=STRING, built_at=TIME, loaded_until=TIME)

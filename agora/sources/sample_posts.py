@@ -50,20 +50,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores before work that is heavy per row.
-
-    Only where the input lies in fewer files than there are cores; a larger
-    table fills the cores as it is and is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
-def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(read(spark, sf_dir, name))
-
-
 def _case(subject: str, table: dict[str, str], default: str | None = None) -> str:
     whens = " ".join(f"WHEN '{key}' THEN '{name}'" for key, name in table.items())
     return f"CASE {subject} {whens}" + (f" ELSE '{default}' END" if default else " END")

@@ -6,12 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from agora.catalog import load_all
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
     "labels conversations"
 ).split()
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = load_all()
 
 
 @pytest.fixture(scope="module")
@@ -53,3 +54,4 @@ def test_entry_is_the_flagship(spark):
 
 def test_every_twin_has_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries()) and set(QUERIES) <= set(entry.queries())

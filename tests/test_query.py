@@ -68,20 +68,15 @@ def test_page_with_total_counts_the_whole_result(table):
     assert [(r.id, r.total_count) for r in rows] == [(2, 3), (3, 3)]
 
 
-@pytest.mark.parametrize("chunk", [10_000, 100])
-def test_embedding_keeps_every_child_of_a_hot_parent(spark, chunk):
+@pytest.mark.parametrize("parts", [1, 5])
+def test_embedding_has_one_shape_and_keeps_every_child(spark, parts):
     parents = spark.range(4).withColumnRenamed("id", "p")
     children = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 3).alias("p"), F.col("id").alias("c"))
-    out = Q.embed_related(parents, children, ["p"], ["c"], "kids", child_key=["c"], chunk=chunk)
-    got, parts = {}, {}
-    for row in out.collect():
-        got.setdefault(row.p, []).extend(k.c for k in row.kids)
-        parts[row.p] = parts.get(row.p, 0) + 1
-        assert chunk > 5000 or len(row.kids) < 2 * chunk
-    assert {p: sorted(c) for p, c in got.items()} == {
-        0: list(range(0, 3000, 3)), 1: list(range(1, 3000, 3)), 2: list(range(2, 3000, 3)), 3: []
-    }
-    assert parts == ({0: 1, 1: 1, 2: 1, 3: 1} if chunk > 5000 else {0: 10, 1: 10, 2: 10, 3: 1})
+    rows = Q.embed_related(parents, children, ["p"], ["c"], "kids", child_key=["c"], parts=parts).collect()
+    assert sorted((r.p, r.kids_part) for r in rows) == [(p, k) for p in range(4) for k in range(parts)]
+    for p in range(4):
+        assert sorted(k.c for r in rows if r.p == p for k in r.kids) == [c for c in range(3000) if c % 3 == p]
+
 
 
 def test_embed_one(spark, table):

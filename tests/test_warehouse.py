@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 
 from agora import fixed
 from agora.operators import sentiment, topics
+from agora.operators.dims import default_dimensions, dim_time
 from agora.plans.star import MONTHLY, summarise
 from agora.plans.views import VIEW_KEYS, VIEWS, view
 from agora.plans.warehouse import Warehouse
@@ -107,6 +109,40 @@ def test_load_finishes_what_a_dead_run_left(house, spark):
     assert (house.facts().count(), house.rejected().count(), house.staged().count()) == (3, 2, 0)
 
 
+def test_other_sessions_see_the_views_and_replace_single_years(house, spark):
+    fill(house, spark)
+    run(house)
+    with pytest.raises(LookupError):
+        house.view("mv_topic_volume")
+    with pytest.raises(LookupError):
+        house.refresh_views(years=[2024])
+    house.refresh_views()
+    full = {name: sorted(map(tuple, house.view(name).collect()), key=repr) for name in VIEWS}
+    other = Warehouse(spark.newSession(), house.root)
+    other.refresh_views(years=[2024])
+    assert {name: sorted(map(tuple, other.view(name).collect()), key=repr) for name in VIEWS} == full
+    assert {r.year for r in other.view("mv_topic_volume").collect()} == {2023, 2024}
+
+
+def test_views_left_stale_by_a_dead_run_are_built(house, spark):
+    fill(house, spark)
+    run(house)  # loads, and dies before the refresh
+    assert house.load_and_refresh() == 0 and house.view("mv_topic_volume").count() == 3
+    version = house._current().version
+    assert house.load_and_refresh() == 0 and house._current().version == version
+
+
+def test_years_of_a_longer_calendar(spark):
+    dims = replace(default_dimensions(spark), time=dim_time(spark, "2023-01-01", "2028-12-31"))
+    for last in (2026, 2028):
+        house = Warehouse(spark, work_dir(spark, "house"), dims, last_year=last)
+        fill(house, spark)
+        run(house)
+        house.refresh_views()
+        house.refresh_views(years=[2027])
+        assert {r.year for r in house.view("mv_topic_volume").collect()} == {2023, 2024, 2027}
+
+
 def test_cleaning_options(house, spark):
     config = spark.createDataFrame([("slang-mapping", '{"x": "y"}'), ("unnecessary-hashtags", None)], "key string, value string")
     assert house.cleaning_options(config) == {"slang": {"x": "y"}, "dropped_hashtags": fixed.DROPPED_HASHTAGS}
