@@ -36,7 +36,7 @@ from pyspark.sql.types import BooleanType
 
 from agora.llm import words
 from agora.llm.components import components
-from agora.llm.shared import portions, stored, utf8
+from agora.llm.shared import few, portions, stored, utf8
 
 SHINGLE = 5
 PERCENT = 75
@@ -133,7 +133,7 @@ def _linked(left: pa.Array, right: pa.Array) -> pa.Array:
 
 def members_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """doc and its full set, for the ids of ``ids`` (doc), stored. ``texts``: doc, text."""
-    asked = texts.join(ids.distinct(), "doc", "left_semi")
+    asked = texts.join(few(ids.distinct(), "asked"), "doc", "left_semi")
     return stored(asked.mapInArrow(_sets, "doc long, members binary"), "sets")
 
 

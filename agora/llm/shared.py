@@ -29,6 +29,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Ids that may be sent to every executor: 8 MB of numbers.
+FEW_IDS = 1_000_000
+
+
+def few(ids: DataFrame, name: str) -> DataFrame:
+    """A narrow table of ids, stored and counted: marked for broadcasting up to ``FEW_IDS`` rows.
+
+    A longer one is joined by Spark's own choice, with a shuffle where needed.
+    """
+    ids = stored(ids, name)
+    return F.broadcast(ids) if ids.count() <= FEW_IDS else ids
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

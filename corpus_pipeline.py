@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agora.llm import language, near_dup, packing, quality, token_ids
-from agora.llm.shared import prepare, stored, table
+from agora.llm.shared import few, prepare, stored, table
 from agora.llm.vocabularies import default_path
 
 # A text goes if no language reaches this share of it. Texts that mix two languages stay.
@@ -39,6 +39,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     """One document of each group of near-duplicates, the one with the least id; of rows that repeat its id, one."""
     prepare(spark)
     gone = near_dup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = few(gone, "gone")
     kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
     repeated = kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     repeated = stored(repeated, "repeated")
