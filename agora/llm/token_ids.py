@@ -23,6 +23,7 @@ from agora.llm.vocabularies import LAST_SHARED, Memo, byte_letters, cuts, merge_
 
 # str.split() takes these for white space, the tokenizer does not.
 _NO_SPACE = regex.compile("[\x1c-\x1f]")
+_MARKS = frozenset(".,;:!?")
 
 
 class Ids:
@@ -52,24 +53,25 @@ class Ids:
         self.after_space = Memo(lambda cut: self._cut(" " + cut))
 
     def _cut(self, cut: str) -> bytes:
-        if max(cut, default="") > LAST_SHARED:
+        if not cut.isascii() and max(cut) > LAST_SHARED:
             return array("I", self.tokenizer.encode(cut, add_special_tokens=False).ids).tobytes()
         # Up to LAST_SHARED every letter is composed, so normalising is lower-casing.
         text = cut.lower() if self.lowers else cut
         word = text[1:] if text[:1] == " " else text
-        pieces = (text,) if word.isalpha() else self.find(text)
-        ids, letters = [], self.letters
-        for p in pieces:
-            if not p.isascii():
-                p = p.encode().decode("latin-1").translate(letters)
-            elif p.isalpha():
-                pass
-            elif p[1:].isalpha() and p[0] == " ":
-                p = self.blank + p[1:]
-            else:
-                p = p.translate(letters)
-            ids += [t.id for t in self.merge(p)]
-        return array("I", ids).tobytes()
+        if not word.isalpha():
+            # A word and one mark are two matches of the pattern.
+            pieces = (text[:-1], text[-1]) if word[-1:] in _MARKS and word[:-1].isalpha() else self.find(text)
+            if len(pieces) != 1:
+                # Parts of a cut are mostly words and marks that were seen alone.
+                return b"".join([self.after_space[p[1:]] if p[0] == " " else self.whole[p] for p in pieces])
+            text = pieces[0]
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(self.letters)
+        elif word.isalpha():
+            text = self.blank + word if text is not word else word
+        else:
+            text = text.translate(self.letters)
+        return array("I", [t.id for t in self.merge(text)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special) or not self.keeps_space and _NO_SPACE.search(text):

@@ -47,7 +47,9 @@ def default_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-_INSIDE_A_RUN = re.compile("[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000] ")
+_WHITE = [chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+# White space before a blank. Looking for each is faster than one pattern with a class.
+_INSIDE_A_RUN = [c + " " for c in _WHITE]
 
 
 def cuts(text: str) -> tuple[str, list[str]] | None:
@@ -56,7 +58,7 @@ def cuts(text: str) -> tuple[str, list[str]] | None:
     The public pattern never matches across the border before the first space
     of a run, so head and pieces (with their space) can be taken separately.
     """
-    if _INSIDE_A_RUN.search(text) or text[:1] == " ":
+    if text[:1] == " " or any([run in text for run in _INSIDE_A_RUN]):
         return None
     head, *rest = text.split(" ")
     return head, rest
