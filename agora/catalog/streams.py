@@ -14,8 +14,9 @@ _POSTS_SQL = """SELECT CAST(event_id AS VARCHAR) AS source_id, epoch_us(ts) AS p
   CAST(floor(value) AS BIGINT) AS upvote_count FROM events"""
 
 
-def _as_posts(df):
+def _as_posts(df, *more):
     return df.select(
+        *more,
         F.lit(2).alias("platform_id"),
         F.col("event_id").cast("string").alias("source_id"),
         F.col("ts").cast("timestamp").alias("posted_at"),
@@ -51,13 +52,25 @@ def stream_ingest_(spark, sf):
     return _shown(tables.read_table(spark, out, rows))
 
 
-@query("stream_dedup", _POSTS_SQL)
+@query(
+    "stream_dedup",
+    f"""{_POSTS_SQL} UNION ALL SELECT 'o' || CAST(o_orderkey AS VARCHAR), epoch_us(CAST(o_orderdate AS TIMESTAMP)),
+  'u_' || CAST(o_custkey AS VARCHAR), CAST(floor(o_totalprice) AS BIGINT) FROM orders""",
+)
 def stream_dedup_(spark, sf):
-    """Repeated captures in a stream: the first of each post is kept."""
+    """Repeated captures of events and of orders, which are years older: the first of each post is kept."""
     feed, schema = _feed(spark, sf)
-    out = work_dir(spark, "unique")
-    posts = _as_posts(spark.readStream.schema(schema).parquet(feed))
-    unique = stream_dedup(posts, ["source_id"], "posted_at", "60 days")
+    orders = sample.read(spark, sf, "orders").selectExpr(
+        "concat('o', o_orderkey) AS event_id", "o_orderdate AS ts", "o_custkey AS user_id", "o_totalprice AS value"
+    )
+    out, mixed = work_dir(spark, "unique"), work_dir(spark, "mixed")
+    events = spark.read.schema(schema).parquet(feed).selectExpr("CAST(event_id AS string) AS event_id", "ts", "user_id", "value")
+    events.write.parquet(mixed)
+    orders.write.mode("append").parquet(mixed)
+    stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 4).parquet(mixed)
+    captured = F.col("_metadata.file_modification_time").alias("captured_at")
+    posts = _as_posts(stream.select("*", captured), "captured_at")
+    unique = stream_dedup(posts, ["source_id"], "captured_at", "60 days")
     run = (
         unique.writeStream.format("parquet")
         .option("checkpointLocation", work_dir(spark, "progress"))

@@ -49,9 +49,18 @@ def strip_symbols(spark, sf):
     return _documents(spark, sf).select("doc_id", X.strip_symbols(F.col("text")).alias("text"))
 
 
-@query("nfkc")
+# The test texts hold no character NFKC changes, so each text is given some: (written, normal).
+_COMPATIBLE = [("\ufb01", "fi"), ("\u2163", "IV"), ("\uff12", "2"), ("e\u0301", "\u00e9"), ("\u00a0", " "), ("\u212b", "\u00c5")]
+
+
+@query(
+    "nfkc",
+    "SELECT doc_id, '" + "".join(b for _, b in _COMPATIBLE) + "' || replace(text, 'fi', 'fi ') || '2' AS text FROM documents",
+)
 def nfkc(spark, sf):
-    return _documents(spark, sf).select("doc_id", X.nfkc(F.col("text")).alias("text"))
+    """Documents with ligatures and other compatible forms in them."""
+    odd = F.concat(F.lit("".join(a for a, _ in _COMPATIBLE)), F.replace("text", F.lit("fi"), F.lit("\ufb01\u2003")), F.lit("\u00b2"))
+    return _documents(spark, sf).select("doc_id", X.nfkc(odd).alias("text"))
 
 
 _URL = (
@@ -66,7 +75,8 @@ _URL = (
 )
 def strip_urls(spark, sf):
     return sample.read(spark, sf, "pages").select(
-        "page_id", X.strip_urls(F.col("url")).alias("url"), X.strip_urls(F.col("html")).alias("text")
+        "page_id", X.strip_urls(F.col("url"), fixed.COMMON_TLDS).alias("url"),
+        X.strip_urls(F.col("html"), fixed.COMMON_TLDS).alias("text"),
     )
 
 
@@ -121,16 +131,22 @@ _WORDS = {"the": "teh", "of": "o'", "le": "lé", "et": "and then", "der": "d", "
 _TOKENS_SQL = f"list_filter(string_split_regex(text, '{_SPACE}+'), lambda w: w <> '')"
 
 
+_SLANG = {**_WORDS, **fixed.SLANG}
+
+
+def _slang_sql(words: dict) -> str:
+    cases = " ".join(f"WHEN {S.text(k)} THEN {S.text(v)}" for k, v in words.items())
+    return f"array_to_string(list_transform({_TOKENS_SQL}, lambda w: CASE w {cases} ELSE w END), ' ')"
+
+
 @query(
     "normalize_slang",
-    "SELECT doc_id, array_to_string(list_transform("
-    + _TOKENS_SQL
-    + ", lambda w: CASE w "
-    + " ".join(f"WHEN {S.text(k)} THEN {S.text(v)}" for k, v in _WORDS.items())
-    + " ELSE w END), ' ') AS text FROM documents",
+    f"SELECT doc_id, {_slang_sql(_SLANG)} AS text FROM (SELECT doc_id, text || ' ' || {S.text(' '.join(fixed.SLANG))} AS text FROM documents)",
 )
 def normalize_slang(spark, sf):
-    return _documents(spark, sf).select("doc_id", X.normalize_slang(F.col("text"), _WORDS).alias("text"))
+    """Documents with every word of the shipped map after their own."""
+    text = F.concat("text", F.lit(" " + " ".join(fixed.SLANG)))
+    return _documents(spark, sf).select("doc_id", X.normalize_slang(text, _SLANG).alias("text"))
 
 
 @query("strip_emoji", f"SELECT doc_id, {_sub('text', '[' + X.emoji_class() + ']+')} AS text FROM documents")
@@ -143,14 +159,38 @@ def collapse_ws(spark, sf):
     return _documents(spark, sf).select("doc_id", X.collapse_whitespace(F.col("text")).alias("text"))
 
 
-@query("clean_text")
+def _chain(first: str, *steps: str) -> str:
+    """SQL that applies ``steps``, expressions over ``text``, one after the other."""
+    out = first
+    for step in steps:
+        out = f"SELECT id, {step} AS text FROM ({out})"
+    return out
+
+
+@query(
+    "clean_text",
+    "SELECT id, text AS processed_text FROM (" + _chain(
+        """SELECT 'd' || CAST(doc_id AS VARCHAR) AS id, text FROM documents UNION ALL SELECT 'p' || CAST(page_id AS VARCHAR), html FROM pages
+  UNION ALL SELECT 'c' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR), text FROM conversations""",
+        """replace(replace(replace(replace(replace(text, '&amp;', '&'), '&amp', '&'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·')""",
+        _sub("text", "<[^>]+>", " "),
+        _sub("text", r"[\p{S}<>\[\]]"),
+        _sub("text", _URL),
+        _sub("text", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"),
+        _EXPAND_SQL,
+        _sub("text", r"@([\p{L}\p{N}_]+)", r"\1"),
+        _slang_sql(fixed.SLANG),
+        _sub("text", "[" + X.emoji_class() + "]+"),
+        f"trim({_sub('text', _SPACE + '+', ' ')}, ' ')",
+    ) + ")",
+)
 def clean_text(spark, sf):
     """The full cleaner over documents, pages and conversation turns."""
     docs = sample.read(spark, sf, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), "text")
     pages = sample.read(spark, sf, "pages").select(F.concat(F.lit("p"), "page_id").alias("id"), F.col("html").alias("text"))
     turns = sample.read(spark, sf, "conversations").select(F.concat(F.lit("c"), "conv_id", F.lit("_"), "turn").alias("id"), "text")
     texts = docs.unionByName(pages).unionByName(turns)
-    return X.clean_text(texts, "text").select("id", "processed_text")
+    return X.clean_text(texts, "text", tlds=fixed.COMMON_TLDS).select("id", "processed_text")
 
 
 @query(
@@ -197,8 +237,28 @@ def lexicon_sentiment(spark, sf):
     return out.withColumns({c: F.col(c).cast("long") for c in ("positive_hits", "negative_hits")})
 
 
-@query("score_sentiment")
+def _length_model():
+    """A stand-in model: class and probability by the length of the text; the last class has no label."""
+
+    def predict(texts):
+        return [(f"LABEL_{len(t) % 4}", len(t) * 37 % 10007 / 10007) for t in texts]
+
+    return predict
+
+
+@query(
+    "score_sentiment",
+    """SELECT doc_id, CASE length(text) % 4 WHEN 0 THEN 'positive' WHEN 2 THEN 'negative' ELSE 'neutral' END AS sentiment_label,
+  CAST(round(length(text) * 37 % 10007 / 10007.0::DOUBLE * 10000) AS BIGINT) AS score_parts FROM documents""",
+)
 def score_sentiment(spark, sf):
+    """Any model as scorer: its batches, the label table, scores of four digits."""
+    out = sentiment.score_sentiment(_documents(spark, sf), "text", _length_model)
+    return out.select("doc_id", "sentiment_label", (F.col("sentiment_score") * 10000).cast("long").alias("score_parts"))
+
+
+@query("trained_sentiment")
+def trained_sentiment(spark, sf):
     """The trainable default scorer: fitted on labelled documents, applied to every document."""
     scores = sample.document_scores(spark, sf, text=True)
     model = sentiment.train_sentiment(
@@ -207,40 +267,59 @@ def score_sentiment(spark, sf):
     return sentiment.score_with_model(scores.select("doc_id", "text_content"), "text_content", model).drop("text_content")
 
 
-@query("fit_topics")
+_N_TOPICS = 5
+
+
+@query(
+    "fit_topics",
+    f"""SELECT CAST(t.i AS BIGINT) AS topic_no, 'Lainnya' AS topic_label, 'Umum' AS topic_category, 5 AS n_keywords, true AS words_occur
+FROM range({_N_TOPICS}) t(i)""",
+)
 def fit_topics(spark, sf):
-    """Topics of all documents with their top words and rule labels."""
-    model = topics.fit_topics(_documents(spark, sf), "text", 5, iterations=5, vocabulary=5000)
-    return topics.topic_table(model).withColumn("top_keywords", F.array_join("top_keywords", ","))
+    """Topics of all documents: their number, labels (no rule's words occur in these texts) and that their words are the texts' own."""
+    docs = _documents(spark, sf)
+    table = topics.topic_table(spark, topics.fit_topics(docs, "text", _N_TOPICS))
+    words = docs.select(F.explode(X.tokenize(F.col("text"))).alias("word")).distinct()
+    named = table.select("topic_no", "topic_label", "topic_category", F.explode("top_keywords").alias("word"))
+    met = named.join(words.withColumn("_known", F.lit(True)), "word", "left")
+    return met.groupBy(F.col("topic_no").cast("long").alias("topic_no"), "topic_label", "topic_category").agg(
+        F.count_distinct("word").cast("int").alias("n_keywords"), F.every(F.coalesce("_known", F.lit(False))).alias("words_occur")
+    )
 
 
-@query("assign_topic")
+@query(
+    "assign_topic",
+    f"""WITH t AS (SELECT doc_id, len({_TOKENS_SQL}) > 0 AS has_topic FROM documents)
+SELECT doc_id, has_topic, CASE WHEN has_topic THEN 'Lainnya' ELSE 'Tidak Terklasifikasi' END AS topic_label, 'Umum' AS topic_category,
+  CASE WHEN has_topic THEN 5 ELSE 0 END AS n_keywords FROM t""",
+)
 def assign_topic(spark, sf):
-    """Every document with its most probable topic."""
+    """Every document once, with one of the topics if it has a word, else the default."""
     docs = _documents(spark, sf)
-    model = topics.fit_topics(docs, "text", 5, iterations=5, vocabulary=5000)
-    out = topics.assign_topic(docs, "text", model)
-    return out.select("doc_id", "topic_no", "topic_label", "topic_category", F.array_join("top_keywords", ",").alias("top_keywords"))
+    out = topics.assign_topic(docs, "text", topics.fit_topics(docs, "text", _N_TOPICS))
+    has = F.coalesce(F.col("topic_no").between(0, _N_TOPICS - 1), F.lit(False)).alias("has_topic")
+    return out.select("doc_id", has, "topic_label", "topic_category", F.size("top_keywords").alias("n_keywords"))
 
 
-# Rules over words the test texts hold; order decides between them.
-_RULES = [
-    (["thing", "sie"], "Inflasi & Harga", "Ekonomi Makro"),
-    (["las", "los"], "Energi", "Sektor Riil"),
-    (["that", "dans"], "Fiskal & Pajak", "Ekonomi Makro"),
-]
+# The rules' words, which the test texts lack, and one of no rule: two join the words of each document.
+_RULE_WORDS = [w for words, _, _ in fixed.TOPIC_RULES for w in words] + ["lain"]
+_N_WORDS = len(_RULE_WORDS)
 
 
 @query(
     "label_rules",
-    f"""WITH t AS (SELECT doc_id, {_TOKENS_SQL} AS t FROM documents)
-SELECT doc_id, CASE {" ".join(f"WHEN list_has_any(t, {S.words(w)}) THEN {S.text(n)}" for w, n, _ in _RULES)} ELSE 'Lainnya' END AS topic_label,
-  CASE {" ".join(f"WHEN list_has_any(t, {S.words(w)}) THEN {S.text(c)}" for w, _, c in _RULES)} ELSE 'Umum' END AS topic_category FROM t""",
+    f"""WITH w AS (SELECT {S.words(_RULE_WORDS)} AS w), t AS (SELECT doc_id,
+  list_concat({_TOKENS_SQL}, [w[doc_id % {_N_WORDS} + 1], w[doc_id // 7 * 11 % {_N_WORDS} + 1]]) AS t FROM documents, w)
+SELECT doc_id, CASE {" ".join(f"WHEN list_has_any(t, {S.words(w)}) THEN {S.text(n)}" for w, n, _ in fixed.TOPIC_RULES)}
+    ELSE 'Lainnya' END AS topic_label,
+  CASE {" ".join(f"WHEN list_has_any(t, {S.words(w)}) THEN {S.text(c)}" for w, _, c in fixed.TOPIC_RULES)} ELSE 'Umum' END AS topic_category FROM t""",
 )
 def label_rules_(spark, sf):
-    """First rule sharing a word with the document."""
-    found = label_rules(X.tokenize(F.col("text")), _RULES)
-    return _documents(spark, sf).select("doc_id", found.alias("l")).select("doc_id", "l.*")
+    """First of the shipped rules sharing a word with the document."""
+    listed = F.array(*[F.lit(w) for w in _RULE_WORDS])
+    added = [F.element_at(listed, (n % _N_WORDS + 1).cast("int")) for n in (F.col("doc_id"), F.floor(F.col("doc_id") / 7) * 11)]
+    words = F.concat(X.tokenize(F.col("text")), F.array(*added))
+    return _documents(spark, sf).select("doc_id", label_rules(words).alias("l")).select("doc_id", "l.*")
 
 
 @query(

@@ -99,7 +99,7 @@ def url_pattern(tlds: Sequence[str]) -> str:
     return rf"{_java(fixed.LINK)}|(?<!{run}){run}+\.(?:{names}){_NON_SPACE}*"
 
 
-def strip_urls(text: Column, tlds: Sequence[str] = fixed.COMMON_TLDS) -> Column:
+def strip_urls(text: Column, tlds: Sequence[str]) -> Column:
     pattern = url_pattern(tlds)
     # Every match holds one of these; few texts do, and looking for them is cheap.
     suspect = text.rlike(rf"://|www\.|\.(?:{_any_tld(tlds)})")
@@ -194,6 +194,19 @@ def remove_stopwords(tokens: Column, words: Sequence[str]) -> Column:
     return F.filter(tokens, lambda w: ~F.lower(w).isin(listed))
 
 
+def remove_listed(df: DataFrame, key: str, tokens: str, words: DataFrame, out_col: str = "kept_tokens") -> DataFrame:
+    """``remove_stopwords`` for lists of any length: ``words`` (column word, lower case) is a table.
+
+    ``key`` must be unique in ``df``. Tokens meet the list in a join; each row
+    then gets back what is left of its own tokens, in order.
+    """
+    listed = words.select(F.col("word").alias("_word")).distinct()
+    each = df.select(key, F.posexplode(tokens).alias("_place", "_token")).withColumn("_word", F.lower("_token"))
+    left = each.join(listed, "_word", "left_anti").groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_place", "_token"))).alias("_left"))
+    kept = F.coalesce(F.col("_left._token"), F.array().cast("array<string>"))
+    return df.join(left, key, "left").withColumn(out_col, kept).drop("_left")
+
+
 def read_word_list(spark: SparkSession, *paths: str, limit: int = 50_000) -> list[str]:
     """The union of word files, one word per line: trimmed, lower-cased, '#' lines skipped.
 
@@ -210,7 +223,7 @@ def read_word_list(spark: SparkSession, *paths: str, limit: int = 50_000) -> lis
         .collect()
     )
     if len(rows) > limit:
-        raise ValueError(f"word list holds more than {limit} words: join against it instead")
+        raise ValueError(f"word list holds more than {limit} words: use remove_listed")
     return sorted(r.word for r in rows)
 
 
@@ -219,12 +232,14 @@ def clean_text(
     text_col: str,
     out_col: str = "processed_text",
     *,
-    tlds: Sequence[str] = fixed.COMMON_TLDS,
+    tlds: Sequence[str],
     dropped_hashtags: Sequence[str] = fixed.DROPPED_HASHTAGS,
     slang: Mapping[str, str] = fixed.SLANG,
 ) -> DataFrame:
     """Run every cleaning step, in this fixed order, into ``out_col``.
 
+    ``tlds`` are the top-level domains of bare links: the whole public registry
+    list (``read_word_list`` of its file) for real texts.
     One projection per step keeps intermediate texts plain columns, so that
     native steps that look at a text twice do not repeat the steps before.
     """

@@ -56,8 +56,11 @@ def query(
     ``where`` holds (column, operator, value) triples, all of which must hold,
     two on one column included. ``order`` holds (column, descending) pairs; nulls
     sort last ascending and first descending. End ``order`` on a unique column
-    when paging.
+    when paging. An offset needs a limit: alone it would send all other rows
+    through one task; filter by the last key of the page before instead.
     """
+    if offset is not None and limit is None:
+        raise ValueError("an offset needs a limit; to read on to the end, filter by the last key seen")
     for column, op, value in where:
         if op not in FILTERS:
             raise ValueError(f"unknown filter {op!r}")

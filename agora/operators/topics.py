@@ -8,11 +8,12 @@ from dataclasses import dataclass
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agora import fixed, schemas
 from agora.functions.text import tokenize
+from agora.session import work_dir
 from agora.sources.local import small_table
 
 _TOPIC_WORDS = schemas.columns(topic_no=schemas.INT, _words=schemas.WORDS)
@@ -20,10 +21,17 @@ _TOPIC_WORDS = schemas.columns(topic_no=schemas.INT, _words=schemas.WORDS)
 Rule = tuple[Sequence[str], str, str]
 
 
+# Words are counted in this many slots by their hash: no word is dropped, and
+# the model's size does not grow with the texts.
+SLOTS = 1 << 18
+
+
 @dataclass(frozen=True)
 class TopicModel:
     words: CountVectorizerModel
     lda: LDAModel
+    slots: int
+    top: list[tuple[int, list[str]]]  # topic, its words, best first
 
 
 def label_rules(
@@ -41,31 +49,47 @@ def label_rules(
     return out
 
 
+def _slot(word: Column, slots: int) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(slots)).cast("string")
+
+
+def _with_slots(df: DataFrame, text_col: str, slots: int) -> DataFrame:
+    tokens = tokenize(F.coalesce(F.col(text_col), F.lit("")))
+    return df.withColumn("_tokens", F.transform(tokens, lambda w: _slot(w, slots)))
+
+
 def fit_topics(
-    df: DataFrame, text_col: str, k: int, *, vocabulary: int = 1 << 16, iterations: int = 20, seed: int = 17
+    df: DataFrame, text_col: str, k: int, *, slots: int = SLOTS, iterations: int = 20, seed: int = 17, naming: int = 10
 ) -> TopicModel:
-    """Bag of words and online variational LDA over every text in each iteration.
+    """Hashed bag of words and online variational LDA over every text in each iteration.
 
-    What the driver holds is k x vocabulary numbers, whatever the data.
+    The bags are written once to the shared folder. A slot is named after its
+    most frequent word (the least of several). What the driver holds is
+    k x slots numbers, whatever the data.
     """
-    tokens = df.select(tokenize(F.coalesce(F.col(text_col), F.lit(""))).alias("_tokens"))
-    words = CountVectorizer(inputCol="_tokens", outputCol="_bow", vocabSize=vocabulary).fit(tokens)
+    hashed = _with_slots(df, text_col, slots).select("_tokens")
+    words = CountVectorizer(inputCol="_tokens", outputCol="_bow", vocabSize=slots).fit(hashed)
+    path = work_dir(df.sparkSession, "bags")
+    words.transform(hashed).select("_bow").write.parquet(path)
     lda = LDA(
         k=k, maxIter=iterations, seed=seed, optimizer="online", subsamplingRate=1.0,
         featuresCol="_bow", topicDistributionCol="_topics",
-    )
-    return TopicModel(words, lda.fit(words.transform(tokens)))
+    ).fit(df.sparkSession.read.parquet(path))
+    # k rows of a few slots each, whatever the corpus; so is the dictionary of these slots.
+    best = [(r.topic, [words.vocabulary[i] for i in r.termIndices]) for r in lda.describeTopics(naming).collect()]
+    wanted = sorted({s for _, of in best for s in of})
+    each = df.select(F.explode(tokenize(F.coalesce(F.col(text_col), F.lit("")))).alias("word"))
+    counted = each.where(_slot(F.col("word"), slots).isin(wanted)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    name = F.min(F.struct(-F.col("n"), "word"))["word"].alias("word")
+    names = dict(counted.groupBy(_slot(F.col("word"), slots).alias("slot")).agg(name).collect())
+    return TopicModel(words, lda, slots, [(topic, [names[s] for s in of]) for topic, of in best])
 
 
 def topic_table(
-    model: TopicModel, rules: Sequence[Rule] = fixed.TOPIC_RULES, *, naming: int = 10, kept: int = 5
+    spark: SparkSession, model: TopicModel, rules: Sequence[Rule] = fixed.TOPIC_RULES, *, kept: int = 5
 ) -> DataFrame:
     """One row per topic: its label and category by its top words, and the words kept."""
-    described = model.lda.describeTopics(naming)
-    # k rows of a few word numbers each, whatever the corpus.
-    rows, words = described.collect(), model.words.vocabulary
-    named = [(r.topic, [words[i] for i in r.termIndices]) for r in rows]
-    table = small_table(described.sparkSession, _TOPIC_WORDS, named)
+    table = small_table(spark, _TOPIC_WORDS, model.top)
     return table.select(
         "topic_no",
         label_rules(F.col("_words"), rules).alias("_l"),
@@ -79,11 +103,11 @@ def assign_topic(df: DataFrame, text_col: str, model: TopicModel, rules: Sequenc
     Posts without tokens are unclassified. Topic names come from a join with
     the table of the k topics, so rules run once per topic.
     """
-    tokens = df.withColumn("_tokens", tokenize(F.coalesce(F.col(text_col), F.lit(""))))
+    tokens = _with_slots(df, text_col, model.slots)
     probability = vector_to_array(F.col("_topics"))
     best = F.array_position(probability, F.array_max(probability)).cast("int") - 1
     scored = model.lda.transform(model.words.transform(tokens)).withColumn("topic_no", F.when(F.size("_tokens") > 0, best))
-    named = scored.join(topic_table(model, rules), "topic_no", "left")
+    named = scored.join(topic_table(df.sparkSession, model, rules), "topic_no", "left")
     return with_topic_default(named).select(*df.columns, "topic_no", "topic_label", "topic_category", "top_keywords")
 
 

@@ -14,6 +14,11 @@ from agora.operators.raw import dedup_keep_last
 from agora.sources import tables
 
 
+def _partitioned_by(keys: Sequence[str]) -> None:
+    if "posted_at" not in keys:
+        raise ValueError("keys must hold posted_at: else copies of a key can lie in partitions the batch does not touch")
+
+
 def append_new(
     batch: DataFrame, path: str, schema: StructType, keys: Sequence[str] = FACT_KEY, grain: str = "year"
 ) -> None:
@@ -21,6 +26,7 @@ def append_new(
 
     Only the partitions the batch falls in are read back.
     """
+    _partitioned_by(keys)
     rows = tables.with_partition(batch, grain).persist()
     try:
         touched = tables.touched_partitions(rows)
@@ -38,6 +44,7 @@ def merge_latest(
     Stored rows compete with the batch, so a repeated or late batch changes
     nothing that is newer. Only the partitions the batch falls in are rewritten.
     """
+    _partitioned_by(keys)
     rows = tables.with_partition(batch, grain).persist()
     try:
         touched = tables.touched_partitions(rows)
@@ -99,16 +106,19 @@ def stream_upsert(
     return _run(rows, checkpoint, lambda batch, _: merge_latest(batch, out, rows.schema, keys, arrival))
 
 
-def stream_dedup(df: DataFrame, keys: Sequence[str], time_col: str, delay: str, *, spread: int = 8) -> DataFrame:
-    """First capture of each key within ``delay`` of event time.
+def stream_dedup(df: DataFrame, keys: Sequence[str], captured: str, delay: str, *, spread: int = 8) -> DataFrame:
+    """First capture of each key within ``delay``, by the time of capture.
 
-    Copies are dropped per slice of the input first and across slices second,
-    so a post captured over and over is not sent to one task copy by copy.
-    State is bounded by the watermark; choose ``delay`` no shorter than the
-    time after which posts are still captured again. ``stream_upsert`` keeps
-    the last capture instead and needs no watermark.
+    ``captured`` is when a row arrived (of a file stream: the file's time), not
+    when the post was written: posts of any age may arrive, and none is late
+    unless its file is older than the newest by more than ``delay``. Copies are
+    dropped per slice of the input first and across slices second, so a post
+    captured over and over is not sent to one task copy by copy. State is
+    bounded by the watermark; choose ``delay`` no shorter than the time after
+    which posts are still captured again. ``stream_upsert`` keeps the last
+    capture instead and needs no watermark.
     """
     # Which slice a copy falls in decides nothing but the work per task.
-    sliced = df.withWatermark(time_col, delay).withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(spread)))
+    sliced = df.withWatermark(captured, delay).withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(spread)))
     thinned = sliced.dropDuplicatesWithinWatermark([*keys, "_slice"]).drop("_slice")
     return thinned.dropDuplicatesWithinWatermark(list(keys))

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from agora import fixed
 from agora.catalog import load_all
 from agora.functions.text import clean_text
 from agora.operators.query import query
@@ -10,7 +11,7 @@ from agora.session import work_dir
 from agora.sources import sample_posts as sample
 from agora.sources import tables
 
-BATCH_ONLY = {"stream_ingest", "stream_dedup", "stream_upsert", "score_sentiment", "fit_topics", "assign_topic"}
+BATCH_ONLY = {"stream_ingest", "stream_dedup", "stream_upsert", "trained_sentiment", "fit_topics", "assign_topic"}
 
 
 def plan(df):
@@ -56,6 +57,6 @@ def test_hot_keys_are_reduced_before_the_shuffle(spark, sf_dir):
 
 
 def test_cleaning_hands_python_only_what_it_needs(spark, sf_dir):
-    text = plan(clean_text(sample.read(spark, sf_dir, "documents").select("text"), "text"))
+    text = plan(clean_text(sample.read(spark, sf_dir, "documents").select("text"), "text", tlds=fixed.COMMON_TLDS))
     assert text.count("ArrowEvalPython") == 2 and "Exchange" not in text
     assert "_unescape(CASE WHEN Contains(" in text and "_nfkc(CASE WHEN RLIKE(" in text

@@ -68,8 +68,8 @@ def test_every_rule_label_is_in_the_topic_dimension(spark):
 def test_topics_separate_two_vocabularies(spark):
     docs = [("bbm listrik gas minyak",), ("gaji upah buruh kerja",)] * 20 + [("  ",), (None,), ("unseen",)]
     df = spark.createDataFrame(docs, "t string")
-    model = topics.fit_topics(df.where("t like '% %'"), "t", 2, vocabulary=100, iterations=30)
-    table = topics.topic_table(model).collect()
+    model = topics.fit_topics(df.where("t like '% %'"), "t", 2, slots=1000, iterations=30)
+    table = topics.topic_table(spark, model).collect()
     assert sorted(r.topic_no for r in table) == [0, 1] and all(len(r.top_keywords) <= 5 for r in table)
     out = topics.assign_topic(df, "t", model).groupBy("t", "topic_label", "topic_category").agg(F.count("*").alias("n")).collect()
     named = {r.t: (r.topic_label, r.topic_category) for r in out}

@@ -14,7 +14,7 @@ def texts(spark, *values):
 
 
 def cleaned(spark, *values, **options):
-    rows = X.clean_text(texts(spark, *values), "t", **options).orderBy("i").collect()
+    rows = X.clean_text(texts(spark, *values), "t", **{"tlds": fixed.COMMON_TLDS, **options}).orderBy("i").collect()
     return [r.processed_text for r in rows]
 
 
@@ -109,7 +109,7 @@ def test_slang_values_are_squeezed(spark):
 
 
 def test_clean_text_keeps_other_columns_and_rows(spark):
-    df = X.clean_text(texts(spark, "a", "b", None), "t")
+    df = X.clean_text(texts(spark, "a", "b", None), "t", tlds=fixed.COMMON_TLDS)
     assert df.columns == ["i", "t", "processed_text"] and df.count() == 3
 
 
@@ -136,7 +136,7 @@ def test_guarded_url_pattern_matches_the_plain_one(spark):
         spark, ".com", "..com", "-.com", "a..com", "xhttp://a.b", "wwww.foo", "x.y.comz q", ".x.y", "http://", "www.",
         "é.id/x", "foo.", "...", "a.in.b", "a.co-b.com z", "x.com/a b.org,c d.e", "no links here", "://x",
     )
-    rows = odd.select("t", X.strip_urls(F.col("t")).alias("a"), F.regexp_replace("t", plain, "").alias("b")).collect()
+    rows = odd.select("t", X.strip_urls(F.col("t"), fixed.COMMON_TLDS).alias("a"), F.regexp_replace("t", plain, "").alias("b")).collect()
     assert all(r.a == r.b for r in rows)
 
 

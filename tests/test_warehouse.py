@@ -58,7 +58,7 @@ def fill(house, spark):
 
 def run(house):
     for source in (fixed.X_SOURCE, fixed.REDDIT_SOURCE):
-        house.transform(source, score, topic)
+        house.transform(source, score, topic, tlds=fixed.COMMON_TLDS)
     house.load()
 
 
@@ -96,8 +96,8 @@ def test_from_scrape_to_views(house, spark):
 def test_load_finishes_what_a_dead_run_left(house, spark):
     fill(house, spark)
     for source in (fixed.X_SOURCE, fixed.REDDIT_SOURCE):
-        house.transform(source, score, topic)
-        house.transform(source, score, topic)  # staged once all the same
+        house.transform(source, score, topic, tlds=fixed.COMMON_TLDS)
+        house.transform(source, score, topic, tlds=fixed.COMMON_TLDS)  # staged once all the same
     assert house.staged().count() == 5
     staged = house.staged().persist()
     staged.count()
