@@ -14,7 +14,7 @@ from agora.operators.raw import dedup_keep_last
 FACT_KEY = ["platform_id", "source_id", "posted_at"]
 COUNTS = ["like_count", "comment_count", "quote_count", "retweet_count", "upvote_count", "downvote_count"]
 FACT_COLUMNS = [
-    "source_id", "source_url", "time_id", "platform_id", "topic_id", "sentiment_id",
+    "post_id", "source_id", "source_url", "time_id", "platform_id", "topic_id", "sentiment_id",
     *COUNTS, "sentiment_score", "engagement_tier", "posted_at",
 ]
 
@@ -41,8 +41,12 @@ def resolve_keys(staged: DataFrame, dims: Dimensions) -> DataFrame:
         .when(F.col("platform_id").isNull(), "channel not in dim_platform")
     )
     total = P.engagement(*[counts[c] for c in ("like_count", "retweet_count", "upvote_count", "comment_count")])
+    # The digest of the fact's key: the same on every run, and as unique as the
+    # key, which loading keeps unique. The numbers around the id keep it apart.
+    key = F.concat_ws("|", "platform_id", "id", F.unix_micros("posted_at"))
     return df.select(
         "source_type",
+        F.md5(key).alias("post_id"),
         F.col("id").alias("source_id"),
         P.source_url(source, F.col("id"), F.col("username"), F.col("permalink")).alias("source_url"),
         "full_date", "platform_name", "channel", "topic_label", "sentiment_label", "confidence_bucket",

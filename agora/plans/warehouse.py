@@ -7,7 +7,7 @@ paging, and each can be run again after a failure without doubling rows.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from agora import fixed, schemas
 from agora.functions.text import clean_text
 from agora.operators import load, raw
-from agora.operators.dims import Dimensions, default_dimensions
+from agora.operators.dims import Dimensions, build_dim_topic, default_dimensions, topic_rows
 from agora.operators.query import setting
 from agora.plans.star import MONTHLY, summarise
 from agora.plans.views import VIEWS
+from agora.session import work_dir
 from agora.sources import tables
 from agora.sources.local import empty_table
 
@@ -48,10 +49,56 @@ class Warehouse:
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def raw(self, source: str) -> DataFrame:
+    def _stored_raw(self, source: str) -> DataFrame:
         name, schema, _ = RAW_TABLES[source]
         return tables.read_table(self.spark, self._path(name), schema)
 
+    def _processed(self, source: str) -> DataFrame:
+        ledger = tables.read_table(self.spark, self._path("processed"), schemas.PROCESSED)
+        return ledger.where(F.col("source_type") == source)
+
+    def raw(self, source: str) -> DataFrame:
+        """Raw posts; which are processed is kept in a ledger beside them, so raw files are not rewritten for it."""
+        return raw.mark_processed(self._stored_raw(source), self._processed(source), ("id", "posted_at", tables.PART))
+
+    def _log(self, name: str, rows: list[tuple], schema) -> None:
+        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(self._path(name))
+
+    def _pending_parts(self, source: str) -> list[str]:
+        """Raw partitions written since posts were last staged: at most one per stored partition."""
+        scans = tables.read_table(self.spark, self._path("scans"), schemas.SCAN, by=None)
+        last = scans.where(F.col("source_type") == source).agg(F.max("scanned_at")).first()[0]
+        uploads = tables.read_table(self.spark, self._path("uploads"), schemas.UPLOAD, by=None)
+        uploads = uploads.where(F.col("source_type") == source)
+        if last is not None:
+            uploads = uploads.where(F.col("uploaded_at") >= F.lit(last))
+        return tables.touched_partitions(uploads, "touched")
+
+    def config(self) -> DataFrame:
+        """Settings the warehouse has written, such as ``last-updated``: the last value of each key."""
+        every = tables.read_table(self.spark, self._path("app_config"), schemas.SETTING, by=None)
+        return every.groupBy("key").agg(F.max_by("value", "written_at").alias("value"), F.min("written_at").alias("created_at"))
+
+    def dimensions(self) -> Dimensions:
+        """The dimensions, with the topics that loads have added."""
+        stored = tables.read_table(self.spark, self._path("dim_topic"), schemas.STORED_TOPIC, by=None)
+        last = raw.dedup_keep_last(stored, ["topic_id"], ["written_at"]).drop("written_at")
+        seed = self.dims.topic.join(last, "topic_id", "left_anti")
+        return replace(self.dims, topic=seed.unionByName(last))
+
+    def _extend_topics(self, staged: DataFrame) -> None:
+        """Store staged labels the topic dimension lacks, and keywords of topics that had none."""
+        known = self.dimensions().topic
+        found = topic_rows(staged.where(F.size("top_keywords") > 0)).select("topic_label", "top_keywords")
+        bare = known.where(F.size("top_keywords") == 0).drop("top_keywords")
+        named = bare.join(found, "topic_label")
+        nothing = F.array().cast("array<string>")
+        new = build_dim_topic(staged.withColumn("top_keywords", F.coalesce("top_keywords", nothing)), known)
+        changed = named.unionByName(new.join(known.select("topic_id"), "topic_id", "left_anti"))
+        now = F.lit(datetime.now(timezone.utc)).alias("written_at")
+        rows = changed.select(F.col("topic_id").cast("int"), "topic_label", "topic_category", "top_keywords", now)
+        rows.coalesce(1).write.mode("append").parquet(self._path("dim_topic"))
+
     def staged(self) -> DataFrame:
         return tables.read_table(self.spark, self._path("staging"), schemas.STAGED)
 
@@ -80,26 +127,39 @@ class Warehouse:
         """Merge scraped posts into the raw table; only the partitions they fall in are rewritten.
 
         ``arrival`` orders repeated captures of one post; the last one counts.
+        The partitions are noted first: they count as pending if the run dies.
         """
         name, schema, counts = RAW_TABLES[source]
         last = raw.dedup_keep_last(scraped, ["id"], arrival)
         incoming = self._part(raw.prepare_raw(last, schema, counts), "quarter").persist()
         try:
             touched = tables.touched_partitions(incoming)
-            stored = self.raw(source).where(F.col(tables.PART).isin(touched))
+            now = datetime.now(timezone.utc)
+            self._log("uploads", [(source, part, now) for part in touched], schemas.UPLOAD)
+            stored = self._stored_raw(source).where(F.col(tables.PART).isin(touched))
             merged = raw.upsert(
                 stored, incoming, ["id", "posted_at"], keep=["is_processed"], defaults={"is_processed": False}
             )
             tables.overwrite_partitions(merged, self._path(name))
+            self._log("app_config", [("last-updated", now.isoformat(), now)], schemas.SETTING)
         finally:
             incoming.unpersist()
 
     def transform(self, source: str, score: Step, topics: Step, **cleaning) -> None:
-        """Clean, score and stage the pending posts that are not staged yet."""
-        _, schema, _ = RAW_TABLES[source]
-        pending = raw.get_unprocessed(self.raw(source), source).select("id", "text_content", "posted_at", "extra.*")
+        """Clean, score and stage the pending posts that are not staged yet.
+
+        Only partitions written since the last time are read.
+        """
+        began = datetime.now(timezone.utc)
+        parts = self._pending_parts(source)
+        if not parts:
+            return
+        here = F.col(tables.PART).isin(parts)
+        stored = self._stored_raw(source).where(here)
+        pending = raw.get_unprocessed(stored, source).select("id", "text_content", "posted_at", "extra.*")
         pending = pending.withColumn("source_type", F.lit(source))
-        pending = pending.join(self.staged().select(*POST_KEY), POST_KEY, "left_anti")
+        done = self._processed(source).where(here).select(*POST_KEY).union(self.staged().where(here).select(*POST_KEY))
+        pending = pending.join(done, POST_KEY, "left_anti")
         scored = topics(score(clean_text(pending, "text_content", **cleaning)))
         columns = {f.name: f.dataType for f in schemas.STAGED.fields}
         out = scored.select(
@@ -109,6 +169,7 @@ class Warehouse:
             ]
         )
         tables.append_table(self._part(out, "quarter"), self._path("staging"))
+        self._log("scans", [(source, began)], schemas.SCAN)
 
     def load(self) -> int:
         """Turn staged posts into facts, keep what cannot be resolved as rejects, then clear staging.
@@ -117,9 +178,16 @@ class Warehouse:
         finished by running again. Returns the number of new facts.
         """
         staged = self.staged()
-        resolved = load.resolve_keys(staged, self.dims)
+        if staged.isEmpty():
+            return 0
+        self._extend_topics(staged)
+        keys = load.resolve_keys(staged, self.dimensions())
+        # Resolved once, into the shared work folder; every step below reads that.
+        path = work_dir(self.spark, "resolved")
+        keys.write.parquet(path)
+        resolved = self.spark.read.schema(keys.schema).parquet(path)
         years = self._part(load.accepted(resolved), "year")
-        touched = tables.touched_partitions(self._part(staged.select("posted_at"), "year"))
+        touched = tables.touched_partitions(self._part(resolved, "year"))
         facts = self.facts().where(F.col(tables.PART).isin(touched))
         now = F.lit(datetime.now(timezone.utc))
         fresh = load.new_facts(facts, years).withColumn("loaded_at", now)
@@ -132,12 +200,7 @@ class Warehouse:
         known = self.rejected().where(F.col(tables.PART).isin(touched))
         tables.append_table(load.new_facts(known, refused, key), self._path("rejects"))
 
-        for source, (name, _, _) in RAW_TABLES.items():
-            done = staged.where(F.col("source_type") == source).select("id", "posted_at", tables.PART)
-            parts = tables.touched_partitions(done)
-            if parts:
-                flagged = raw.mark_processed(self.raw(source).where(F.col(tables.PART).isin(parts)), done)
-                tables.overwrite_partitions(flagged, self._path(name))
+        tables.append_table(staged.select(*POST_KEY, tables.PART), self._path("processed"))
         # One writer at a time: whatever is staged now has just been loaded.
         empty = empty_table(self.spark, staged.schema)
         empty.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(tables.PART).parquet(
@@ -180,10 +243,11 @@ class Warehouse:
             rest = self.spark.read.parquet(f"{self._path('monthly')}/version={current.version}").where(~F.col("year").isin(list(years)))
             # Facts of other years may be newer than the views; the views stay due for them.
             until = current.loaded_until
-        summary = summarise(facts, self.dims, MONTHLY)
+        dims = self.dimensions()
+        summary = summarise(facts, dims, MONTHLY)
         summary = summary.unionByName(rest) if years else summary
         monthly = self.spark.read.parquet(tables.write_version(summary, self._path("monthly"), version))
-        out = {name: tables.write_version(build(monthly, self.dims), self._path(name), version) for name, build in VIEWS.items()}
+        out = {name: tables.write_version(build(monthly, dims), self._path(name), version) for name, build in VIEWS.items()}
         record = self.spark.createDataFrame([(version, datetime.now(timezone.utc), until)], schemas.VIEW_VERSION)
         record.write.mode("append").parquet(self._path("view_versions"))
         for name, where in out.items():

@@ -33,7 +33,7 @@ STAGED = columns(
     score=INT, upvote_count=INT, downvote_count=INT, permalink=STRING,
 )
 FACT = columns(
-    source_id=STRING, source_url=STRING, time_id=INT, platform_id=INT, topic_id=INT, sentiment_id=INT,
+    post_id=STRING, source_id=STRING, source_url=STRING, time_id=INT, platform_id=INT, topic_id=INT, sentiment_id=INT,
     like_count=INT, comment_count=INT, quote_count=INT, retweet_count=INT, upvote_count=INT, downvote_count=INT,
     sentiment_score=SCORE, engagement_tier=STRING, posted_at=TIME, loaded_at=TIME,
 )
@@ -66,5 +66,12 @@ JSON_RESPONSE = columns(
 SEARCH = columns(query=STRING, subreddit=STRING)
 SEARCH_CONFIG = columns(nitter=T.ArrayType(SEARCH), reddit=T.ArrayType(SEARCH))
 
+# Posts that have been loaded; uploads and scans of raw partitions; settings over time.
+PROCESSED = columns(source_type=STRING, id=STRING, posted_at=TIME)
+UPLOAD = columns(source_type=STRING, touched=STRING, uploaded_at=TIME)
+SCAN = columns(source_type=STRING, scanned_at=TIME)
+SETTING = columns(key=STRING, value=STRING, written_at=TIME)
+STORED_TOPIC = columns(topic_id=INT, topic_label=STRING, topic_category=STRING, top_keywords=WORDS, written_at=TIME)
+
 # One row per built version of the views; loaded_until: the newest fact it holds.
 VIEW_VERSION = columns(version=STRING, built_at=TIME, loaded_until=TIME)

@@ -143,6 +143,41 @@ def test_years_of_a_longer_calendar(spark):
         assert {r.year for r in house.view("mv_topic_volume").collect()} == {2023, 2024, 2027}
 
 
+def test_processing_leaves_raw_files_alone_and_reads_what_was_uploaded(house, spark):
+    fill(house, spark)
+    files = sorted(house._stored_raw(fixed.X_SOURCE).inputFiles())
+    assert sorted(house._pending_parts(fixed.X_SOURCE)) == ["2023_q1", "2024_q3", "default"]
+    run(house)
+    assert sorted(house._stored_raw(fixed.X_SOURCE).inputFiles()) == files and house._pending_parts(fixed.X_SOURCE) == []
+    house.upload(fixed.X_SOURCE, spark.createDataFrame([x("7", datetime(2023, 2, 1), "saham bagus", 1)], X_SCRAPE), ["seq"])
+    assert house._pending_parts(fixed.X_SOURCE) == ["2023_q1"]
+    house.transform(fixed.X_SOURCE, score, topic, tlds=fixed.COMMON_TLDS)
+    assert [r.id for r in house.staged().collect()] == ["7"]
+    assert {r.id: r.is_processed for r in house.raw(fixed.X_SOURCE).collect()} == {"1": True, "2": True, "3": True, "7": False}
+    assert house.load() == 1
+    ids = [r.post_id for r in house.facts().collect()]
+    assert len(set(ids)) == len(ids) == 4 and None not in ids
+    assert [r.key for r in house.config().collect()] == ["last-updated"]
+
+
+def test_labels_of_other_rules_reach_the_views(house, spark):
+    def own(df):
+        named = {"topic_label": F.lit("Cuaca"), "topic_category": F.lit("Alam"), "top_keywords": F.array(F.lit("hujan"))}
+        return df.withColumns(named)
+
+    fill(house, spark)
+    house.transform(fixed.X_SOURCE, score, own, tlds=fixed.COMMON_TLDS)
+    house.transform(fixed.REDDIT_SOURCE, score, topic, tlds=fixed.COMMON_TLDS)
+    house.load_and_refresh()
+    rows = {r.topic_label: r for r in house.dimensions().topic.collect()}
+    assert rows["Cuaca"].topic_id == 13 and rows["Cuaca"].top_keywords == ["hujan"]
+    assert rows["Fiskal & Pajak"].topic_id == 4 and rows["Fiskal & Pajak"].top_keywords == ["bbm"]
+    assert {r.topic_label for r in house.view("mv_topic_volume").collect()} == {"Cuaca", "Fiskal & Pajak"}
+    again = Warehouse(spark, house.root)
+    again.load()
+    assert sorted(map(repr, again.dimensions().topic.collect())) == sorted(map(repr, rows.values()))
+
+
 def test_cleaning_options(house, spark):
     config = spark.createDataFrame([("slang-mapping", '{"x": "y"}'), ("unnecessary-hashtags", None)], "key string, value string")
     assert house.cleaning_options(config) == {"slang": {"x": "y"}, "dropped_hashtags": fixed.DROPPED_HASHTAGS}
