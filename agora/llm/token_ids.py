@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from agora.llm.vocabularies import LAST_SHARED, Memo, byte_letters, cuts, merge_file, splitter
 
 # str.split() takes these for white space, the tokenizer does not.
-_NO_SPACE = regex.compile("[\x1c-\x1f]")
+_NO_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 _MARKS = frozenset(".,;:!?")
 
 
@@ -48,9 +48,15 @@ class Ids:
         self.merge = self.tokenizer.model.tokenize
         self.letters = dict(enumerate(byte_letters()))
         self.blank = self.letters[32]
-        self.special = [t["content"] for t in content["added_tokens"]]
+        # Texts that hold one of these go to the library whole.
+        self.whole_texts = [t["content"] for t in content["added_tokens"]] + ([] if self.keeps_space else list(_NO_SPACE))
         self.whole = Memo(self._cut)
-        self.after_space = Memo(lambda cut: self._cut(" " + cut))
+        self.after_space = Memo(self._after_space)
+
+    def _after_space(self, cut: str) -> bytes:
+        if cut.isalpha() and cut.isascii() and self.keeps_space:  # most of the words not seen before
+            return array("I", [t.id for t in self.merge(self.blank + cut)]).tobytes()
+        return self._cut(" " + cut)
 
     def _cut(self, cut: str) -> bytes:
         if not cut.isascii() and max(cut) > LAST_SHARED:
@@ -74,7 +80,7 @@ class Ids:
         return array("I", [t.id for t in self.merge(text)]).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if any(s in text for s in self.special) or not self.keeps_space and _NO_SPACE.search(text):
+        if any(s in text for s in self.whole_texts):
             return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if not self.keeps_space:
             return b"".join(map(self.whole.__getitem__, text.split()))
