@@ -23,7 +23,8 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from agora.llm.shared import held_out, stored, utf8
+from agora.llm import words
+from agora.llm.shared import held_out, portions, stored, utf8
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -68,14 +69,18 @@ class Network:
         names, scores = [UNKNOWN] * len(texts), np.ones(len(texts))
         if not self.languages:
             return names, np.zeros(len(texts))
-        windows, owner, weight = cut(raw, ends)
-        if not len(windows):
-            return names, scores
-        logits = self.pooled(windows) @ self.dense + self.bias
-        share = np.exp(logits - logits.max(1, keepdims=True))
-        share *= (weight / share.sum(1))[:, None]
-        n = np.bincount(owner, weight, len(texts))
-        p = np.stack([np.bincount(owner, s, len(texts)) for s in share.T], 1) / np.maximum(n, 1)[:, None]
+        n, total = np.zeros(len(texts)), np.zeros((len(texts), len(self.languages)))
+        # Windows take many times the room of their bytes, so a batch is cut in portions.
+        for a, b in portions(ends, words.PORTION):
+            windows, owner, weight = cut(raw[ends[a] : ends[b]], ends[a : b + 1] - ends[a])
+            if not len(windows):
+                continue
+            logits = self.pooled(windows) @ self.dense + self.bias
+            share = np.exp(logits - logits.max(1, keepdims=True))
+            share *= (weight / share.sum(1))[:, None]
+            n[a:b] = np.bincount(owner, weight, b - a)
+            total[a:b] = np.stack([np.bincount(owner, s, b - a) for s in share.T], 1)
+        p = total / np.maximum(n, 1)[:, None]
         best = p.argmax(1)
         for k, text in enumerate(texts):
             if n[k] and _letter(text.as_py()):

@@ -12,7 +12,7 @@ from pathlib import Path
 import regex
 
 # Entries each of a memo's two generations holds, and the longest piece it holds.
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 300_000
 MEMO_LENGTH = 64
 # Up to here Python, its pattern module and the tokenizer libraries agree on every letter and number.
 LAST_SHARED = "\u024f"
@@ -82,7 +82,6 @@ def rank_file(path: str) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
-@functools.cache
 def merge_file(path: str) -> dict:
     """The JSON of a tokenizer file."""
     return json.loads(Path(path).read_text(encoding="utf-8"))
