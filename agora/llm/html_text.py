@@ -5,12 +5,15 @@ container subtrees each block lies in (tag, class, id and text of everything
 below), and marks for what the page's own markup says about a block. The
 parsed pages are stored; Spark counts each digest per host over pages that
 differ, and blocks inside subtrees found on ``MANY_PAGES`` of a host or more
-go. What markup names as menu, footer, advert and so on goes as well, since a
-rare one need not recur; where a page has an article, blocks outside it go.
+go, inside articles and main elements too. What markup names as menu, footer,
+advert and so on goes as well, since a rare one need not recur; where a page
+has an article (or else a main element), blocks outside it go.
 
-Text inside an article (or main element, where no article is) is never removed
-because it recurs, nor are single paragraphs and headings: passages that many
-pages quote are content. Pages with equal bodies count as one page.
+Single paragraphs and headings are never removed because they recur: passages
+that many pages quote are content. Inside an article or main element the same
+holds for block quotes, preformatted text and a container without class and id
+around one block, which is a paragraph by another tag. Pages with equal bodies
+count as one page.
 
 Null and empty pages give an empty text; a page without a host in its url
 shares templates with other such pages. Broken markup is read as it comes: open
@@ -28,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agora.llm.shared import stored
+from agora.llm.shared import few, stored
 
 MANY_PAGES = 3
 
@@ -47,6 +50,7 @@ INLINE = frozenset(
 UNSEEN = frozenset("script style noscript".split())  # no part of the text, and no end of a block
 TEXT_LEVEL = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th figcaption caption address summary hr".split())
 WHOLE = frozenset("html body article main".split())
+QUOTED = frozenset("blockquote pre".split())
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",),
 }
@@ -65,7 +69,7 @@ def _digest(text: str) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "key", "outside", "zone", "container", "below", "digest")
+    __slots__ = ("tag", "key", "outside", "zone", "container", "below", "digest", "blocks")
 
     def __init__(self, tag: str, attributes: str, above: "Element | None"):
         found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
@@ -80,6 +84,13 @@ class Element:
         self.outside = bool(above and above.outside or named or worded)
         self.container = tag not in WHOLE and tag not in INLINE and tag not in TEXT_LEVEL
         self.below, self.digest = [], 0
+        self.blocks = 0  # below it, without quoted ones
+
+    def counted(self) -> bool:
+        """Whether this subtree goes where it recurs on the host."""
+        if not self.container or not self.digest:
+            return False
+        return not self.zone or self.blocks > 1 or self.blocks == 1 and self.key != f"{self.tag} "
 
 
 def parse(page: str) -> tuple[list[tuple[str, bool, str, list[int]]], int, set[str]]:
@@ -93,6 +104,9 @@ def parse(page: str) -> tuple[list[tuple[str, bool, str, list[int]]], int, set[s
         if text:
             blocks.append((text, stack[-1], list(stack)))
             stack[-1].below.append(text)
+            if QUOTED.isdisjoint(e.tag for e in stack):
+                for e in stack:
+                    e.blocks += 1
 
     def close() -> None:
         if stack[-1].tag not in INLINE:
@@ -152,50 +166,37 @@ def parse(page: str) -> tuple[list[tuple[str, bool, str, list[int]]], int, set[s
         close()
     out = []
     for text, last, above in blocks:
-        chain = [e.digest for e in above if e.container and e.digest and not e.zone]
-        out.append((text, last.outside, last.zone, chain))
+        out.append((text, last.outside, last.zone, [e.digest for e in above if e.counted()]))
     return out, _digest("\x1f".join(map(str, root.below))), zones
 
 
-PARSED = (
-    "row long, host long, page long, main array<struct<place int, text string>>, "
-    "rest array<struct<place int, text string, usable boolean, digests array<long>>>"
-)
+PARSED = "row long, host long, page long, blocks array<struct<text string, digests array<long>>>"
 
 
 def _parse_batches(carried: list[str]):
     def run(batches):
         task, number = TaskContext.get().partitionId(), 0
-        main_type = pa.list_(pa.struct([("place", pa.int32()), ("text", pa.string())]))
-        rest_type = pa.list_(pa.struct([("place", pa.int32()), ("text", pa.string()), ("usable", pa.bool_()), ("digests", pa.list_(pa.int64()))]))
+        kind = pa.list_(pa.struct([("text", pa.string()), ("digests", pa.list_(pa.int64()))]))
         for batch in batches:
-            rows, pages, mains, rests = [], [], [], []
+            rows, pages, kept = [], [], []
             for page in batch.column("_html"):
                 blocks, whole, zones = parse(page.as_py() or "")
                 best = "article" if "article" in zones else "main" if "main" in zones else ""
-                main, rest = [], []
-                for place, (text, outside, zone, digests) in enumerate(blocks):
-                    if best and zone == best:
-                        if not outside:
-                            main.append({"place": place, "text": text})
-                    else:
-                        rest.append({"place": place, "text": text, "usable": not best and not outside, "digests": digests})
+                # What the markup rules out needs no counting.
+                kept.append([{"text": text, "digests": digests} for text, outside, zone, digests in blocks if not outside and (not best or zone == best)])
                 rows.append((task << 36) + number)
                 number += 1
                 pages.append(whole)
-                mains.append(main)
-                rests.append(rest)
             columns = [batch.column(c) for c in carried]
-            columns += [pa.array(rows, pa.int64()), batch.column("_host"), pa.array(pages, pa.int64())]
-            columns += [pa.array(mains, main_type), pa.array(rests, rest_type)]
-            yield pa.record_batch(columns, names=[*carried, "row", "host", "page", "main", "rest"])
+            columns += [pa.array(rows, pa.int64()), batch.column("_host"), pa.array(pages, pa.int64()), pa.array(kept, kind)]
+            yield pa.record_batch(columns, names=[*carried, "row", "host", "page", "blocks"])
 
     return run
 
 
 def templates(parsed: DataFrame, many: int = MANY_PAGES) -> DataFrame:
     """(host, digest) of container subtrees on ``many`` or more differing pages of a host."""
-    seen = parsed.select("host", "page", F.explode(F.array_distinct(F.flatten("rest.digests"))).alias("digest")).distinct()
+    seen = parsed.select("host", "page", F.explode(F.array_distinct(F.flatten("blocks.digests"))).alias("digest")).distinct()
     return seen.groupBy("host", "digest").count().where(F.col("count") >= many).select("host", "digest")
 
 
@@ -207,16 +208,16 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
     schema = f"_key {kinds['_key']}, _url {kinds['_url']}, {PARSED}"
     parsed = stored(rows.mapInArrow(_parse_batches(["_key", "_url"]), schema), "pages")
 
-    blocks = parsed.select("row", "host", F.inline("rest"))
+    blocks = parsed.select("row", "host", F.posexplode("blocks.digests").alias("place", "digests"))
     inside = blocks.select("row", "place", "host", F.explode("digests").alias("digest"))
-    gone = inside.join(templates(parsed, many), ["host", "digest"]).select("row", "place").distinct()
-    left = blocks.where("usable").join(gone, ["row", "place"], "left_anti")
-    left = left.groupBy("row").agg(F.collect_list(F.struct("place", "text")).alias("more"))
+    gone = inside.join(few(templates(parsed, many), "templates"), ["host", "digest"])
+    gone = gone.groupBy("row").agg(F.collect_set("place").alias("gone"))
     # Stored first: pages are shuffled to it only where it is too large to be sent to them.
-    left = stored(left, "kept-blocks")
+    gone = stored(gone, "gone-blocks")
 
-    joined = parsed.select("row", "_key", "_url", "main").join(left, "row", "left")
-    both = F.concat(F.col("main"), F.coalesce(F.col("more"), F.slice("main", 1, 0)))
-    text = F.array_join(F.transform(F.array_sort(both), lambda b: b["text"]), "\n")
+    joined = parsed.select("row", "_key", "_url", "blocks").join(gone, "row", "left")
+    places = F.transform("blocks", lambda b, i: i)
+    left = F.array_except(places, F.coalesce(F.col("gone"), F.slice(places, 1, 0)))
+    text = F.array_join(F.transform(left, lambda i: F.col("blocks")[i]["text"]), "\n")
     out = joined.select(F.col("_key").alias(key), F.col("_url").alias(url), text.alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))

@@ -229,6 +229,15 @@ def test_markup_names_what_is_no_article(spark):
     assert [r.text for r in twice] == ["x", "x"]
 
 
+def test_templates_inside_articles_go(spark):
+    box = "<div class=author><p>By Ann</p><p>Ann writes.</p></div>"
+    quotes = "<p>quoted</p><figure><blockquote><p>q1</p><p>q2</p></blockquote></figure><div><p>also quoted</p></div>"
+    for zone in ("article", "main"):
+        htmls = [f"<{zone}><h1>T{k}</h1>{quotes}{box}<section>see<ul><li>too</ul></section><p>own {k}</p></{zone}>" for k in range(4)]
+        assert page(spark, htmls) == [f"T{k}\nquoted\nq1\nq2\nalso quoted\nown {k}" for k in range(4)]
+        assert page(spark, htmls[:2])[0] == "T0\nquoted\nq1\nq2\nalso quoted\nBy Ann\nAnn writes.\nsee\ntoo\nown 0"
+
+
 # 5 top-k
 
 def brute_top(vectors, asked, k):
