@@ -6,8 +6,10 @@ below), and marks for what the page's own markup says about a block. The
 parsed pages are stored; Spark counts each digest per host over pages that
 differ, and blocks inside subtrees found on ``MANY_PAGES`` of a host or more
 go, inside articles and main elements too. What markup names as menu, footer,
-advert and so on goes as well, since a rare one need not recur; where a page
-has an article (or else a main element), blocks outside it go.
+advert and so on goes as well, since a rare one need not recur. Of what is
+left, a page's text is its articles; where these have nothing left, its main
+elements, then everything but comments, then articles that are comments.
+Articles inside menus, asides and so on are not the page's.
 
 Single paragraphs and headings are never removed because they recur: passages
 that many pages quote are content. Inside an article or main element the same
@@ -62,6 +64,9 @@ OUTSIDE_WORDS = frozenset(
     "breadcrumb breadcrumbs cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup comment "
     "comments commentlist disqus respond replies footer masthead related share sharing social".split()
 )
+# Articles of these classes are the page's only where it has nothing else.
+COMMENTS = frozenset("comment comments reply replies".split())
+ZONES = ("article", "main", "", "comment")
 
 
 def _digest(text: str) -> int:
@@ -75,13 +80,15 @@ class Element:
         found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
         names = f"{found.get('class', '')} {found.get('id', '')}".strip()
         self.tag, self.key = tag, f"{tag} {names}"
-        self.zone = tag if tag in ("article", "main") else above.zone if above else ""
-        if tag == "main" and above and above.zone == "article":
-            self.zone = "article"
+        self.zone = above.zone if above else ""
         named = tag in OUTSIDE or found.get("role") in OUTSIDE_ROLES or tag == "header" and self.zone != "article" or "hidden" in found
         # Words of whole-page elements and articles say what kind of page it is.
         worded = names and tag not in WHOLE and not OUTSIDE_WORDS.isdisjoint(_NAME.findall(names))
         self.outside = bool(above and above.outside or named or worded)
+        if tag == "article" and not COMMENTS.isdisjoint(found.get("class", "").split()):
+            self.zone = "comment"
+        elif not self.outside and (tag == "article" and self.zone != "comment" or tag == "main" and not self.zone):
+            self.zone = tag
         self.container = tag not in WHOLE and tag not in INLINE and tag not in TEXT_LEVEL
         self.below, self.digest = [], 0
         self.blocks = 0  # below it, without quoted ones
@@ -93,10 +100,10 @@ class Element:
         return not self.zone or self.blocks > 1 or self.blocks == 1 and self.key != f"{self.tag} "
 
 
-def parse(page: str) -> tuple[list[tuple[str, bool, str, list[int]]], int, set[str]]:
-    """Blocks (text, outside, zone, digests of containers), the digest of the whole page, the zones it has."""
+def parse(page: str) -> tuple[list[tuple[str, bool, str, list[int]]], int]:
+    """Blocks (text, outside, zone, digests of containers), the digest of the whole page."""
     root = Element("", "", None)
-    stack, blocks, parts, zones = [root], [], [], set()
+    stack, blocks, parts = [root], [], []
 
     def end_block() -> None:
         text = " ".join("".join(parts).split())
@@ -159,31 +166,28 @@ def parse(page: str) -> tuple[list[tuple[str, bool, str, list[int]]], int, set[s
             at = end.end() if end else len(page)
             continue
         stack.append(Element(tag, found[3], stack[-1]))
-        if stack[-1].zone:
-            zones.add(stack[-1].zone)
     end_block()
     while len(stack) > 1:
         close()
     out = []
     for text, last, above in blocks:
         out.append((text, last.outside, last.zone, [e.digest for e in above if e.counted()]))
-    return out, _digest("\x1f".join(map(str, root.below))), zones
+    return out, _digest("\x1f".join(map(str, root.below)))
 
 
-PARSED = "row long, host long, page long, blocks array<struct<text string, digests array<long>>>"
+PARSED = "row long, host long, page long, blocks array<struct<text string, rank int, digests array<long>>>"
 
 
 def _parse_batches(carried: list[str]):
     def run(batches):
         task, number = TaskContext.get().partitionId(), 0
-        kind = pa.list_(pa.struct([("text", pa.string()), ("digests", pa.list_(pa.int64()))]))
+        kind = pa.list_(pa.struct([("text", pa.string()), ("rank", pa.int32()), ("digests", pa.list_(pa.int64()))]))
         for batch in batches:
             rows, pages, kept = [], [], []
             for page in batch.column("_html"):
-                blocks, whole, zones = parse(page.as_py() or "")
-                best = "article" if "article" in zones else "main" if "main" in zones else ""
+                blocks, whole = parse(page.as_py() or "")
                 # What the markup rules out needs no counting.
-                kept.append([{"text": text, "digests": digests} for text, outside, zone, digests in blocks if not outside and (not best or zone == best)])
+                kept.append([{"text": text, "rank": ZONES.index(zone), "digests": digests} for text, outside, zone, digests in blocks if not outside])
                 rows.append((task << 36) + number)
                 number += 1
                 pages.append(whole)
@@ -218,6 +222,10 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
     joined = parsed.select("row", "_key", "_url", "blocks").join(gone, "row", "left")
     places = F.transform("blocks", lambda b, i: i)
     left = F.array_except(places, F.coalesce(F.col("gone"), F.slice(places, 1, 0)))
-    text = F.array_join(F.transform(left, lambda i: F.col("blocks")[i]["text"]), "\n")
+    zones = []
+    for rank in map(F.lit, range(len(ZONES))):
+        mine = F.filter(left, lambda i: F.col("blocks")[i]["rank"] == rank)  # noqa: B023 (called at once)
+        zones.append(F.nullif(F.array_join(F.transform(mine, lambda i: F.col("blocks")[i]["text"]), "\n"), F.lit("")))
+    text = F.coalesce(*zones, F.lit(""))
     out = joined.select(F.col("_key").alias(key), F.col("_url").alias(url), text.alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))

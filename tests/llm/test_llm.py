@@ -238,6 +238,20 @@ def test_templates_inside_articles_go(spark):
         assert page(spark, htmls[:2])[0] == "T0\nquoted\nq1\nq2\nalso quoted\nBy Ann\nAnn writes.\nsee\ntoo\nown 0"
 
 
+def test_the_articles_of_asides_and_comments_are_not_the_pages(spark):
+    comment = "<article class='comment depth-1'><p>c</p></article>"
+    htmls = [
+        "<main><div><p>Story</p></div></main><aside><article>teaser</article></aside>",
+        f"<div><p>Story</p></div><section>{comment}</section>", f"<article><p>Story</p>{comment}</article>",
+        f"<div><p>Story</p></div><div class=comments>{comment}</div><footer><article>f</article></footer>",
+        "<main><p>Story</p></main><article><nav>n</nav></article>", "<p>Story</p><main><form>f</form></main><article></article>",
+        comment, "<aside><article>teaser</article></aside>",
+    ]
+    assert page(spark, htmls) == ["Story"] * 6 + ["c", ""]
+    box = "<div class=box><p>one</p><p>two</p></div>"  # an article with nothing but a template
+    assert page(spark, [f"<p>Story {k}</p><article>{box}</article>" for k in range(3)]) == [f"Story {k}" for k in range(3)]
+
+
 # 5 top-k
 
 def brute_top(vectors, asked, k):
