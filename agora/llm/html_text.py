@@ -4,8 +4,8 @@ Every page is parsed once, in its task: into text blocks, the digests of the
 container subtrees each block lies in (tag, class, id and text of everything
 below), and marks for what the page's own markup says about a block. The
 parsed pages are stored; Spark counts each digest per host over pages that
-differ, and blocks inside subtrees found on ``MANY_PAGES`` of a host or more
-go, inside articles and main elements too. What markup names as menu, footer,
+differ, and blocks inside subtrees found on ``MANY_SHARE`` of these, but at
+least ``MANY_PAGES``, go, inside articles and main elements too. What markup names as menu, footer,
 advert and so on goes as well, since a rare one need not recur. Of what is
 left, a page's text is its articles; where these have nothing left, its main
 elements, then everything but comments, then articles that are comments.
@@ -14,8 +14,8 @@ Articles inside menus, asides and so on are not the page's.
 Single paragraphs and headings are never removed because they recur: passages
 that many pages quote are content. Inside an article or main element the same
 holds for block quotes, preformatted text and a container without class and id
-around one block, which is a paragraph by another tag. Pages with equal bodies
-count as one page.
+around one block, which is a paragraph by another tag. Pages of a host that are
+equal but for what the markup rules out (menus, adverts) count as one page.
 
 Null and empty pages give an empty text; a page without a host in its url
 shares templates with other such pages. Broken markup is read as it comes: open
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from agora.llm.shared import few, stored
 
 MANY_PAGES = 3
+MANY_SHARE = 0.1
 
 _MARKUP = regex.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", regex.DOTALL
@@ -101,7 +102,7 @@ class Element:
 
 
 def parse(page: str) -> tuple[list[tuple[str, bool, str, list[int]]], int]:
-    """Blocks (text, outside, zone, digests of containers), the digest of the whole page."""
+    """Blocks (text, outside, zone, digests of containers), the digest of the page's own content."""
     root = Element("", "", None)
     stack, blocks, parts = [root], [], []
 
@@ -172,7 +173,9 @@ def parse(page: str) -> tuple[list[tuple[str, bool, str, list[int]]], int]:
     out = []
     for text, last, above in blocks:
         out.append((text, last.outside, last.zone, [e.digest for e in above if e.counted()]))
-    return out, _digest("\x1f".join(map(str, root.below)))
+    own = min((ZONES.index(zone) for _, outside, zone, _ in out if not outside), default=None)
+    content = map(str, root.below) if own is None else (text for text, outside, zone, _ in out if not outside and zone == ZONES[own])
+    return out, _digest("\x1f".join(content))
 
 
 PARSED = "row long, host long, page long, blocks array<struct<text string, rank int, digests array<long>>>"
@@ -185,12 +188,12 @@ def _parse_batches(carried: list[str]):
         for batch in batches:
             rows, pages, kept = [], [], []
             for page in batch.column("_html"):
-                blocks, whole = parse(page.as_py() or "")
+                blocks, content = parse(page.as_py() or "")
                 # What the markup rules out needs no counting.
                 kept.append([{"text": text, "rank": ZONES.index(zone), "digests": digests} for text, outside, zone, digests in blocks if not outside])
                 rows.append((task << 36) + number)
                 number += 1
-                pages.append(whole)
+                pages.append(content)
             columns = [batch.column(c) for c in carried]
             columns += [pa.array(rows, pa.int64()), batch.column("_host"), pa.array(pages, pa.int64()), pa.array(kept, kind)]
             yield pa.record_batch(columns, names=[*carried, "row", "host", "page", "blocks"])
@@ -198,10 +201,12 @@ def _parse_batches(carried: list[str]):
     return run
 
 
-def templates(parsed: DataFrame, many: int = MANY_PAGES) -> DataFrame:
-    """(host, digest) of container subtrees on ``many`` or more differing pages of a host."""
+def templates(parsed: DataFrame, many: int = MANY_PAGES, share: float = MANY_SHARE) -> DataFrame:
+    """(host, digest) of container subtrees on ``share`` of a host's differing pages, ``many`` at least."""
+    hosts = parsed.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     seen = parsed.select("host", "page", F.explode(F.array_distinct(F.flatten("blocks.digests"))).alias("digest")).distinct()
-    return seen.groupBy("host", "digest").count().where(F.col("count") >= many).select("host", "digest")
+    often = seen.groupBy("host", "digest").count().where(F.col("count") >= many)
+    return often.join(few(hosts, "hosts"), "host").where(F.col("count") >= share * F.col("pages")).select("host", "digest")
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", many: int = MANY_PAGES) -> DataFrame:

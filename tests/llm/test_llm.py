@@ -249,7 +249,19 @@ def test_the_articles_of_asides_and_comments_are_not_the_pages(spark):
     ]
     assert page(spark, htmls) == ["Story"] * 6 + ["c", ""]
     box = "<div class=box><p>one</p><p>two</p></div>"  # an article with nothing but a template
-    assert page(spark, [f"<p>Story {k}</p><article>{box}</article>" for k in range(3)]) == [f"Story {k}" for k in range(3)]
+    htmls = [f"<p>Story {k}</p><article>{box}{f'<p>own {k}</p>' * (k > 0)}</article>" for k in range(4)]
+    assert page(spark, htmls) == ["Story 0", "own 1", "own 2", "own 3"]
+
+
+def test_few_copies_of_a_story_are_no_template(spark):
+    story = "<div class=story><h1>T</h1><p>one</p><p>two</p></div>"
+    named = [f"<nav>menu {k}</nav>{story}<div class=ad>advert {k}</div>" for k in range(3)]
+    for before, after in (("", ""), ("<article>", "</article>"), ("<main>", "</main>")):
+        assert page(spark, [before + h + after for h in named]) == ["T\none\ntwo"] * 3
+    # Three of 40 pages hold the story beside adverts without names; four pages of 40 have a template.
+    box = "<div class=box><p>our</p><p>house</p></div>"
+    htmls = [f"{story if k < 3 else ''}{box if k % 10 == 9 else ''}<p>own {k}</p>" for k in range(40)]
+    assert page(spark, htmls) == ["T\none\ntwo\n" * (k < 3) + f"own {k}" for k in range(40)]
 
 
 # 5 top-k
