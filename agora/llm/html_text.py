@@ -6,7 +6,9 @@ below), and marks for what the page's own markup says about a block. The
 parsed pages are stored; Spark counts each digest per host over pages that
 differ, and blocks inside subtrees found on ``MANY_SHARE`` of these, but at
 least ``MANY_PAGES``, go, inside articles and main elements too. What markup names as menu, footer,
-advert and so on goes as well, since a rare one need not recur. Of what is
+advert and so on goes as well, since a rare one need not recur; most such
+classes inside articles, and classes that hold a word only in part, count where
+the host repeats them as it repeats templates. Of what is
 left, a page's text is its articles; where these have nothing left, its main
 elements, then everything but comments, then articles that are comments.
 Articles inside menus, asides and so on are not the page's.
@@ -25,6 +27,7 @@ elements end with the page, stray end tags are ignored.
 from __future__ import annotations
 
 import html
+from functools import lru_cache
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -42,7 +45,7 @@ _MARKUP = regex.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", regex.DOTALL
 )
 _ATTRIBUTE = regex.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
-_NAME = regex.compile(r"[a-z]+")
+_PIECES = regex.compile(r"[a-z]+")
 # Elements by what HTML makes of them.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style title textarea noscript iframe xmp noembed noframes".split())
@@ -65,6 +68,19 @@ OUTSIDE_WORDS = frozenset(
     "breadcrumb breadcrumbs cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup comment "
     "comments commentlist disqus respond replies footer masthead related share sharing social".split()
 )
+# Beside such a word, these pieces of a class or id say nothing of their own.
+NEUTRAL_WORDS = frozenset(
+    "site page main top bottom left right header bar box button buttons link links item items container wrapper wrap inner outer "
+    "section area block panel slot unit widget post posts count counter icon icons primary secondary global".split()
+)
+# Inside an article: these words rule text out at once, those of the second set never do, and the others where the host repeats the name.
+NEVER_ARTICLE = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising sponsor sponsored breadcrumb breadcrumbs cookie cookies consent gdpr "
+    "newsletter subscribe signup comment comments commentlist disqus respond replies".split()
+)
+OFTEN_ARTICLE = frozenset("menu notice notices alert".split())
+# Ids of these are made from titles: inside an article they say what the text is about.
+TITLED = frozenset("section h1 h2 h3 h4 h5 h6".split())
 # Articles of these classes are the page's only where it has nothing else.
 COMMENTS = frozenset("comment comments reply replies".split())
 ZONES = ("article", "main", "", "comment")
@@ -74,18 +90,38 @@ def _digest(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+@lru_cache(1 << 16)
+def _words(token: str) -> tuple[frozenset[str], bool]:
+    """The outside words that a class or id consists of, alone or joined by hyphens with neutral words; whether it has others in part."""
+    pieces = _PIECES.findall(token)
+    if "".join(pieces) in OUTSIDE_WORDS:
+        return frozenset(["".join(pieces)]), False
+    found = OUTSIDE_WORDS.intersection(pieces)
+    if found and NEUTRAL_WORDS.issuperset(found.symmetric_difference(pieces)):
+        return found, False
+    return frozenset(), not found <= OFTEN_ARTICLE
+
+
 class Element:
-    __slots__ = ("tag", "key", "outside", "zone", "container", "below", "digest", "blocks")
+    __slots__ = ("tag", "key", "outside", "zone", "container", "below", "digest", "blocks", "named")
 
     def __init__(self, tag: str, attributes: str, above: "Element | None"):
         found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
         names = f"{found.get('class', '')} {found.get('id', '')}".strip()
         self.tag, self.key = tag, f"{tag} {names}"
         self.zone = above.zone if above else ""
-        named = tag in OUTSIDE or found.get("role") in OUTSIDE_ROLES or tag == "header" and self.zone != "article" or "hidden" in found
+        out = tag in OUTSIDE or found.get("role") in OUTSIDE_ROLES or tag == "header" and not self.zone or "hidden" in found
+        self.named = 0  # digest of a name that rules the element out where the host repeats it
         # Words of whole-page elements and articles say what kind of page it is.
-        worded = names and tag not in WHOLE and not OUTSIDE_WORDS.isdisjoint(_NAME.findall(names))
-        self.outside = bool(above and above.outside or named or worded)
+        if names and tag not in WHOLE:
+            classes, titled = found.get("class", "").split(), tag in TITLED
+            words = frozenset().union(*[_words(t)[0] for t in (classes if self.zone and titled else names.split())])
+            if not self.zone or not words.isdisjoint(NEVER_ARTICLE):
+                out = out or bool(words)
+            repeated = sorted((words - OFTEN_ARTICLE).union([] if titled else [t for t in classes if _words(t)[1]]))
+            if repeated:
+                self.named = _digest(f"\x1d{tag} {' '.join(repeated)}")
+        self.outside = bool(above and above.outside or out)
         if tag == "article" and not COMMENTS.isdisjoint(found.get("class", "").split()):
             self.zone = "comment"
         elif not self.outside and (tag == "article" and self.zone != "comment" or tag == "main" and not self.zone):
@@ -172,9 +208,12 @@ def parse(page: str) -> tuple[list[tuple[str, bool, str, list[int]]], int]:
         close()
     out = []
     for text, last, above in blocks:
-        out.append((text, last.outside, last.zone, [e.digest for e in above if e.counted()]))
-    own = min((ZONES.index(zone) for _, outside, zone, _ in out if not outside), default=None)
-    content = map(str, root.below) if own is None else (text for text, outside, zone, _ in out if not outside and zone == ZONES[own])
+        chain = [e.digest for e in above if e.counted()] + [e.named for e in above if e.named]
+        out.append((text, last.outside, last.zone, chain))
+    # The page's own content: the first zone that has some, without what may go by a repeated name.
+    own = [(ZONES.index(last.zone), text) for text, last, above in blocks if not last.outside and not any(e.named for e in above)]
+    first = min((zone for zone, _ in own), default=None)
+    content = [text for zone, text in own if zone == first] or map(str, root.below)
     return out, _digest("\x1f".join(content))
 
 

@@ -264,6 +264,18 @@ def test_few_copies_of_a_story_are_no_template(spark):
     assert page(spark, htmls) == ["T\none\ntwo\n" * (k < 3) + f"own {k}" for k in range(40)]
 
 
+def test_words_in_names_are_whole_and_recur_inside_articles(spark):
+    kept = "<section id='related-work'>a</section><section id=social-impact>b</section><h2 id=share-of-trade>c</h2><h2 id=comments>d</h2>"
+    kept += "<div class='menu-list'>e</div><div class=menu>f</div><div class=share>g</div><header><h1>h</h1></header>"
+    gone = "<div class='wide ad-slot'>x</div><div id=comments>y</div><section class=comment-list>z</section>"
+    for zone in ("article", "main"):
+        assert page(spark, [f"<{zone}>{kept}{gone}</{zone}>"]) == ["a\nb\nc\nd\ne\nf\ng\nh"]
+    assert page(spark, ["<section id=related-work>a</section><div class=social-impact>b</div><header>x</header><div id=site-footer>y</div>"]) == ["a\nb"]
+    htmls = [f"<article><p>own {k}</p><div class=related-posts>other {k}</div><div class=notice>take care {k}</div></article>" for k in range(3)]
+    assert page(spark, htmls) == [f"own {k}\ntake care {k}" for k in range(3)]
+    assert page(spark, htmls[:2])[0] == "own 0\nother 0\ntake care 0"
+
+
 # 5 top-k
 
 def brute_top(vectors, asked, k):
