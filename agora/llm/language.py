@@ -162,17 +162,19 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, key: str = "doc_id",
 
     Spark ranks ids first, keeping ``per_language`` of each language in every
     map task, so texts of the chosen rows only are shuffled to the training.
+    Of several texts of an id in a language the least is taken.
     """
     usable = F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull() & ~held_out(key)
-    rows = docs.where(usable).select(F.col(key).alias("_id"), F.col(lang).alias("lang"))
+    rows = docs.where(usable).select(F.col(key).alias("_id"), F.col(lang).alias("lang")).distinct()
     place = F.xxhash64(F.col("_id").cast("string"), F.lit("language"))
     ranked = rows.withColumn("place", place)
     ranked = ranked.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy("place", "_id")))
-    chosen = ranked.where(F.col("_rank") <= per_language).select("_id", "place").distinct()
+    chosen = ranked.where(F.col("_rank") <= per_language).select("_id", "lang", "place")
     # Stored first, so that Spark knows its size and need not shuffle the texts to a short list.
     chosen = stored(chosen, "chosen")
     texts = docs.where(usable).select(F.col(key).alias("_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    found = texts.join(chosen, "_id").select("place", "lang", "text")
+    found = texts.join(chosen, ["_id", "lang"]).groupBy("_id", "lang", "place").agg(F.min("text").alias("text"))
+    found = found.select("place", "lang", "text")
     sample = found.mapInArrow(_sample, "place long, lang string, bytes binary").toArrow()
     sample = sample.sort_by([("place", "ascending"), ("lang", "ascending"), ("bytes", "ascending")])
     names = sorted(set(sample["lang"].to_pylist()))

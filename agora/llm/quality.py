@@ -139,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, key: str = "
     """A model from a bounded sample of labelled rows that are not held out.
 
     Rows with a null id or label are no examples; of several labels of an id
-    the mean decides (half and more: 1).
+    the mean decides (half and more: 1), of several texts the least.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key))
     one = known.groupBy(F.col(key).alias("_id")).agg((F.avg(label) >= 0.5).cast("int").alias("label"))
@@ -147,7 +147,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, key: str = "
     # At most `rows` narrow rows: small enough to be sent to every executor, and checked by the limit.
     chosen = one.withColumn("place", place).orderBy("place", "_id").limit(rows)
     texts = docs.select(F.col(key).alias("_id"), F.col(text).alias("text"))
-    found = texts.join(F.broadcast(chosen), "_id").select("place", "label", "text")
+    found = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "place", "label").agg(F.min("text").alias("text"))
+    found = found.select("place", "label", "text")
     sparse = found.mapInArrow(_sparse, "place long, label int, hits array<int>, shares array<float>").toArrow().sort_by("place")
     examples = list(zip(sparse["label"].to_pylist(), map(np.asarray, sparse["hits"].to_numpy()),
                         map(np.asarray, sparse["shares"].to_numpy()), strict=True))

@@ -608,6 +608,18 @@ def test_pipeline_takes_odd_and_empty_tables(spark, odd, tmp_path):
         assert {r.doc_id for r in rows} <= {1, 5, 7, None} and bool(rows) == (docs is plain)
 
 
+def test_training_rows_are_bounded_where_an_id_repeats(spark, monkeypatch):
+    ids = [k for k in range(60) if zlib.crc32(str(k).encode()) % 3 != 1][:20]
+    rows = [(i, f"text {i} {n}", lang, "a", 1) for i in ids for lang in ("en", "fr") for n in range(200 if i == ids[0] else 2)]
+    docs, labels = spark.createDataFrame(rows, DOCS), spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "train", lambda rows: rows)
+    assert len(quality.fit(docs, labels)) == 20 and len(quality.fit(docs, labels, rows=7)) == 7
+    monkeypatch.setattr(language, "train", lambda windows, labels, names: (windows, labels, names))
+    for most, n in ((5, 5), (100, 20)):
+        windows, labels, names = language.fit(docs, per_language=most)
+        assert names == ["en", "fr"] and np.bincount(labels).tolist() == [n, n]
+
+
 def test_queries_are_registered():
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
     assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
