@@ -14,8 +14,6 @@ from agora.llm import language, near_dup, packing, quality, token_ids
 from agora.llm.shared import few, prepare, stored, table
 from agora.llm.vocabularies import default_path
 
-# A text goes if no language reaches this share of it. Texts that mix two languages stay.
-LEAST_LANGUAGE_SCORE = 0.4
 END_ID = 2
 
 
@@ -27,12 +25,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language; texts without letters (null and empty ones too) go."""
+    """Documents op8 names a language for, however they mix languages; texts without letters (null and empty ones too) go."""
     prepare(spark)
     found = language.identify(spark, language.fit(docs), F.col("text"))
     rows = docs.select(F.struct(*docs.columns).alias("doc"), found.alias("found"))
-    good = (F.col("found.lang_pred") != language.UNKNOWN) & (F.col("found.score") >= LEAST_LANGUAGE_SCORE)
-    return rows.where(good).select("doc.*")
+    return rows.where(F.col("found.lang_pred") != language.UNKNOWN).select("doc.*")
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -620,6 +620,14 @@ def test_training_rows_are_bounded_where_an_id_repeats(spark, monkeypatch):
         assert names == ["en", "fr"] and np.bincount(labels).tolist() == [n, n]
 
 
+def test_texts_that_mix_languages_stay(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "mixed", "en", "a", 1), (2, "...", "en", "a", 1)], DOCS)
+    found = F.struct(F.when(F.col("doc_id") == 1, "en").otherwise(language.UNKNOWN).alias("lang_pred"), F.lit(0.2).alias("score"))
+    monkeypatch.setattr(language, "fit", lambda docs: None)
+    monkeypatch.setattr(language, "identify", lambda spark, network, text: found)
+    assert [r.doc_id for r in corpus_pipeline.known_language(spark, docs, SF).collect()] == [1]
+
+
 def test_queries_are_registered():
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
     assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
