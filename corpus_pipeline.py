@@ -33,19 +33,33 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the least id; of rows that repeat its id, one."""
+    """One document of each group of near-duplicates, the one with the least id (null ids last).
+
+    Rows that share an id, or have none, are compared by their texts like any
+    others; texts without words go only where an id repeats the same one.
+    """
     prepare(spark)
-    gone = near_dup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    gone = few(gone, "gone")
-    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    repeated = kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    repeated = stored(repeated, "repeated")
-    if repeated.isEmpty():
-        return kept
-    # Rare: ids should be unique. Of the rows of such an id the least, by value, stays.
-    rest = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
-    least = kept.join(repeated, "doc_id", "left_semi").select(F.struct("doc_id", *[c for c in docs.columns if c != "doc_id"]).alias("doc"))
-    return rest.union(least.groupBy("doc.doc_id").agg(F.min("doc").alias("doc")).select("doc.*").select(*docs.columns))
+    counts = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if not counts.where("n > 1 OR doc_id IS NULL").isEmpty():
+        return _by_rows(docs)
+    gone = near_dup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
+    return docs.join(few(gone, "gone"), docs["doc_id"] == F.col("_gone"), "left_anti")
+
+
+def _by_rows(docs: DataFrame) -> DataFrame:
+    """The same where ids do not tell rows apart: rows get numbers, which are stored so that they do not change."""
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = near_dup.near_duplicates(rows, key="_row").select(F.col("doc_id").alias("_row"), "n_shingles", "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.sha2("text", 256).alias("text"), F.xxhash64(*docs.columns).alias("rest"), "_row")
+    linked = (F.col("n_shingles") > 0) | F.col("doc_id").isNull()
+    met = found.join(rows.select("_row", "doc_id", order.alias("order")), "_row")
+    groups = met.groupBy(
+        F.when(linked, F.col("component_id")).alias("component"), F.when(~linked, F.col("doc_id")).alias("id"),
+        F.when(~linked, F.col("order.text")).alias("text"),
+    )
+    first = groups.agg(F.min("order").alias("order")).select("order._row")
+    gone = few(found.select("_row").join(first, "_row", "left_anti"), "gone")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

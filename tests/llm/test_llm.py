@@ -628,6 +628,18 @@ def test_texts_that_mix_languages_stay(spark, monkeypatch):
     assert [r.doc_id for r in corpus_pipeline.known_language(spark, docs, SF).collect()] == [1]
 
 
+def test_documents_that_share_an_id_are_told_apart(spark):
+    first, second, third = (" ".join(f"{w}{k}" for k in range(40)) for w in "abc")
+    rows = [(9, first + " end", "en", "a", 1), (1, first, "en", "a", 1), (1, second, "en", "a", 1), (2, second + " end", "en", "a", 1)]
+    rows += [(None, first, "en", "a", 1), (None, third, "en", "a", 1), (None, third, "en", "b", 1), (3, "", "en", "a", 0), (3, "", "en", "a", 0)]
+    rows += [(4, "", "en", "a", 0), (None, None, "en", "a", 0), (None, None, "en", "a", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    out = corpus_pipeline.without_near_duplicates(spark, docs, SF)
+    assert out.columns == docs.columns
+    want = [(1, first), (1, second), (3, ""), (4, ""), (None, None), (None, None), (None, third)]
+    assert sorted(map(str, [(r.doc_id, r.text) for r in out.collect()])) == sorted(map(str, want))
+
+
 def test_queries_are_registered():
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
     assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
