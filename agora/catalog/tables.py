@@ -28,8 +28,11 @@ def embed_related(spark, sf):
     """Orders with their lines embedded as an array; shown flattened. Some orders have none."""
     orders = sample.read(spark, sf, "orders").select("o_orderkey")
     lines = sample.read(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
-    nested = Q.embed_related(orders, lines, ["o_orderkey"], ["l_linenumber", "l_quantity"], "lines")
-    flat = nested.select("o_orderkey", F.explode_outer("lines").alias("line"))
+    nested = Q.embed_related(orders, lines, ["o_orderkey"], ["l_linenumber", "l_quantity"], "lines", child_key=["l_linenumber"], parts=4)
+    flat = nested.select("o_orderkey", F.explode("lines").alias("line"))
+    # An order without lines has only empty parts: one row stands for them.
+    bare = orders.join(lines.select("o_orderkey").distinct(), "o_orderkey", "left_anti")
+    flat = flat.unionByName(bare, allowMissingColumns=True)
     return flat.select("o_orderkey", "line.l_linenumber", F.coalesce("line.l_quantity", F.lit(-1.0)).alias("l_quantity"))
 
 

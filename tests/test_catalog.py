@@ -55,3 +55,18 @@ def test_entry_is_the_flagship(spark):
 def test_every_twin_has_a_query():
     assert set(SQL) <= set(QUERIES)
     assert set(entry.oracle_sql()) <= set(entry.queries()) and set(QUERIES) <= set(entry.queries())
+
+
+def test_embed_related_splits_large_families(spark, monkeypatch):
+    from agora.catalog import tables
+
+    tables_of = {
+        "orders": spark.createDataFrame([(1,), (2,), (3,)], "o_orderkey long"),
+        "lineitem": spark.createDataFrame([(1, k, 1.0) for k in range(1000)] + [(3, 1, 2.0)], "l_orderkey long, l_linenumber int, l_quantity double"),
+    }
+    kept, embed = [], tables.Q.embed_related
+    monkeypatch.setattr(tables.sample, "read", lambda spark, sf, name: tables_of[name])
+    monkeypatch.setattr(tables.Q, "embed_related", lambda *a, **b: kept.append(embed(*a, **b)) or kept[-1])
+    rows = [tuple(r) for r in tables.embed_related(spark, "").collect()]
+    assert sorted(rows, key=str) == sorted([(1, k, 1.0) for k in range(1000)] + [(2, None, -1.0), (3, 1, 2.0)], key=str)
+    assert max(len(r.lines) for r in kept[0].collect()) < 500
