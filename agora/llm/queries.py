@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from agora.llm import (
     bpe,
     dac,
+    hard_negatives,
     html_text,
     language,
+    licenses,
+    merkle,
     near_dup,
     packing,
     quality,
@@ -98,6 +101,24 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.host_quality(table(spark, sf_dir, "documents")).drop("host")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    return merkle.tampered_manifest(docs)
+
+
 OP10_SQL = r"""
 WITH split AS (
     SELECT doc_id, source AS host, coalesce(text, '') AS body,
@@ -157,6 +178,146 @@ QUERIES = {
         op8_language,
         op9_token_files,
         op10_host_rules,
+        op11_hard_negatives,
+        op12_license_scan,
+        op13_merkle_manifest,
     )
 }
-SQL = {"op10_host_rules": OP10_SQL}
+OP11_SQL = """
+WITH usable AS (
+    SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM usable a, usable b WHERE a.id % 100 = 0 AND a.id <> b.id
+),
+positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+ AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
+def _license_sql() -> str:
+    """Every block against every template, by the definition; no filters."""
+    quoted = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
+    templates = ", ".join(f"('{label}', {quoted(ws)})" for label, ws in licenses.template_words())
+    phrases = ", ".join(f"('{label}', {quoted(phrase.split())})" for phrase, label in licenses.PHRASES.items())
+    return rf"""
+WITH templates(label, tokens) AS (VALUES {templates}),
+phrases(label, tokens) AS (VALUES {phrases}),
+docs AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+),
+places AS (
+    SELECT row, label, unnest(list_filter(range(len(w)), lambda i: w[i + 1 : i + len(tokens)] = tokens)) AS start FROM docs, phrases
+),
+based AS (
+    SELECT row, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+    FROM places GROUP BY row
+),
+blocks AS (
+    SELECT row, list_distinct(w[b * {licenses.STEP} + 1 : b * {licenses.STEP} + {licenses.WIDTH}]) AS tokens
+    FROM (SELECT row, w, unnest(range(greatest(1, ceil((len(w) - {licenses.WIDTH}) / {licenses.STEP})::BIGINT + 1))) AS b FROM docs)
+),
+met AS (
+    SELECT row, label, len(t.tokens) AS size, len(list_intersect(b.tokens, t.tokens)) AS n_common FROM blocks b, templates t
+),
+held AS (SELECT row, label, n_common / size AS share FROM met WHERE 100 * n_common >= {licenses.PERCENT} * size),
+best AS (SELECT row, max(share) AS share FROM held GROUP BY row),
+labelled AS (
+    SELECT row, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM (SELECT row, label FROM held UNION SELECT row, label FROM places) GROUP BY row
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       coalesce(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0) END AS score
+FROM docs LEFT JOIN based USING (row) LEFT JOIN best USING (row) LEFT JOIN labelled USING (row)
+"""
+
+
+OP13_SQL = """
+WITH RECURSIVE docs AS (
+    SELECT *, 4294967295 - list_reduce(
+               list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+               lambda crc, byte: list_reduce(
+                   [xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))) AS crc
+    FROM documents
+),
+coded AS (
+    SELECT doc_id, source,
+           crc % 5 = 0 AND text IS NOT NULL AS tampered,
+           coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+           coalesce(strlen(text) || ':' || text, '-') AS original,
+           coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') AS lowered
+    FROM docs
+),
+hashed AS (
+    SELECT doc_id, source, sha256(head || original) AS leaf,
+           sha256(head || CASE WHEN tampered THEN lowered ELSE original END) AS replaced
+    FROM coded
+),
+leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+           dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+           count(*) OVER (PARTITION BY source) AS n
+    FROM hashed
+),
+lower_nodes AS (
+    SELECT tree, 0 AS level, pos, n, leaf AS digest FROM leaves
+    UNION ALL
+    SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+    FROM lower_nodes WHERE n > 1 GROUP BY tree, level, pos // 16, n
+),
+subroots AS (SELECT tree, level AS height, digest AS subroot FROM lower_nodes WHERE n = 1),
+upper_nodes AS (
+    SELECT 0 AS level, tree AS pos, count(*) OVER () AS n, subroot AS digest FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+    FROM upper_nodes WHERE n > 1 GROUP BY level, pos // 16, n
+),
+steps AS (
+    SELECT l.tree, l.pos AS leaf_pos, s.level, s.pos, s.digest, s.pos = l.pos // power(16, s.level)::BIGINT AS own
+    FROM leaves l JOIN lower_nodes s ON s.tree = l.tree AND s.n > 1 AND s.pos // 16 = l.pos // power(16, s.level + 1)::BIGINT
+    UNION ALL
+    SELECT l.tree, l.pos, height + u.level, u.pos, u.digest, u.pos = l.tree // power(16, u.level)::BIGINT
+    FROM leaves l JOIN subroots USING (tree)
+    JOIN upper_nodes u ON u.n > 1 AND u.pos // 16 = l.tree // power(16, u.level + 1)::BIGINT
+),
+proofs AS (
+    SELECT tree, leaf_pos, sha256(coalesce(string_agg(digest, '' ORDER BY level, pos) FILTER (NOT own), '')) AS proof
+    FROM steps GROUP BY tree, leaf_pos
+),
+folding AS (
+    SELECT tree, pos AS leaf_pos, 0 AS level, replaced AS digest FROM leaves
+    UNION ALL
+    SELECT s.tree, s.leaf_pos, s.level + 1, sha256(string_agg(CASE WHEN own THEN f.digest ELSE s.digest END, '' ORDER BY s.pos))
+    FROM folding f JOIN steps s ON s.tree = f.tree AND s.leaf_pos = f.leaf_pos AND s.level = f.level
+    GROUP BY s.tree, s.leaf_pos, s.level
+),
+folded AS (SELECT tree, leaf_pos, arg_max(digest, level) AS folded_root FROM folding GROUP BY tree, leaf_pos)
+SELECT doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves l JOIN subroots USING (tree)
+JOIN folded f ON f.tree = l.tree AND f.leaf_pos = l.pos
+LEFT JOIN proofs p ON p.tree = l.tree AND p.leaf_pos = l.pos,
+(SELECT digest AS root FROM upper_nodes WHERE n = 1)
+"""
+
+SQL = {
+    "op10_host_rules": OP10_SQL,
+    "op11_hard_negatives": OP11_SQL,
+    "op12_license_scan": _license_sql(),
+    "op13_merkle_manifest": OP13_SQL,
+}

@@ -51,6 +51,30 @@ def held_out(key: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def ascii_lower(text: Column) -> Column:
+    """A-Z lower-cased, all else as it is. Spark's own ``lower`` serves texts of ASCII bytes only, which is most of them."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+def grouped(batches, keys: list[str]):
+    """The rows of each key as a table; rows with equal (whole, not null) ``keys`` follow one another in ``batches``."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+        if not rows.num_rows:
+            continue
+        at = np.stack([rows[k].to_numpy() for k in keys], 1)
+        cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(1)) + 1)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield rows.slice(a, b - a)
+        held = rows.slice(cuts[-1])
+    if held is not None:
+        yield held
+
+
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in one array, and where each text begins and ends (length + 1 numbers). Null is empty."""
     texts = texts.fill_null("") if texts.null_count else texts
