@@ -8,7 +8,7 @@ from agora.catalog.registry import query
 from agora.session import work_dir
 from agora.sources import sample_posts as sample
 from agora.sources import tables
-from agora.streaming.ingest import stream_dedup, stream_ingest, stream_upsert
+from agora.streaming.ingest import latest, stream_dedup, stream_ingest, stream_upsert
 
 _POSTS_SQL = """SELECT CAST(event_id AS VARCHAR) AS source_id, epoch_us(ts) AS posted_at, 'u_' || CAST(user_id AS VARCHAR) AS username,
   CAST(floor(value) AS BIGINT) AS upvote_count FROM events"""
@@ -87,7 +87,7 @@ def stream_dedup_(spark, sf):
   arg_max(value, event_id) AS value FROM events GROUP BY user_id""",
 )
 def stream_upsert_(spark, sf):
-    """A feed of captures merged into a table: the last capture of each id is kept."""
+    """A feed of captures added to a log, in which buckets are compacted: the last capture of each id is read."""
     feed, schema = _feed(spark, sf)
     out = work_dir(spark, "raw")
 
@@ -104,4 +104,4 @@ def stream_upsert_(spark, sf):
     )
     run.awaitTermination()
     rows = captures(spark.createDataFrame([], schema)).schema
-    return tables.read_table(spark, out, rows).select("id", "event_id", "event_type", "value")
+    return latest(spark, out, rows, ["id", "posted_at"], ["event_id"]).select("id", "event_id", "event_type", "value")

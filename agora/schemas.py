@@ -75,3 +75,10 @@ STORED_TOPIC = columns(topic_id=INT, topic_label=STRING, topic_category=STRING,
 
 # One row per built version of the views; loaded_until: the newest fact it holds.
 VIEW_VERSION = columns(version=STRING, built_at=TIME, loaded_until=TIME)
+
+# A Bloom filter over the keys that one append wrote to one place of a table.
+KEY_FILTER = columns(n_keys=T.LongType(), bits=T.BinaryType(), bucket=INT)
+
+# Capture logs: the places each segment holds rows of; the version that holds a place's rows up to a segment.
+SEGMENT = columns(_segment=T.LongType(), part=STRING, bucket=INT, written_at=TIME)
+COMPACTED = columns(part=STRING, bucket=INT, version=STRING, upto=T.LongType(), written_at=TIME)

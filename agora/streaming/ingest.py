@@ -1,4 +1,4 @@
-"""File streams: load new posts exactly once, drop repeated captures."""
+"""File streams: load new posts exactly once, keep the last capture of each, drop repeated captures."""
 
 from __future__ import annotations
 
@@ -7,53 +7,75 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from agora.operators.bloom import add_filters, perhaps_stored
 from agora.operators.load import FACT_KEY, new_facts
 from agora.operators.raw import dedup_keep_last
+from agora.session import work_dir
 from agora.sources import tables
-
-
-def _partitioned_by(keys: Sequence[str]) -> None:
-    if "posted_at" not in keys:
-        raise ValueError("keys must hold posted_at: else copies of a key can lie in partitions the batch does not touch")
+from agora.sources.layout import BUCKET, PLACE, Layout, layout_of
+from agora.streaming.capture_log import CaptureLog
 
 
 def append_new(
-    batch: DataFrame, path: str, schema: StructType, keys: Sequence[str] = FACT_KEY, grain: str = "year"
+    batch: DataFrame, path: str, schema: StructType, keys: Sequence[str] = FACT_KEY, grain: str = "year",
+    first_year: int = tables.FIRST_YEAR, last_year: int = tables.LAST_YEAR, buckets: int = 64,
 ) -> None:
     """Append the rows of one batch the table lacks; safe to repeat.
 
-    Only the partitions the batch falls in are read back.
+    Rows that no stored filter of their place may hold are new. The others meet
+    the stored keys of their own partitions and buckets, so a batch of new posts reads no file of the
+    table. Grain, years and buckets are those of the table once it exists.
     """
-    _partitioned_by(keys)
-    rows = tables.with_partition(batch, grain).persist()
-    try:
-        touched = tables.touched_partitions(rows)
-        stored = tables.read_table(batch.sparkSession, path, schema).where(F.col(tables.PART).isin(touched))
-        tables.append_table(new_facts(stored, rows, keys), path)
-    finally:
-        rows.unpersist()
+    spark = batch.sparkSession
+    layout = layout_of(spark, path, Layout(keys, grain, buckets, first_year, last_year))
+    order = [c for c in batch.columns if c not in keys]
+    # Stored in the shared folder: the steps below read the batch again, whatever becomes of executors.
+    rows = _kept(layout.place(dedup_keep_last(batch, keys, order)), "batch")
+    parts = tables.touched_partitions(rows)
+    if not parts:
+        return
+    judged = _kept(perhaps_stored(rows, path, keys, parts), "judged")
+    fresh = judged.where(~F.col("held")).drop("held")
+    perhaps = judged.where("held").drop("held")
+    # At most as many places as the table has.
+    places = perhaps.select(*PLACE).distinct().collect()
+    if places:
+        where = F.struct(*PLACE).isin([F.struct(F.lit(p).alias(tables.PART), F.lit(b).alias(BUCKET)) for p, b in places])
+        pruned = F.col(tables.PART).isin(sorted({p for p, _ in places})) & F.col(BUCKET).isin(sorted({b for _, b in places}))
+        full = StructType([*schema.fields, StructField(BUCKET, IntegerType())])
+        stored = tables.read_table(spark, path, full).where(pruned & where)
+        fresh = fresh.unionByName(new_facts(stored, perhaps, keys))
+    fresh = _kept(fresh, "fresh")
+    # Filters come first: a run that dies in between leaves a filter too many, never one too few.
+    add_filters(fresh, path, keys)
+    tables.append_table(fresh, path, PLACE)
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def merge_latest(
-    batch: DataFrame, path: str, schema: StructType, keys: Sequence[str], arrival: Sequence[str], grain: str = "quarter"
+    batch: DataFrame, path: str, schema: StructType, keys: Sequence[str], arrival: Sequence[str], grain: str = "quarter",
+    first_year: int = tables.FIRST_YEAR, last_year: int = tables.LAST_YEAR, buckets: int = 64, compact_at: int = 8,
 ) -> None:
-    """Merge one batch into a table, the last capture of each key by ``arrival`` winning.
+    """Add one batch of captures to the log at ``path``, the last capture of each key by ``arrival`` winning.
 
-    Stored rows compete with the batch, so a repeated or late batch changes
-    nothing that is newer. Only the partitions the batch falls in are rewritten.
+    Nothing stored is read; buckets with ``compact_at`` segments or more are compacted.
     """
-    _partitioned_by(keys)
-    rows = tables.with_partition(batch, grain).persist()
-    try:
-        touched = tables.touched_partitions(rows)
-        if touched:
-            stored = tables.read_table(batch.sparkSession, path, schema).where(F.col(tables.PART).isin(touched))
-            latest = dedup_keep_last(stored.unionByName(rows), keys, arrival)
-            tables.overwrite_partitions(latest, path)
-    finally:
-        rows.unpersist()
+    log = CaptureLog(batch.sparkSession, path, schema, arrival, Layout(keys, grain, buckets, first_year, last_year))
+    log.append(batch)
+    log.compact(compact_at)
+
+
+def latest(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], arrival: Sequence[str],
+           parts: Sequence[str] | None = None) -> DataFrame:
+    """The table ``merge_latest`` and ``stream_upsert`` write: the last capture of each key."""
+    return CaptureLog(spark, path, schema, arrival, Layout(keys)).read(parts)
 
 
 def _run(rows: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -79,14 +101,16 @@ def stream_ingest(
     to_rows: Callable[[DataFrame], DataFrame] = lambda df: df,
     keys: Sequence[str] = FACT_KEY,
     files_per_batch: int = 1000,
+    **layout,
 ) -> StreamingQuery:
     """Append the posts of the files that arrived since the last run, then stop.
 
     The checkpoint remembers finished files; a batch repeated after a failure
-    finds its rows already stored and adds only what is missing.
+    finds its rows already stored and adds only what is missing. ``layout``:
+    grain, years and buckets of a new table.
     """
     rows = to_rows(_files(spark, source, schema, files_per_batch))
-    return _run(rows, checkpoint, lambda batch, _: append_new(batch, out, rows.schema, keys))
+    return _run(rows, checkpoint, lambda batch, _: append_new(batch, out, rows.schema, keys, **layout))
 
 
 def stream_upsert(
@@ -100,10 +124,11 @@ def stream_upsert(
     arrival: Sequence[str],
     to_rows: Callable[[DataFrame], DataFrame] = lambda df: df,
     files_per_batch: int = 1000,
+    **layout,
 ) -> StreamingQuery:
-    """Keep the last capture of each post from the files that arrived since the last run, then stop."""
+    """Keep the last capture of each post from the files that arrived since the last run, then stop; ``latest`` reads the result."""
     rows = to_rows(_files(spark, source, schema, files_per_batch))
-    return _run(rows, checkpoint, lambda batch, _: merge_latest(batch, out, rows.schema, keys, arrival))
+    return _run(rows, checkpoint, lambda batch, _: merge_latest(batch, out, rows.schema, keys, arrival, **layout))
 
 
 def stream_dedup(df: DataFrame, keys: Sequence[str], captured: str, delay: str, *, spread: int = 8) -> DataFrame:

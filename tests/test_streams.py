@@ -1,11 +1,17 @@
+import re
 from datetime import datetime
+from pathlib import Path
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from agora.operators import bloom
 from agora.operators.raw import dedup_keep_last
 from agora.session import work_dir
 from agora.sources import tables
-from agora.streaming.ingest import append_new, merge_latest, stream_dedup, stream_ingest, stream_upsert
+from agora.sources.layout import Layout
+from agora.streaming.capture_log import CaptureLog
+from agora.streaming.ingest import append_new, latest, merge_latest, stream_dedup, stream_ingest, stream_upsert
 
 SCHEMA = "platform_id int, source_id string, posted_at timestamp, seq int, v string"
 
@@ -57,13 +63,111 @@ def test_stream_upsert_equals_batch_keep_last(spark):
     stream_upsert(
         spark, feed, df.schema, out, progress, keys=KEYS, arrival=["seq"], files_per_batch=2
     ).awaitTermination()
-    stored = tables.read_table(spark, out, df.schema)
-    assert content(stored, *df.columns) == content(dedup_keep_last(df, KEYS, ["seq"]), *df.columns)
+    def stored():
+        return content(latest(spark, out, df.schema, KEYS, ["seq"]), *df.columns)
+
+    assert stored() == content(dedup_keep_last(df, KEYS, ["seq"]), *df.columns)
     # A late repeat of old captures changes nothing.
     merge_latest(df.where("seq < 100"), out, df.schema, KEYS, ["seq"])
-    assert content(tables.read_table(spark, out, df.schema), *df.columns) == content(
-        dedup_keep_last(df, KEYS, ["seq"]), *df.columns
+    assert stored() == content(dedup_keep_last(df, KEYS, ["seq"]), *df.columns)
+
+
+def files_below(path):
+    return {str(p) for p in Path(path).rglob("*.parquet")}
+
+
+def test_a_small_batch_writes_to_its_own_buckets_only(spark):
+    """Whatever the quarter holds, ten posts add files to their buckets and read or rewrite none."""
+    out = work_dir(spark, "log")
+    many = spark.range(5000).select(
+        F.lit(1).alias("platform_id"), F.col("id").cast("string").alias("source_id"),
+        F.lit(datetime(2024, 5, 1)).alias("posted_at"), F.lit(1).alias("seq"), F.lit("v").alias("v"),
+    )
+    log = CaptureLog(spark, out, many.schema, ["seq"], Layout(KEYS, buckets=16))
+    log.append(many)
+    before = files_below(out)
+    stamps = {f: Path(f).stat().st_mtime_ns for f in before}
+    ten = many.limit(10).withColumn("seq", F.lit(2))
+    log.append(ten)
+    added = files_below(f"{out}/log") - before
+    touched = {r.bucket for r in log.layout.place(ten).select("bucket").distinct().collect()}
+    assert {int(re.search(r"bucket=(\d+)", f)[1]) for f in added} == touched and len(touched) < 16
+    assert {f: Path(f).stat().st_mtime_ns for f in before} == stamps
+    assert log.read().where("seq = 2").count() == 10 and log.read().count() == 5000
+
+
+def test_compaction_swaps_the_buckets_that_have_many_segments(spark):
+    out, df = work_dir(spark, "log"), captures(spark, 400)
+    log = CaptureLog(spark, out, df.schema, ["seq"], Layout(KEYS, buckets=4))
+    for k in range(0, 400, 100):
+        log.append(df.where(f"seq >= {k} AND seq < {k + 100}"))
+    expected = content(dedup_keep_last(df, KEYS, ["seq"]), *df.columns)
+    assert content(log.read(), *df.columns) == expected
+    # A run that died between version and manifest: the old state counts.
+    log._captures().write.partitionBy("part", "bucket").parquet(f"{out}/base/_version=dead")
+    assert content(log.read(), *df.columns) == expected
+    assert log.compact(4) > 0 and log.live().count() < log.segments().count()
+    assert content(log.read(), *df.columns) == expected
+    assert log.compact(4) == 0
+    late = captures(spark, 30, start=1000)
+    log.append(late)
+    expected = content(dedup_keep_last(df.unionByName(late), KEYS, ["seq"]), *df.columns)
+    assert content(log.read(), *df.columns) == expected
+    assert log.compact(1) > 0 and content(log.read(), *df.columns) == expected and log.live().count() == 0
+    # Compacted segments are not read any more, nor is another time partition.
+    read = log.read(["2024_q2"]).inputFiles()
+    assert content(log.read(["2024_q2"]), *KEYS) == [k for k in content(log.read(), *KEYS) if k[2] == datetime(2024, 5, 1)]
+    assert read is not None
+
+
+def test_a_table_keeps_its_year_range(spark):
+    """A post of 2027 in a table that goes to 2030 is stored once, by whichever run."""
+    row = spark.createDataFrame([(1, "a", datetime(2027, 3, 1), 1, "v")], SCHEMA)
+    out = work_dir(spark, "facts")
+    append_new(row, out, row.schema, last_year=2030)
+    append_new(row, out, row.schema)
+    assert [r.part for r in tables.read_table(spark, out, row.schema).collect()] == ["2027"]
+    out = work_dir(spark, "raw")
+    merge_latest(row, out, row.schema, KEYS, ["seq"], last_year=2030)
+    merge_latest(row.withColumn("seq", F.lit(2)), out, row.schema, KEYS, ["seq"])
+    assert [(r.part, r.seq) for r in latest(spark, out, row.schema, KEYS, ["seq"]).collect()] == [("2027_q1", 2)]
+
+
+def test_new_posts_read_no_file_of_the_table(spark, monkeypatch):
+    """Filters tell new posts apart; rows they may hold are checked against the stored keys of their buckets."""
+    out = work_dir(spark, "facts")
+    posts = lambda low, high: spark.range(low, high).select(
+        F.lit(1).alias("platform_id"), F.col("id").cast("string").alias("source_id"),
+        F.lit(datetime(2024, 5, 1)).alias("posted_at"), F.col("id").cast("int").alias("seq"), F.lit("v").alias("v"),
     )
+    append_new(posts(0, 2000), out, posts(0, 1).schema)
+    read = []
+    real = tables.read_table
+
+    def counted(spark, path, *more, **named):
+        if path == out:
+            read.append(path)
+        return real(spark, path, *more, **named)
+
+    monkeypatch.setattr(tables, "read_table", counted)
+    append_new(posts(10_000, 10_010), out, posts(0, 1).schema)
+    assert read == []
+    append_new(posts(1990, 2010), out, posts(0, 1).schema)
+    assert read == [out]
+    monkeypatch.undo()
+    # Filters that hold everything are slow, not wrong.
+    monkeypatch.setattr("agora.streaming.ingest.perhaps_stored", lambda rows, *_: rows.withColumn("held", F.lit(True)))
+    append_new(posts(2005, 2020), out, posts(0, 1).schema)
+    assert sorted(r.seq for r in tables.read_table(spark, out, posts(0, 1).schema).collect()) == [*range(2020), *range(10_000, 10_010)]
+
+
+def test_filters_have_no_false_negatives_and_few_false_positives():
+    draw = np.random.default_rng(2)
+    for n in (1, 7, 100, 5000):
+        held, other = draw.integers(0, 2**63, (2, n), np.uint64)
+        data = bloom.filter_bytes(held)
+        assert bloom.may_hold([data], held).all() and bloom.may_hold([], other).sum() == 0
+        assert bloom.may_hold([data], other).mean() < 0.01
 
 
 def test_stream_dedup_keeps_one_of_each_across_batches(spark):
