@@ -28,6 +28,8 @@ def _long(*names: str) -> list:
 
 
 def _round(df: DataFrame, *names: str, digits: int = 9) -> DataFrame:
+    if not names:
+        return df
     return df.withColumns({n: F.round(n, digits) for n in names})
 
 
@@ -216,6 +218,14 @@ def insert_if_absent(spark, sf):
 # --- star and views -----------------------------------------------------------
 
 
+def shown_view(name: str, rows: DataFrame) -> DataFrame:
+    """A view with the types and the rounding its SQL states."""
+    whole = [c for c in ("year", "quarter", "month", "topic_rank") if c in rows.columns]
+    averages = [c for c in rows.columns if c.startswith("avg_")]
+    return _round(_round(rows.withColumns({c: F.col(c).cast("long") for c in whole}), *averages),
+                  *[c for c in rows.columns if c.startswith("stddev_")], digits=6)
+
+
 @query(
     "star_join",
     f"""WITH {S.RESOLVED} SELECT id AS source_id, platform_name, channel, CAST(full_date AS VARCHAR) AS full_date,
@@ -237,9 +247,7 @@ def star_join(spark, sf):
   round(stddev_samp(score_parts / 10000.0), 6) AS stddev_sentiment_score FROM star GROUP BY ALL""",
 )
 def mv_temporal_sentiment(spark, sf):
-    out = views.view("mv_temporal_sentiment", *facts(spark, sf))
-    out = out.withColumns({c: F.col(c).cast("long") for c in ("year", "quarter", "month")})
-    return _round(_round(out, "avg_sentiment_score"), "stddev_sentiment_score", digits=6)
+    return shown_view("mv_temporal_sentiment", views.view("mv_temporal_sentiment", *facts(spark, sf)))
 
 
 @query(
@@ -250,9 +258,7 @@ def mv_temporal_sentiment(spark, sf):
   round(CAST(sum(engagement) AS DOUBLE) / count(*), 9) AS avg_engagement FROM star GROUP BY ALL""",
 )
 def mv_platform_comparison(spark, sf):
-    out = views.view("mv_platform_comparison", *facts(spark, sf))
-    out = out.withColumns({c: F.col(c).cast("long") for c in ("year", "quarter")})
-    return _round(out, "avg_sentiment_score", "avg_engagement")
+    return shown_view("mv_platform_comparison", views.view("mv_platform_comparison", *facts(spark, sf)))
 
 
 @query(
@@ -263,8 +269,7 @@ def mv_platform_comparison(spark, sf):
 SELECT *, rank() OVER (PARTITION BY year, quarter, platform_name ORDER BY post_count DESC) AS topic_rank FROM v""",
 )
 def mv_topic_volume(spark, sf):
-    out = views.view("mv_topic_volume", *facts(spark, sf))
-    return out.withColumns({c: F.col(c).cast("long") for c in ("year", "quarter", "topic_rank")})
+    return shown_view("mv_topic_volume", views.view("mv_topic_volume", *facts(spark, sf)))
 
 
 _ENGAGEMENT_SQL = ", ".join(
@@ -287,9 +292,7 @@ _ENGAGEMENT_SQL = ", ".join(
 FROM facts WHERE sentiment_id IS NOT NULL GROUP BY ALL""",
 )
 def mv_engagement_by_sentiment(spark, sf):
-    out = views.view("mv_engagement_by_sentiment", *facts(spark, sf))
-    out = out.withColumns({c: F.col(c).cast("long") for c in ("year", "quarter")})
-    return _round(out, *[c for c in out.columns if c.startswith("avg_")])
+    return shown_view("mv_engagement_by_sentiment", views.view("mv_engagement_by_sentiment", *facts(spark, sf)))
 
 
 # --- OLAP ---------------------------------------------------------------------

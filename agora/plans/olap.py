@@ -126,33 +126,40 @@ def engagement_effect(fact: DataFrame, dims: Dimensions) -> DataFrame:
 
     One pass: posts are summed per platform and sentiment key, squares
     included, and the correlation follows from the sums. They are whole numbers,
-    so neither order nor cancellation changes the result.
+    so neither order nor cancellation changes the result. Squares are taken
+    around the whole part of the mean, which keeps every product within 38
+    digits for 10**12 posts of any 32-bit counts.
     """
     total = (
         F.col("like_count").cast("decimal(12,0)") + F.col("retweet_count") + F.col("upvote_count") + F.col("comment_count")
-    )
+    ).cast("decimal(12,0)")
     sums = fact.groupBy("platform_id", "sentiment_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum(total).alias("e"), F.sum(total * total).alias("ee")
     )
     named = label(sums, dims, topic=False)
     negative = F.col("sentiment_label") == "negative"
     per_platform = named.groupBy("platform_name").agg(
-        F.sum("n").alias("n"),
-        F.sum("e").alias("e"),
+        F.sum("n").cast("decimal(13,0)").alias("n"),
+        F.sum("e").cast("decimal(24,0)").alias("e"),
         F.sum("ee").alias("ee"),
-        F.sum(F.when(negative, F.col("n")).otherwise(0)).alias("n_neg"),
-        F.sum(F.when(negative, F.col("e")).otherwise(0)).alias("e_neg"),
+        F.sum(F.when(negative, F.col("n")).otherwise(0)).cast("decimal(13,0)").alias("n_neg"),
+        F.sum(F.when(negative, F.col("e")).otherwise(0)).cast("decimal(24,0)").alias("e_neg"),
     )
     n, e, nn, en = (F.col(c).cast("double") for c in ("n", "e", "n_neg", "e_neg"))
-    whole = lambda c: F.col(c).cast("decimal(19,0)")
-    both = (whole("n") * whole("e_neg") - whole("n_neg") * whole("e")).cast("double")
-    squares = (whole("n") * F.col("ee").cast("decimal(19,0)") - whole("e") * whole("e")).cast("double")
-    flags = (whole("n") * whole("n_neg") - whole("n_neg") * whole("n_neg")).cast("double")
+    both = (F.col("n") * F.col("e_neg") - F.col("n_neg") * F.col("e")).cast("double")
+    flags = (F.col("n") * F.col("n_neg") - F.col("n_neg") * F.col("n_neg")).cast("double")
+    whole = F.expr("e div n").cast("decimal(12,0)")
+    rest = (F.col("e") - whole * F.col("n")).cast("decimal(13,0)")
+    around = (F.col("ee") - F.lit(2).cast("decimal(1,0)") * (whole * F.col("e")) + whole * whole * F.col("n")).cast("decimal(38,0)")
+    # n times the squared deviations: exact where the fraction of the mean can matter, a double beyond.
+    exact = (around.cast("decimal(24,0)") * F.col("n") - rest * rest).cast("double")
+    small = around < F.lit("999999999999999999999999").cast("decimal(38,0)")
+    squares = F.when(small, exact).otherwise(around.cast("double") * n)
     avg_negative, avg_other = en / F.nullif(nn, F.lit(0.0)), (e - en) / F.nullif(n - nn, F.lit(0.0))
     spread = F.sqrt(flags) * F.sqrt(squares)
     return per_platform.select(
         "platform_name",
-        F.col("n").alias("post_count"),
+        F.col("n").cast("long").alias("post_count"),
         avg_negative.alias("avg_negative"),
         avg_other.alias("avg_other"),
         (avg_negative / F.nullif(avg_other, F.lit(0.0))).alias("ratio"),

@@ -18,9 +18,9 @@ from agora.functions.text import clean_text
 from agora.operators import load, raw
 from agora.operators.dims import Dimensions, build_dim_topic, default_dimensions, topic_rows
 from agora.operators.query import setting
-from agora.plans.star import MONTHLY, summarise
+from agora.plans.star import MONTHLY, add_up, summarise
 from agora.plans.views import VIEWS
-from agora.session import work_dir
+from agora.session import pin, work_dir
 from agora.sources import tables
 from agora.sources.local import empty_table
 
@@ -43,6 +43,7 @@ class Warehouse:
     last_year: int = tables.LAST_YEAR
 
     def __post_init__(self) -> None:
+        pin(self.spark)
         self.root = self.root.rstrip("/")
         self.dims = self.dims or default_dimensions(self.spark)
 
@@ -116,6 +117,9 @@ class Warehouse:
         known = tables.read_table(self.spark, self._path("view_versions"), schemas.VIEW_VERSION, by=None)
         return known.orderBy(F.desc("built_at"), F.desc("version")).first()
 
+    def _monthly(self, version: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self._path('monthly')}/version={version}")
+
     def view(self, name: str) -> DataFrame:
         """A stored view, whichever session built it."""
         current = self._current()
@@ -209,7 +213,7 @@ class Warehouse:
         return loaded
 
     def load_and_refresh(self) -> int:
-        """Load, then rebuild the views if they are older than the facts, whichever run loaded those."""
+        """Load, then refresh the views if they are older than the facts, whichever run loaded those."""
         loaded = self.load()
         current, newest = self._current(), self.facts().agg(F.max("loaded_at")).first()[0]
         if newest is not None and (current is None or current.loaded_until is None or current.loaded_until < newest):
@@ -223,32 +227,41 @@ class Warehouse:
             "slang": setting(config, "slang-mapping", fixed.SLANG),
         }
 
-    def refresh_views(self, years: list[int] | None = None, version: str | None = None) -> dict[str, str]:
-        """Rebuild the four views in a new version folder and make it the current one.
+    def refresh_views(self, years: list[int] | None = None, version: str | None = None, full: bool = False) -> dict[str, str]:
+        """Bring the four views up to date in a new version folder and make it the current one.
 
-        With ``years``, only facts of those years are read: their months replace
-        those in the current version's stored monthly summary, which all views
-        are built from. The version is recorded last, so a run that dies leaves
-        the former one current.
+        Only facts loaded since the current version are read: their monthly sums
+        are added to its stored summary, which all views are built from; sums, squares
+        and counts merge exactly. Dimensions are joined anew. ``full`` reads all facts,
+        which is needed after facts were deleted or changed, and is done where there is no version yet.
+        With ``years``, all facts of those years are read, and their months replace those
+        of the summary; the next refresh is a full one. The version is recorded
+        last, so a run that dies leaves the former one current.
         """
         version = version or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-        facts = self.facts()
+        facts, current = self.facts(), self._current()
         until = facts.agg(F.max("loaded_at")).first()[0]
+        added = current is not None and current.loaded_until is not None and not current.by_years and version != current.version
+        rest = None
         if years:
-            current = self._current()
             if current is None:
                 raise LookupError("years can only be replaced in views that exist; refresh all of them first")
             labels = {str(y) if self.first_year <= y <= self.last_year else "default" for y in years}
             facts = facts.where(F.col(tables.PART).isin(sorted(labels)) & F.year("posted_at").isin(list(years)))
-            rest = self.spark.read.parquet(f"{self._path('monthly')}/version={current.version}").where(~F.col("year").isin(list(years)))
+            rest = self._monthly(current.version).where(~F.col("year").isin(list(years)))
             # Facts of other years may be newer than the views; the views stay due for them.
             until = current.loaded_until
+        elif added and not full:
+            # Each load writes its own files, so the filter leaves row groups of former loads unread.
+            facts = facts.where(F.col("loaded_at") > F.lit(current.loaded_until))
+            rest = self._monthly(current.version)
         dims = self.dimensions()
         summary = summarise(facts, dims, MONTHLY)
-        summary = summary.unionByName(rest) if years else summary
+        if rest is not None:
+            summary = summary.unionByName(rest).groupBy(*MONTHLY).agg(*add_up())
         monthly = self.spark.read.parquet(tables.write_version(summary, self._path("monthly"), version))
         out = {name: tables.write_version(build(monthly, dims), self._path(name), version) for name, build in VIEWS.items()}
-        record = self.spark.createDataFrame([(version, datetime.now(timezone.utc), until)], schemas.VIEW_VERSION)
+        record = self.spark.createDataFrame([(version, datetime.now(timezone.utc), until, bool(years))], schemas.VIEW_VERSION)
         record.write.mode("append").parquet(self._path("view_versions"))
         for name, where in out.items():
             self.spark.read.parquet(where).createOrReplaceTempView(name)

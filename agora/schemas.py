@@ -73,8 +73,8 @@ SCAN = columns(source_type=STRING, scanned_at=TIME)
 SETTING = columns(key=STRING, value=STRING, written_at=TIME)
 STORED_TOPIC = columns(topic_id=INT, topic_label=STRING, topic_category=STRING, top_keywords=WORDS, written_at=TIME)
 
-# One row per built version of the views; loaded_until: the newest fact it holds.
-VIEW_VERSION = columns(version=STRING, built_at=TIME, loaded_until=TIME)
+# One row per built version of the views; loaded_until: the newest fact it holds; by_years: some years hold newer ones.
+VIEW_VERSION = columns(version=STRING, built_at=TIME, loaded_until=TIME, by_years=T.BooleanType())
 
 # A Bloom filter over the keys that one append wrote to one place of a table.
 KEY_FILTER = columns(n_keys=T.LongType(), bits=T.BinaryType(), bucket=INT)

@@ -1,12 +1,17 @@
 """The plans Spark chooses: pruning, pushdown, joins without shuffles, no cross joins."""
 
+from fractions import Fraction
+
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from agora import fixed
 from agora.catalog import load_all
 from agora.functions.text import clean_text
+from agora.operators.dims import default_dimensions
 from agora.operators.query import query
+from agora.plans.olap import engagement_effect
 from agora.session import work_dir
 from agora.sources import sample_posts as sample
 from agora.sources import tables
@@ -60,3 +65,24 @@ def test_cleaning_hands_python_only_what_it_needs(spark, sf_dir):
     text = plan(clean_text(sample.read(spark, sf_dir, "documents").select("text"), "text", tlds=fixed.COMMON_TLDS))
     assert text.count("ArrowEvalPython") == 2 and "Exchange" not in text
     assert "_unescape(CASE WHEN Contains(" in text and "_nfkc(CASE WHEN RLIKE(" in text
+
+
+@pytest.mark.parametrize("likes", [[20_000_000] * 20_000 + [1], [2_000_000_000, 1, 7, 0], [5, 5, 5], [10**9, 10**9 + 1]])
+def test_engagement_effect_of_large_sums(spark, likes):
+    """Sums of squares times counts beyond 19 digits, and deviations far below the mean."""
+    dims = default_dimensions(spark)
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(likes)], "i int, like_count int").select(
+        F.lit(1).alias("platform_id"), F.when(F.col("i") % 2 == 0, 7).otherwise(1).alias("sentiment_id"), "like_count",
+        *[F.lit(0).alias(c) for c in ("retweet_count", "upvote_count", "comment_count")],
+    )
+    (got,) = engagement_effect(rows, dims).collect()
+    negative = {r.sentiment_id for r in dims.sentiment.where("sentiment_label = 'negative'").collect()}
+    flags = [int((7 if i % 2 == 0 else 1) in negative) for i in range(len(likes))]
+    mean, share = Fraction(sum(likes), len(likes)), Fraction(sum(flags), len(flags))
+    spread = float(sum((x - mean) ** 2 for x in likes))
+    if not spread:
+        assert got.correlation is None
+    else:
+        both = float(sum((x - mean) * (f - share) for x, f in zip(likes, flags)))
+        assert got.correlation == pytest.approx(both / (spread * float(sum((f - share) ** 2 for f in flags))) ** 0.5, rel=1e-12)
+    assert got.post_count == len(likes)
