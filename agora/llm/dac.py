@@ -22,12 +22,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from agora.llm.shared import few
 from agora.llm.token_ids import ids_of
 from agora.session import work_dir
 
 MAGIC = b"DAC1"
 RANK_STEP = 512
 SHARD_IDS = 1 << 20
+# Bytes of texts that a writing task gets, on average.
+TASK_BYTES = 32 << 20
+# Width of a run of places that are looked up together.
+AT_ONCE = 1 << 16
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 
@@ -123,7 +128,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end: int, key: str = "
     over tasks. A task holds one shard, and the longest document, at a time.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
-    rows = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie")
+    n_bytes = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // TASK_BYTES))
+    rows = rows.repartitionByRange(tasks, "id", "tie").sortWithinPartitions("id", "tie")
 
     def shards(batches):
         part, shard, ids, keys, lengths, held = TaskContext.get().partitionId(), 0, [], [], [], 0
@@ -156,7 +163,8 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """Shards with ``first``, the number of ids before them.
 
     Sums of shards are taken by part first, so the one window over everything
-    sees a row per part only.
+    sees a row per part only. A shard's place is one narrow row; places are sent
+    to the shards (after a count, see ``few``), which stay where they are.
     """
     shards = spark.read.schema(SHARD).parquet(path)
     sums = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
@@ -164,7 +172,7 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     inside = F.sum("n_ids").over(Window.partitionBy("part").orderBy("shard")) - F.col("n_ids")
     places = shards.select("part", "shard", "n_ids").withColumn("_inside", inside).join(before, "part")
     places = places.select("part", "shard", (F.col("_before") + F.col("_inside")).alias("first"))
-    return shards.join(places, ["part", "shard"])
+    return shards.join(few(places, "places"), ["part", "shard"])
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -178,7 +186,9 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                 keys = keys.as_py()
                 for a in range(0, len(keys), 256):
                     b = min(a + 256, len(keys))
-                    ids = [sequence.range(at[k], at[k + 1]).astype("<u4").tobytes() for k in range(a, b)]
+                    read = sequence.range(at[a], at[b]).astype("<u4").tobytes()
+                    cut = 4 * (at[a : b + 1] - at[a])
+                    ids = [read[x:y] for x, y in zip(cut[:-1].tolist(), cut[1:].tolist())]
                     yield pa.record_batch(
                         [pa.array(keys[a:b], pa.int64()), pa.array(at[a:b] + first.as_py()), pa.array(lengths[a:b]), pa.array(ids, pa.binary())],
                         names=["doc_id", "start", "n_tokens", "ids"],
@@ -189,22 +199,35 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ids_at(spark: SparkSession, path: str, places: DataFrame) -> DataFrame:
-    """``places`` (column ``at``) with the id at each place of the whole sequence; places outside get null.
+    """``places`` (column ``at``) with the id at each place of the whole sequence; null and places outside get null.
 
-    Places meet their shard by range join on block numbers of ``SHARD_IDS`` ids.
+    Each of repeated places gets its id. Places meet their shard by range join on block numbers of ``SHARD_IDS`` ids. The
+    places of a shard are gathered (each once) in runs of ``AT_ONCE``, so a shard is read and parsed once for each run,
+    not for each place.
     """
-    shards = read_shards(spark, path).select("first", "n_ids", "codes")
+    shards = read_shards(spark, path).select("part", "shard", "first", "n_ids", "codes")
     blocks = F.sequence((F.col("first") / SHARD_IDS).cast("long"), ((F.col("first") + F.col("n_ids") - 1) / SHARD_IDS).cast("long"))
-    covered = shards.withColumn("_block", F.explode(blocks))
-    asked = places.select("at").distinct().withColumn("_block", (F.col("at") / SHARD_IDS).cast("long"))
+    covered = shards.drop("codes").withColumn("_block", F.explode(blocks))
+    asked = places.select(F.col("at").cast("long").alias("at")).distinct().withColumn("_block", (F.col("at") / SHARD_IDS).cast("long"))
     inside = (F.col("at") >= F.col("first")) & (F.col("at") < F.col("first") + F.col("n_ids"))
-
-    @F.arrow_udf("long")
-    def lookup(codes: pa.Array, at: pa.Array) -> pa.Array:
-        return pa.array([Dac.from_bytes(c.as_py())[a] for c, a in zip(codes, at.to_pylist(), strict=True)], pa.int64())
-
-    met = asked.join(covered, "_block").where(inside).select("at", lookup("codes", F.col("at") - F.col("first")).alias("id"))
-    return places.join(met, "at", "left")
+    met = asked.join(covered, "_block").where(inside)
+    # A run is a slice of a shard's places by their value, so runs are bounded however many places a shard has.
+    run = F.floor((F.col("at") - F.col("first")) / AT_ONCE)
+    runs = met.groupBy("part", "shard", run.alias("run")).agg(F.sort_array(F.collect_list(F.col("at") - F.col("first"))).alias("inner"))
+
+    @F.arrow_udf("array<long>")
+    def lookup(codes: pa.Array, inner: pa.Array) -> pa.Array:
+        found = []
+        for c, places_ in zip(codes, inner, strict=True):
+            sequence = Dac.from_bytes(c.as_py())
+            found.append([sequence[i] for i in places_.as_py()])
+        return pa.array(found, pa.list_(pa.int64()))
+
+    read = runs.join(shards.select("part", "shard", "first", "codes"), ["part", "shard"])
+    ids = read.select("first", "inner", lookup("codes", "inner").alias("ids"))
+    pairs = ids.select("first", F.explode(F.arrays_zip("inner", "ids")).alias("p"))
+    known = pairs.select((F.col("first") + F.col("p.inner")).alias("at"), F.col("p.ids").alias("id"))
+    return places.join(known, "at", "left")
 
 
 def new_path(spark: SparkSession) -> str:

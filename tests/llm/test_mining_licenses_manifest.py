@@ -283,3 +283,38 @@ def test_ascii_lower_leaves_other_letters(spark):
     texts = ["ABC Zz", "ÉCOLE İ K", "", None]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(ascii_lower(F.col("t"))).collect()]
     assert got == [None if t is None else ascii_lowered(t) for t in texts]
+
+
+# Token files and the pipeline
+
+
+def test_places_are_looked_up_by_shard(spark, monkeypatch):
+    from agora.llm import dac
+    from agora.llm.vocabularies import default_path
+
+    prepare(spark)
+    docs = spark.createDataFrame([(i, f"word {i} " * (i % 40)) for i in range(300)], "doc_id long, text string")
+    path = dac.new_path(spark)
+    dac.write_ids(docs, path, default_path("word_bpe_49k.json"), 1, shard_ids=500)
+    rows = dac.read_ids(spark, path).orderBy("start").collect()
+    sequence = np.concatenate([np.frombuffer(r.ids, "<u4") for r in rows])
+    monkeypatch.setattr(dac, "AT_ONCE", 64)
+    asked = [0, 1, 1, len(sequence) - 1, len(sequence), -1, None, *random.Random(4).choices(range(len(sequence)), k=500)]
+    places = spark.createDataFrame([(a, "x") for a in asked], "at long, codes string")
+    got = rows_of(dac.ids_at(spark, path, places).select("at", "id"))
+    want = [(a, int(sequence[a]) if a is not None and 0 <= a < len(sequence) else None) for a in asked]
+    assert got == sorted(want, key=repr)
+
+
+def test_pipeline_dedup_keeps_clashing_names_maps_and_dots(spark):
+    import corpus_pipeline
+
+    prepare(spark)
+    text = "one two three four five six seven eight"
+    rows = [(1, text, 10), (1, text + " nine ten", 20), (2, text, 30), (None, "other words stand here alone today", 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row long").select(
+        "*", F.create_map(F.lit("k"), F.col("_row")).alias("m"), F.col("_row").alias("a.b"), F.lit("x").alias("doc"))
+    out = corpus_pipeline.without_near_duplicates(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert sorted(r["_row"] for r in out.collect()) == [10, 20, 40]
+    assert all(r["m"] == {"k": r["_row"]} and r["a.b"] == r["_row"] and r["doc"] == "x" for r in out.collect())
