@@ -28,7 +28,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents op8 names a language for, however they mix languages; texts without letters (null and empty ones too) go."""
     prepare(spark)
     found = language.identify(spark, language.fit(docs), F.col("text"))
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), found.alias("found"))
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"), found.alias("found"))
     return rows.where(F.col("found.lang_pred") != language.UNKNOWN).select("doc.*")
 
 
@@ -48,9 +48,14 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def _by_rows(docs: DataFrame) -> DataFrame:
     """The same where ids do not tell rows apart: rows get numbers, which are stored so that they do not change."""
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    # The documents stay whole in one struct, so that no name of theirs meets one of ours; maps have no hash, but a text.
+    whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc")
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("_row"), whole), "numbered")
+    rows = rows.select("_row", "doc", "doc.doc_id", "doc.text")
     found = near_dup.near_duplicates(rows, key="_row").select(F.col("doc_id").alias("_row"), "n_shingles", "component_id")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.sha2("text", 256).alias("text"), F.xxhash64(*docs.columns).alias("rest"), "_row")
+    order = F.struct(
+        F.col("doc_id").isNull().alias("last"), "doc_id", F.sha2("text", 256).alias("text"), F.xxhash64(F.to_json("doc")).alias("rest"), "_row"
+    )
     linked = (F.col("n_shingles") > 0) | F.col("doc_id").isNull()
     met = found.join(rows.select("_row", "doc_id", order.alias("order")), "_row")
     groups = met.groupBy(
@@ -59,7 +64,7 @@ def _by_rows(docs: DataFrame) -> DataFrame:
     )
     first = groups.agg(F.min("order").alias("order")).select("order._row")
     gone = few(found.select("_row").join(first, "_row", "left_anti"), "gone")
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    return rows.join(gone, "_row", "left_anti").select("doc.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
