@@ -150,36 +150,33 @@ def mark_processed(spark, sf):
 
 @query(
     "config_lookup",
-    """SELECT CAST(o.o_custkey AS VARCHAR) AS key,
-  CASE WHEN c.c_custkey IS NULL THEN 'default' ELSE c.c_mktsegment END AS value, count(*) AS lookups
-FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey AND c.c_acctbal > 0 GROUP BY ALL""",
+    """SELECT CAST(d.doc_id AS VARCHAR) AS key,
+  CASE WHEN l.doc_id IS NULL THEN 'default' ELSE CAST(l.quality AS VARCHAR) END AS value
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
 )
 def config_lookup(spark, sf):
-    """Key/value lookups; a key the table lacks gets the default."""
-    config = sample.read(spark, sf, "customer").where("c_acctbal > 0").select(
-        F.col("c_custkey").cast("string").alias("key"), F.col("c_mktsegment").alias("value")
+    """Key/value lookups; a key the table lacks (a document without labels) gets the default."""
+    config = sample.read(spark, sf, "labels").select(
+        F.col("doc_id").cast("string").alias("key"), F.col("quality").cast("string").alias("value")
     )
-    keys = sample.read(spark, sf, "orders").groupBy(F.col("o_custkey").cast("string").alias("key")).agg(
-        F.count(F.lit(1)).alias("lookups")
-    )
-    return raw.config_lookup(config, keys.select("key"), "default").join(keys, "key")
+    keys = sample.read(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("key"))
+    return raw.config_lookup(config, keys, "default")
 
 
 @query(
     "config_upsert",
     """SELECT coalesce(n.key, o.key) AS key, CASE WHEN n.key IS NULL THEN o.value ELSE n.value END AS value
-FROM (SELECT c_name AS key, c_mktsegment AS value FROM customer WHERE c_acctbal > 0) o
-FULL OUTER JOIN (SELECT c_name AS key, CAST(c_nationkey AS VARCHAR) AS value FROM customer WHERE c_nationkey < 12) n
-  ON o.key = n.key""",
+FROM (SELECT CAST(doc_id AS VARCHAR) AS key, CAST(quality AS VARCHAR) AS value FROM labels) o
+FULL OUTER JOIN (SELECT CAST(s_suppkey AS VARCHAR) AS key, CAST(s_nationkey AS VARCHAR) AS value FROM supplier) n ON o.key = n.key""",
 )
 def config_upsert(spark, sf):
-    """Key/value entries written over a configuration table: known keys change, new ones are added."""
-    customers = sample.read(spark, sf, "customer")
-    config = customers.where("c_acctbal > 0").select(
-        F.col("c_name").alias("key"), F.col("c_mktsegment").alias("value"), F.lit(None).cast("timestamp").alias("created_at")
+    """Key/value entries written over a configuration table: known keys change, new ones are added, the others stay."""
+    config = sample.read(spark, sf, "labels").select(
+        F.col("doc_id").cast("string").alias("key"), F.col("quality").cast("string").alias("value"),
+        F.lit(None).cast("timestamp").alias("created_at"),
     )
-    entries = customers.where("c_nationkey < 12").select(
-        F.col("c_name").alias("key"), F.col("c_nationkey").cast("string").alias("value")
+    entries = sample.read(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("key"), F.col("s_nationkey").cast("string").alias("value")
     )
     return raw.set_config(config, entries).select("key", "value")
 
@@ -225,6 +222,19 @@ def time_window_filter(spark, sf):
     return raw.time_window_filter(sample.posts(spark, sf), since, until).select("source_type", "id", _micros())
 
 
+@query(
+    "read_window",
+    f"""WITH {S.POSTS} SELECT source_type, id, epoch_us(posted_at) AS posted_at FROM posts
+WHERE posted_at >= TIMESTAMP '2023-11-15' AND posted_at < TIMESTAMP '2024-02-20'""",
+)
+def read_window(spark, sf):
+    """Posts of a window from a table stored by quarter: only the quarters of the window are read."""
+    path, posts = work_dir(spark, "posts"), sample.posts(spark, sf).select("source_type", "id", "posted_at")
+    tables.append_table(tables.with_partition(posts, "quarter"), path)
+    stored = tables.read_window(spark, path, posts.schema, "2023-11-15", "2024-02-20", "quarter")
+    return stored.select("source_type", "id", _micros())
+
+
 def _raw_x(spark, sf):
     return sample.x_posts(spark, sf).withColumns(
         {
@@ -268,14 +278,12 @@ def json_pack_unpack(spark, sf):
 @query(
     "surrogate_keys",
     f"""WITH {S.POSTS} SELECT source_type, id, epoch_us(posted_at) AS posted_at,
-  CAST(row_number() OVER (ORDER BY substr(md5(source_type || '|' || id || '|' || strftime(posted_at, '%Y-%m-%d')), 1, 3),
-    source_type, id, strftime(posted_at, '%Y-%m-%d')) AS BIGINT) AS post_id FROM posts""",
+  CAST(row_number() OVER (ORDER BY source_type, id, posted_at) AS BIGINT) AS post_id FROM posts""",
 )
 def surrogate_keys_(spark, sf):
-    """Gapless numbers over all posts without a global sort."""
-    posts = sample.posts(spark, sf).withColumn("day", F.date_format("posted_at", "yyyy-MM-dd"))
-    out = surrogate_keys(posts.select("source_type", "id", "posted_at", "day"), ["source_type", "id", "day"], "post_id")
-    return out.select("source_type", "id", _micros(), "post_id")
+    """Gapless numbers over all posts, in the order of their keys, by ranges of it."""
+    posts = sample.posts(spark, sf).select("source_type", "id", "posted_at")
+    return surrogate_keys(posts, ["source_type", "id", "posted_at"], "post_id").select("source_type", "id", _micros(), "post_id")
 
 
 @query(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from itertools import islice
+
 from pyspark.sql import functions as F
 
 from agora import schemas
@@ -38,19 +41,14 @@ def embed_related(spark, sf):
 
 @query(
     "embed_one",
-    """SELECT o.o_orderkey, coalesce(c.c_name, 'none') AS customer_name, coalesce(c.c_mktsegment, 'none') AS customer_segment
-FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey AND c.c_acctbal > 0""",
+    """SELECT d.doc_id, coalesce(CAST(l.quality AS VARCHAR), 'none') AS quality, coalesce(CAST(l.toxic AS VARCHAR), 'none') AS toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
 )
 def embed_one(spark, sf):
-    """Orders with their customer embedded as a struct."""
-    orders = sample.read(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
-    customers = sample.read(spark, sf, "customer").where("c_acctbal > 0")
-    nested = Q.embed_one(orders, customers, ["c_custkey"], ["c_name", "c_mktsegment"], "customer")
-    return nested.select(
-        "o_orderkey",
-        F.coalesce("customer.c_name", F.lit("none")).alias("customer_name"),
-        F.coalesce("customer.c_mktsegment", F.lit("none")).alias("customer_segment"),
-    )
+    """Documents with their labels embedded as a struct; some have none."""
+    documents = sample.read(spark, sf, "documents").select("doc_id")
+    nested = Q.embed_one(documents, sample.read(spark, sf, "labels"), ["doc_id"], ["quality", "toxic"], "labels")
+    return nested.select("doc_id", *[F.coalesce(F.col(f"labels.{c}").cast("string"), F.lit("none")).alias(c) for c in ("quality", "toxic")])
 
 
 @query(
@@ -119,6 +117,21 @@ def order_limit_offset(spark, sf):
     return Q.query(sample.read(spark, sf, "orders"), ["o_orderkey", "o_totalprice"], order=order, limit=50, offset=20)
 
 
+@query(
+    "seek_pages",
+    """SELECT o_orderkey, o_totalprice, o_orderstatus, CAST(row_number() OVER w AS BIGINT) AS place FROM orders
+WINDOW w AS (ORDER BY o_orderstatus ASC NULLS LAST, o_totalprice DESC NULLS FIRST, o_orderkey ASC NULLS LAST)
+ORDER BY place LIMIT 150""",
+)
+def seek_pages(spark, sf):
+    """Three pages of fifty, each found by what comes after the last row of the one before; columns in mixed directions."""
+    orders = sample.read(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    order = [("o_orderstatus", False), ("o_totalprice", True), ("o_orderkey", False)]
+    found = [row for rows in islice(Q.pages(orders, order, 50), 3) for row in rows]
+    shown = [(*row, place) for place, row in enumerate(found, 1)]
+    return spark.createDataFrame(shown, orders.schema.add("place", "long"))
+
+
 @query(
     "single_row",
     """SELECT c_custkey, c_name FROM customer WHERE c_acctbal = (SELECT max(c_acctbal) FROM customer)
@@ -168,6 +181,18 @@ def trigram_similarity_(spark, sf):
     return sample.read(spark, sf, "documents").select("doc_id", F.round(score, 9).alias("similarity"))
 
 
+@query(
+    "similar_texts",
+    f"""WITH g AS (SELECT doc_id, {_TRIGRAMS.format(t="text")} AS a, {_TRIGRAMS.format(t=S.text(_NEEDLE))} AS b FROM documents),
+s AS (SELECT doc_id, CAST(len(list_intersect(a, b)) AS DOUBLE) / (len(a) + len(b) - len(list_intersect(a, b))) AS similarity FROM g)
+SELECT doc_id, round(similarity, 9) AS similarity FROM s WHERE similarity >= 0.1""",
+)
+def similar_texts(spark, sf):
+    """Documents at least a tenth similar to a phrase."""
+    found = search.similar_texts(sample.read(spark, sf, "documents"), "text", _NEEDLE, 0.1)
+    return found.select("doc_id", F.round("similarity", 9).alias("similarity"))
+
+
 _SEARCHES = [("the", "indonesia, economy"), ("le", "investasi"), ("der", "personalfinance,unlisted"), ("of", None)]
 _SEARCH_ROWS = S.values(
     [("the", "r/indonesia"), ("the", "r/economy"), ("le", "r/investasi"), ("der", "r/personalfinance"),
@@ -178,10 +203,10 @@ hits AS (SELECT w.query, p.channel, p.id, p.posted_at FROM staged p JOIN wanted
   WHERE contains(p.text_content, w.query))"""
 
 
-def _hits(spark, sf):
+def _hits(spark, sf, searches=None):
     posts = sample.posts(spark, sf).select("id", "channel", "posted_at", "doc_id")
     texts = sample.document_scores(spark, sf, text=True).select("doc_id", "text_content")
-    searches = small_table(spark, schemas.SEARCH, _SEARCHES)
+    searches = small_table(spark, schemas.SEARCH, _SEARCHES) if searches is None else searches
     return search.keyword_search(posts.join(texts, "doc_id"), searches).select("query", "channel", "id", "posted_at")
 
 
@@ -191,6 +216,15 @@ def keyword_search(spark, sf):
     return _hits(spark, sf).drop("posted_at")
 
 
+@query("searches_from_config", f"WITH {_HITS} SELECT query, channel, id FROM hits")
+def searches_from_config(spark, sf):
+    """The same searches, read from the configuration table's JSON."""
+    listed = [{"query": q, "subreddit": s} for q, s in _SEARCHES]
+    value = json.dumps({"nitter": [x for x in listed if not x["subreddit"]], "reddit": [x for x in listed if x["subreddit"]]})
+    config = small_table(spark, schemas.APP_CONFIG, [("scrape-config", value, None), ("other", "{}", None)])
+    return _hits(spark, sf, search.searches_from_config(config)).drop("posted_at")
+
+
 @query(
     "topk_per_query",
     f"""WITH {_HITS}, r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY posted_at DESC, id) AS query_rank FROM hits)

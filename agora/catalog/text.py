@@ -217,6 +217,24 @@ def remove_stopwords(spark, sf):
     return _documents(spark, sf).select("doc_id", F.array_join(kept, " ").alias("text"))
 
 
+_LISTED_SQL = f"SELECT DISTINCT unnest(list_transform({_TOKENS_SQL}, lambda w: lower(w))) AS word FROM benchmark"
+
+
+@query(
+    "remove_listed",
+    f"""WITH listed AS MATERIALIZED ({_LISTED_SQL}), l AS MATERIALIZED (SELECT list(word) AS words FROM listed),
+t AS (SELECT doc_id, unnest({_TOKENS_SQL}) AS w, generate_subscripts({_TOKENS_SQL}, 1) AS i FROM documents),
+k AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS text FROM t WHERE lower(w) NOT IN (SELECT word FROM listed) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(k.text, '') AS text FROM documents d LEFT JOIN k USING (doc_id)""",
+)
+def remove_listed(spark, sf):
+    """Words of a table of any length dropped from every document: here all words of the benchmark."""
+    benchmark = sample.read(spark, sf, "benchmark")
+    listed = benchmark.select(F.explode(X.tokenize(F.col("text"))).alias("w")).select(F.lower("w").alias("word"))
+    tokens = _documents(spark, sf).withColumn("tokens", X.tokenize(F.col("text")))
+    return X.remove_listed(tokens, "doc_id", "tokens", listed).select("doc_id", F.array_join("kept_tokens", " ").alias("text"))
+
+
 # --- sentiment and topics -----------------------------------------------------
 
 _POSITIVE, _NEGATIVE = ["the", "and", "le", "der", "el"], ["of", "to", "la", "die", "los", "de"]
@@ -237,6 +255,24 @@ def lexicon_sentiment(spark, sf):
     return out.withColumns({c: F.col(c).cast("long") for c in ("positive_hits", "negative_hits")})
 
 
+@query(
+    "weighted_lexicon",
+    f"""WITH lexicon AS (SELECT word, (length(word) * 7 % 11 - 5) / 2.0 AS weight FROM ({_LISTED_SQL})),
+t AS (SELECT doc_id, lower(unnest({_TOKENS_SQL})) AS word FROM documents),
+n AS (SELECT doc_id, word, count(*) AS n FROM t GROUP BY ALL),
+s AS (SELECT doc_id, CAST(sum(greatest(weight * n, 0)) AS DOUBLE) AS p, CAST(sum(greatest(-weight * n, 0)) AS DOUBLE) AS q FROM n JOIN lexicon USING (word) GROUP BY doc_id),
+f AS (SELECT doc_id, coalesce(p, 0) AS p, coalesce(q, 0) AS q FROM documents LEFT JOIN s USING (doc_id))
+SELECT doc_id, p AS positive_weight, q AS negative_weight,
+  CASE WHEN p > q THEN 'positive' WHEN q > p THEN 'negative' ELSE 'neutral' END AS sentiment_label,
+  CASE WHEN p + q = 0 THEN 0.0::DOUBLE ELSE round(greatest(p, q) / (p + q), 4) END AS sentiment_score FROM f""",
+)
+def weighted_lexicon(spark, sf):
+    """Sums of weights from a lexicon table: the words of the benchmark, weighted by their length."""
+    words = sample.read(spark, sf, "benchmark").select(F.explode(X.tokenize(F.col("text"))).alias("w")).select(F.lower("w").alias("word")).distinct()
+    lexicon = words.withColumn("weight", (F.length("word") * 7 % 11 - 5) / 2)
+    return sentiment.weighted_lexicon_sentiment(_documents(spark, sf), "doc_id", "text", lexicon).drop("text")
+
+
 def _length_model():
     """A stand-in model: class and probability by the length of the text; the last class has no label."""
 
@@ -324,20 +360,18 @@ def label_rules_(spark, sf):
 
 @query(
     "topic_default",
-    f"""WITH t AS (SELECT doc_id, lang, {_TOKENS_SQL} AS t FROM (
-  SELECT doc_id, lang, CASE WHEN lang = 'fr' THEN ' ' ELSE text END AS text FROM documents))
-SELECT doc_id, CASE WHEN len(t) = 0 THEN 'Tidak Terklasifikasi' ELSE lang END AS topic_label,
-  CASE WHEN len(t) = 0 THEN 'Umum' ELSE 'known' END AS topic_category, CASE WHEN len(t) = 0 THEN 0 ELSE 1 END AS n_keywords FROM t""",
+    """SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'Tidak Terklasifikasi' ELSE lang END AS topic_label,
+  CASE WHEN l.doc_id IS NULL THEN 'Umum' ELSE 'known' END AS topic_category, CASE WHEN l.doc_id IS NULL THEN 0 ELSE 1 END AS n_keywords
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
 )
 def topic_default(spark, sf):
-    """Texts without tokens are unclassified, the others keep their topic."""
-    docs = sample.read(spark, sf, "documents").withColumn("text", F.when(F.col("lang") == "fr", " ").otherwise(F.col("text")))
-    some = F.size(X.tokenize(F.col("text"))) > 0
-    named = docs.select(
+    """Documents nobody has labelled are unclassified, the others keep their topic."""
+    labels = sample.read(spark, sf, "labels").select("doc_id", F.lit(True).alias("some"))
+    named = sample.read(spark, sf, "documents").join(labels, "doc_id", "left").select(
         "doc_id",
-        F.when(some, F.col("lang")).alias("topic_label"),
-        F.when(some, F.lit("known")).alias("topic_category"),
-        F.when(some, F.array("lang")).alias("top_keywords"),
+        F.when(F.col("some"), F.col("lang")).alias("topic_label"),
+        F.when(F.col("some"), F.lit("known")).alias("topic_category"),
+        F.when(F.col("some"), F.array("lang")).alias("top_keywords"),
     )
     out = topics.with_topic_default(named)
     return out.select("doc_id", "topic_label", "topic_category", F.size("top_keywords").alias("n_keywords"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from typing import Any
 
@@ -43,6 +43,49 @@ FILTERS = {
 }
 
 
+def after(order: Sequence[tuple[str, bool]], last: Sequence[Any]) -> Column:
+    """Rows that follow the row with values ``last`` in ``order``: a page's filter, in place of an offset.
+
+    The order is that of ``query``: ascending with nulls last, descending with
+    nulls first. What holds for the first column alone is stated beside the
+    rest, so that it reaches the scan.
+    """
+    if len(last) != len(order) or not order:
+        raise ValueError("a cursor has one value for each ordered column")
+
+    def beyond(name: str, descending: bool, value: Any) -> Column:
+        column = F.col(name)
+        if value is None:
+            return column.isNotNull() if descending else F.lit(False)
+        return column < F.lit(value) if descending else (column > F.lit(value)) | column.isNull()
+
+    same, out = F.lit(True), F.lit(False)
+    for (name, descending), value in zip(order, last):
+        out = out | (same & beyond(name, descending, value))
+        same = same & F.col(name).eqNullSafe(F.lit(value))
+    (name, descending), value = order[0], last[0]
+    if value is None:
+        return out
+    first = F.col(name) <= F.lit(value) if descending else (F.col(name) >= F.lit(value)) | F.col(name).isNull()
+    return first & out
+
+
+def pages(df: DataFrame, order: Sequence[tuple[str, bool]], size: int) -> Iterator[list[Row]]:
+    """The rows of ``df`` in ``order``, ``size`` at a time; each page starts after the last row of the one before.
+
+    ``order`` must end on a unique column. A page is read like a first page,
+    however many came before it.
+    """
+    last = None
+    while True:
+        rows = query(df if last is None else df.where(after(order, last)), order=order, limit=size).collect()
+        if rows:
+            yield rows
+        if len(rows) < size:
+            return
+        last = [rows[-1][name] for name, _ in order]
+
+
 def query(
     df: DataFrame,
     select: Sequence[str | Column] | None = None,
@@ -57,10 +100,10 @@ def query(
     two on one column included. ``order`` holds (column, descending) pairs; nulls
     sort last ascending and first descending. End ``order`` on a unique column
     when paging. An offset needs a limit: alone it would send all other rows
-    through one task; filter by the last key of the page before instead.
+    through one task; filter by ``after`` the last row of the page before instead.
     """
     if offset is not None and limit is None:
-        raise ValueError("an offset needs a limit; to read on to the end, filter by the last key seen")
+        raise ValueError("an offset needs a limit; to read on to the end, filter by what comes after the last row")
     for column, op, value in where:
         if op not in FILTERS:
             raise ValueError(f"unknown filter {op!r}")

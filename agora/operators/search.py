@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from importlib.util import find_spec
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,10 +43,60 @@ def search_channels(searches: DataFrame) -> DataFrame:
     ).distinct()
 
 
+# Searches of a channel that are tested one by one; more go to an automaton, whose cost does not grow with their number.
+ONE_BY_ONE = 64
+# Characters of all searches that may be sent to every task.
+SENT_CHARACTERS = 4_000_000
+
+
+def _automaton_hits(queries: dict[str, list[str]]):
+    """Column function (channel, text) -> the channel's searches that the text holds; one pass over the text."""
+
+    @F.arrow_udf("array<string>")
+    def found(channels: pa.Array, texts: pa.Array) -> pa.Array:
+        import ahocorasick
+
+        out = []
+        for channel, text in zip(channels.to_pylist(), texts.to_pylist(), strict=True):
+            if channel not in _BUILT:
+                automaton = ahocorasick.Automaton()
+                for query in queries[channel]:
+                    automaton.add_word(query, query)
+                automaton.make_automaton()
+                _BUILT[channel] = automaton
+            out.append(sorted({query for _, query in _BUILT[channel].iter(text)}) if text is not None else [])
+        return pa.array(out, pa.list_(pa.string()))
+
+    _BUILT: dict = {}
+    return found
+
+
 def keyword_search(posts: DataFrame, searches: DataFrame) -> DataFrame:
-    """Posts of a search's channels whose text holds its query, once per matching query."""
+    """Posts of a search's channels whose text holds its query, once per matching query.
+
+    A channel's queries are one array beside its posts, so no row per post and
+    search exists before the match. Channels with more than ``ONE_BY_ONE``
+    queries are matched by one Aho-Corasick automaton each, as long as those
+    queries have ``SENT_CHARACTERS`` together and the library is there.
+    """
     wanted = search_channels(searches)
-    return posts.join(wanted, "channel").where(F.contains(F.col("text_content"), F.col("query")))
+    listed = wanted.groupBy("channel").agg(F.sort_array(F.collect_list("query")).alias("_queries"))
+    crowded = listed.where(F.size("_queries") > ONE_BY_ONE)
+    length = crowded.agg(F.sum(F.aggregate("_queries", F.lit(0), lambda n, q: n + F.length(q)))).first()[0] or 0
+    large = {}
+    if 0 < length <= SENT_CHARACTERS and find_spec("ahocorasick"):
+        large = {r.channel: r["_queries"] for r in crowded.collect()}
+    rest = listed if not large else listed.where(~F.col("channel").isin(sorted(large)))
+    tested = posts.join(rest, "channel")
+    hits = F.filter("_queries", lambda q: F.contains(F.col("text_content"), q))
+    out = tested.withColumn("query", F.explode(hits)).drop("_queries")
+    if large:
+        here = posts.where(F.col("channel").isin(sorted(large)))
+        found = here.withColumn("_hits", _automaton_hits(large)("channel", "text_content"))
+        # Not ``explode``: the filter Spark derives from it would match every text a second time.
+        found = found.withColumn("query", F.explode_outer("_hits")).where(F.col("query").isNotNull()).drop("_hits")
+        out = out.unionByName(found)
+    return out
 
 
 def topk_per_query(

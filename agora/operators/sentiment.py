@@ -101,3 +101,33 @@ def lexicon_sentiment(df: DataFrame, text_col: str, positive: Sequence[str], neg
     label = F.when(pos > neg, "positive").when(neg > pos, "negative").otherwise("neutral")
     share = F.when(pos + neg == 0, F.lit(0.0)).otherwise(F.greatest(pos, neg) / (pos + neg))
     return scored.withColumn("sentiment_label", label).withColumn("sentiment_score", F.round(share, 4)).drop("_tokens")
+
+
+def weighted_lexicon_sentiment(df: DataFrame, key: str, text_col: str, lexicon: DataFrame) -> DataFrame:
+    """Label by the sums of positive and of negative weights; confidence is the larger sum's share.
+
+    ``lexicon`` (word in lower case, weight) is a table of any size; repeated words add up. Each
+    distinct word of a text meets it once, with the number of times it occurs;
+    ``key`` must be unique in ``df``. Sums are decimals, so their order does not matter.
+    """
+    known = lexicon.groupBy(F.col("word").alias("_word")).agg(F.sum(F.col("weight").cast("decimal(18,6)")).alias("_weight"))
+    tokens = F.sort_array(F.transform(tokenize(F.coalesce(F.col(text_col), F.lit(""))), F.lower))
+    # Sorted, copies of a word are neighbours: a word's count is the distance between its first place and the next word's.
+    starts = F.filter(F.transform("_tokens", lambda w, i: F.when((i == 0) | (w != F.get("_tokens", i - 1)), i)), lambda i: i.isNotNull())
+    each = df.select(key, tokens.alias("_tokens")).withColumn("_starts", starts)
+    counted = F.transform("_starts", lambda s, k: F.struct(
+        F.get("_tokens", s).alias("_word"), (F.coalesce(F.get("_starts", k + 1), F.size("_tokens")) - s).alias("_times")))
+    words = each.select(key, F.inline(counted))
+    met = words.join(known, "_word").withColumn("_part", F.col("_weight") * F.col("_times"))
+    zero = F.lit(0).cast("decimal(28,6)")
+    sums = met.groupBy(key).agg(
+        F.sum(F.when(F.col("_part") > 0, F.col("_part")).otherwise(zero)).alias("positive_weight"),
+        F.sum(F.when(F.col("_part") < 0, -F.col("_part")).otherwise(zero)).alias("negative_weight"),
+    )
+    out = df.join(sums, key, "left")
+    pos, neg = (F.coalesce(F.col(c), zero).cast("double") for c in ("positive_weight", "negative_weight"))
+    label = F.when(pos > neg, "positive").when(neg > pos, "negative").otherwise("neutral")
+    share = F.when(pos + neg == 0, F.lit(0.0)).otherwise(F.greatest(pos, neg) / (pos + neg))
+    return out.withColumns({
+        "positive_weight": pos, "negative_weight": neg, "sentiment_label": label, "sentiment_score": F.round(share, 4),
+    })

@@ -42,6 +42,8 @@ TABLES = {
     "documents": columns(doc_id=_LONG, text=STRING, lang=STRING, source=STRING, n_chars=_LONG),
     "labels": columns(doc_id=_LONG, quality=INT, toxic=INT),
     "pages": columns(page_id=_LONG, url=STRING, html=STRING),
+    "benchmark": columns(item_id=_LONG, text=STRING),
+    "supplier": columns(s_suppkey=_LONG, s_name=STRING, s_nationkey=INT, s_acctbal=_DOUBLE),
     "conversations": columns(conv_id=_LONG, turn=_LONG, role=STRING, text=STRING),
 }
 

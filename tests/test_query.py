@@ -123,3 +123,55 @@ def test_small_and_empty_tables(spark):
     assert small_table(spark, schemas.SEARCH, []).count() == 0
     empty = empty_table(spark, schemas.STAGED)
     assert empty.count() == 0 and empty.columns == schemas.STAGED.fieldNames()
+
+
+ORDERS = [[("a", False), ("b", True), ("c", False)], [("a", True), ("b", False), ("c", True)], [("c", True)]]
+
+
+@pytest.mark.parametrize("order", ORDERS)
+@pytest.mark.parametrize("size", [1, 4, 7, 100])
+def test_pages_joined_are_the_whole_order(spark, order, size):
+    """Nulls and ties in every column but the last, directions mixed."""
+    values = [None, None, 1, 2, 2]
+    rows = [(a, b, i * 25 + k * 5 + m) for i, a in enumerate(values) for k, b in enumerate(values) for m in range(2)]
+    df = spark.createDataFrame(rows[::-1], "a int, b int, c int").persist()
+    whole = Q.query(df, order=order).collect()
+    if size == 1:
+        df = df.where("c < 12")
+        whole = Q.query(df, order=order).collect()
+    found = list(Q.pages(df, order, size))
+    assert [r for page in found for r in page] == whole
+    assert all(len(page) == size for page in found[:-1])
+
+
+def test_a_cursor_reaches_the_scan(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    page = orders.where(Q.after([("o_totalprice", True), ("o_orderkey", False)], [1000.5, 7]))
+    assert "LessThanOrEqual(o_totalprice,1000.5)" in page._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        Q.after([("o_totalprice", True)], [1, 2])
+
+
+def posts_and_searches(spark):
+    texts = ["he she hers", "shell", "", None, "ushers " * 30, "café", "nothing"]
+    posts = spark.createDataFrame(
+        [(i, c, t) for i, t in enumerate(texts) for c in ("X_global", "r/economy", "r/none")], "id int, channel string, text_content string"
+    )
+    words = ["he", "she", "his", "hers", "é", "not in any", *[f"w{i}" for i in range(10_000)]]
+    return posts, small_table(spark, schemas.SEARCH, [*[(w, None) for w in words], ("he", "economy"), ("hers", "economy")])
+
+
+@pytest.mark.parametrize("library", [True, False])
+def test_many_searches_of_a_channel(spark, monkeypatch, library):
+    """Ten thousand searches of one channel: no row per post and search before the match."""
+    posts, searches = posts_and_searches(spark)
+    if not library:
+        monkeypatch.setattr(search, "find_spec", lambda name: None)
+    found = search.keyword_search(posts, searches)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ("ArrowEvalPython" in plan) == library and plan.count("ArrowEvalPython") <= 1
+    wanted = [("X_global", w) for w in ["he", "she", "his", "hers", "é"]] + [("r/economy", "he"), ("r/economy", "hers")]
+    expected = sorted((r.id, c, q) for r in posts.collect() for c, q in wanted if r.channel == c and q in (r.text_content or ""))
+    assert sorted((r.id, r.channel, r["query"]) for r in found.collect()) == expected
+    # Rows that meet the searches: one per post of a searched channel.
+    assert posts.join(search.search_channels(searches).select("channel").distinct(), "channel").count() == 14

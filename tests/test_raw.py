@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from agora import schemas
 from agora.operators import dims as D
 from agora.operators import load, raw
-from agora.operators.keys import surrogate_keys
+from agora.operators.keys import in_ranges, surrogate_keys
 
 RAW = "id string, posted_at timestamp, text_content string, like_count int, is_processed boolean"
 
@@ -104,12 +104,20 @@ def test_time_window_is_half_open(spark):
     assert rows(raw.time_window_filter(df, "2024-01-01", "2025-01-01"), "id") == [("b",), ("c",)]
 
 
-@pytest.mark.parametrize("digits", [1, 3])
-def test_surrogate_keys_are_dense_and_repeatable(spark, digits):
-    df = spark.range(5000).select(F.col("id").cast("string").alias("k")).repartition(8)
-    one = rows(surrogate_keys(df, ["k"], "n", start=11, digits=digits), "k", "n")
-    two = rows(surrogate_keys(df.repartition(3), ["k"], "n", start=11, digits=digits), "k", "n")
-    assert one == two and sorted(n for _, n in one) == list(range(11, 5011))
+@pytest.mark.parametrize("rows_per_range", [100, 1_000_000])
+def test_surrogate_keys_are_dense_and_repeatable(spark, rows_per_range):
+    df = spark.range(5000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("i"))
+    one = rows(surrogate_keys(df.repartition(8), ["k", "i"], "n", start=11, rows_per_range=rows_per_range), "k", "i", "n")
+    two = rows(surrogate_keys(df.repartition(3), ["k", "i"], "n", start=11, rows_per_range=rows_per_range), "k", "i", "n")
+    assert one == two and sorted(n for *_, n in one) == list(range(11, 5011))
+    assert [r[:2] for r in sorted(one, key=lambda r: r[2])] == sorted(r[:2] for r in one)
+
+
+def test_ranges_of_skewed_keys_are_even(spark):
+    """A third of the rows share the first key column; no range holds more than twice the mean."""
+    df = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("i"))
+    sizes = [r["count"] for r in in_ranges(df.repartition(8), ["k", "i"], 4000).groupBy("_range").count().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 2 * 4000
 
 
 def test_dim_topic_grows_without_renumbering(spark):

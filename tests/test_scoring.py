@@ -80,3 +80,20 @@ def test_topics_separate_two_vocabularies(spark):
     assert named["unseen"] == (first.topic_label, first.topic_category)
     numbers = {r.t: r.topic_no for r in topics.assign_topic(df, "t", model).select("t", "topic_no").distinct().collect()}
     assert {numbers["bbm listrik gas minyak"], numbers["gaji upah buruh kerja"]} == {0, 1}
+
+
+def test_weighted_lexicon_against_brute_force(spark):
+    lexicon = [("bagus", 2.5), ("buruk", -1.25), ("sekali", 0.5), ("sekali", 0.25), ("netral", 0.0)]
+    texts = ["Bagus BAGUS buruk", "buruk buruk buruk sekali", "", None, "apa saja netral", "bagus " * 5000 + "buruk"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    weights = {}
+    for word, weight in lexicon:
+        weights[word] = weights.get(word, 0) + weight
+    got = {r.id: r for r in sentiment.weighted_lexicon_sentiment(df, "id", "t", spark.createDataFrame(lexicon, "word string, weight double")).collect()}
+    for i, text in enumerate(texts):
+        found = [weights.get(w, 0) for w in (text or "").lower().split()]
+        pos, neg = sum(w for w in found if w > 0), -sum(w for w in found if w < 0)
+        assert (got[i].positive_weight, got[i].negative_weight) == (pos, neg)
+        assert got[i].sentiment_label == ("positive" if pos > neg else "negative" if neg > pos else "neutral")
+        assert got[i].sentiment_score == (round(max(pos, neg) / (pos + neg), 4) if pos + neg else 0.0)
+    assert got[0].t == "Bagus BAGUS buruk"
