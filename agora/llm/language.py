@@ -157,17 +157,26 @@ def _sample(batches):
         ], names=["place", "lang", "bytes"])
 
 
+# How many times the wanted number of ids is ranked.
+SPARE = 4
+
+
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Network:
     """A network from a bounded sample of rows with a language that are not held out.
 
-    Spark ranks ids first, keeping ``per_language`` of each language in every
-    map task, so texts of the chosen rows only are shuffled to the training.
+    Ids are ranked by a hash, so texts of the chosen rows only are shuffled to
+    the training. Of a language with many ids only those take part in the rank whose hash is below
+    ``SPARE`` times the share wanted: a few thousand rows a language meet, not
+    a number that grows with the table. (That fewer than ``per_language`` are below it is as good as impossible.)
     Of several texts of an id in a language the least is taken.
     """
     usable = F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull() & ~held_out(key)
     rows = docs.where(usable).select(F.col(key).alias("_id"), F.col(lang).alias("lang")).distinct()
     place = F.xxhash64(F.col("_id").cast("string"), F.lit("language"))
-    ranked = rows.withColumn("place", place)
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    # The hash as a number from 0 to 1.
+    share = (F.col("place").cast("double") + 2.0**63) / 2.0**64
+    ranked = rows.withColumn("place", place).join(sizes, "lang").where(share * F.col("_n") <= SPARE * per_language).drop("_n")
     ranked = ranked.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy("place", "_id")))
     chosen = ranked.where(F.col("_rank") <= per_language).select("_id", "lang", "place")
     # Stored first, so that Spark knows its size and need not shuffle the texts to a short list.

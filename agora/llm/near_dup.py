@@ -6,21 +6,24 @@ as 64-bit hashes. ``HASHES`` universal hash functions give it as many minima:
 signature. Sets that share a bucket and whose signatures agree are compared in
 full: they are linked if 100 * intersection >= 75 * union.
 
-No bucket's pairs are all listed. Equal sets are first reduced to one. Then:
+No bucket's pairs are all listed. Texts of the same words in the same order (by
+SHA-256) are first reduced to one. Then:
 
 1. every member of a bucket meets the bucket's least id: one pair per member;
 2. links found give components. Buckets with the same least id form a group; a
    group whose members are all in one component has no more to tell. That ends
    most groups of near copies, whatever their size;
-3. the other groups meet in blocks of ``BLOCK`` ids with their full sets, so
-   large groups are spread over tasks. Members whose signatures agree with one
-   of another component are compared in full, all intersections of a block in
+3. the other groups meet in blocks of ``BLOCK`` ids, so large groups are spread
+   over tasks: first with signatures only, a bit and then a byte of each minimum. Only members
+   that agree with one of another component get their full sets and meet
+   again; they are compared in full, all intersections of a block in
    one matrix product, and a task returns each member with the least id its
    links lead to: one row per member.
 
 So components are those of all linked pairs that share a bucket. A pair at
 similarity 0.75 misses all buckets with a chance of 5 in a million (0.8: 5 in
-100 million) and its signature falls below ``AGREE`` with one in 10 million.
+100 million) and its signature falls below ``AGREE`` with one in 10 million, its
+bytes below ``AGREE_BYTES`` with one in 300 million.
 
 Texts without words are linked with nothing. A null id is linked with nothing
 and stays. Rows with the same id are one node that has all their texts.
@@ -28,6 +31,8 @@ and stays. Rows with the same id are one node that has all their texts.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,13 +41,15 @@ from pyspark.sql.types import BooleanType
 
 from agora.llm import words
 from agora.llm.components import components
-from agora.llm.shared import few, portions, stored, utf8
+from agora.llm.shared import few, grouped, portions, stored, utf8
 
 SHINGLE = 5
 PERCENT = 75
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 AGREE = 92
+# Bytes of the minima that agree, at least, before two texts of an open group are compared in full.
+AGREE_BYTES = 66
 BLOCK = 1024
 U = np.uint64
 
@@ -54,7 +61,7 @@ _TERMS = _random.integers(0, 1 << 63, HASHES, np.uint64) * U(2)
 def shingles(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of all texts, repeats included, and where each text's begin (length + 1 numbers)."""
     starts, stops = words.spans(~words.SPACE[raw], ends)
-    h = words.hashes(words.LOWER[raw], starts, stops)
+    h = words.block_hashes(words.LOWER[raw], starts, stops)
     first = words.counts_by_text(starts, ends)
     n = np.diff(first)
     grams = words.ngrams(h, SHINGLE)
@@ -80,7 +87,7 @@ def minima(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out.T
 
 
-SIGNED = "doc long, n_shingles long, set_a long, set_b long, bands array<long>, bits_a long, bits_b long"
+SIGNED = "doc long, n_shingles long, digest binary, bands array<long>, bits_a long, bits_b long, low binary"
 
 
 def _sign(batches):
@@ -89,13 +96,11 @@ def _sign(batches):
         raw, ends = utf8(batch.column("text"))
         for a, b in portions(ends, words.PORTION):
             h, at = shingles(raw[ends[a] : ends[b]], ends[a : b + 1] - ends[a])
-            n, prints = np.zeros(b - a, np.int64), np.zeros((2, b - a), np.uint64)
-            for k in range(b - a):
-                distinct = np.unique(h[at[k] : at[k + 1]])
-                n[k] = len(distinct)
-                prints[0, k], prints[1, k] = distinct.sum(dtype=np.uint64), words.mix(distinct ^ U(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
+            n = np.array([len(np.unique(h[at[k] : at[k + 1]])) for k in range(b - a)], np.int64)
+            digests = [hashlib.sha256(t).digest() for t in words.normal_texts(raw[ends[a] : ends[b]], ends[a : b + 1] - ends[a])]
             full = np.flatnonzero(n)
             bands, bits = np.zeros((b - a, BANDS), np.uint64), np.zeros((b - a, 2), np.uint64)
+            low = np.zeros((b - a, HASHES), np.uint8)
             if len(full):
                 least = minima(h, np.concatenate([at[full], at[-1:]]))
                 key = np.arange(BANDS, dtype=np.uint64)[None] + U(1)
@@ -103,13 +108,15 @@ def _sign(batches):
                     key = words.mix(key * U(0x9E3779B97F4A7C15) + least[:, r::ROWS])
                 bands[full] = key
                 bit = words.mix(least) & U(1)
+                low[full] = words.mix(least) >> U(56)
                 bits[full] = np.stack([(bit[:, :64] * weights).sum(1, dtype=np.uint64), (bit[:, 64:] * weights).sum(1, dtype=np.uint64)], 1)
             flat = pa.array(bands.reshape(-1).view(np.int64))
             places = pa.array(np.arange(0, (b - a) * BANDS + 1, BANDS, dtype=np.int32))
             yield pa.record_batch([
-                batch.column("doc").slice(a, b - a), pa.array(n), pa.array(prints[0].view(np.int64)), pa.array(prints[1].view(np.int64)),
+                batch.column("doc").slice(a, b - a), pa.array(n), pa.array(digests, pa.binary()),
                 pa.ListArray.from_arrays(places, flat), pa.array(bits[:, 0].copy().view(np.int64)), pa.array(bits[:, 1].copy().view(np.int64)),
-            ], names=["doc", "n_shingles", "set_a", "set_b", "bands", "bits_a", "bits_b"])
+                pa.array([row.tobytes() for row in low], pa.binary()),
+            ], names=["doc", "n_shingles", "digest", "bands", "bits_a", "bits_b", "low"])
 
 
 def _sets(batches):
@@ -149,6 +156,30 @@ def confirm(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 _NAMES = ["least", "lo", "hi", "doc", "component", "bits_a", "bits_b"]
 
 
+def _pairs(g: np.ndarray) -> np.ndarray:
+    """Which members of a block (rows of ``_NAMES``) have signatures that agree and are of different components, as a matrix."""
+    bits = np.ascontiguousarray(g[:, 5:]).view(np.uint64)
+    apart = np.zeros((len(g), len(g)), np.uint8)
+    for half in bits.T:
+        apart += np.bitwise_count(half[:, None] ^ half[None])
+    return (apart <= HASHES - AGREE) & (g[:, None, 4] != g[None, :, 4])
+
+
+def _agreeing(batches):
+    """The rows of each (group, block, block) that are worth comparing in full: signatures agree, and then bytes of the minima."""
+    for rows in grouped(batches, ["least", "lo", "hi"]):
+        g = np.stack([rows[c].to_numpy().astype(np.int64) for c in _NAMES], 1)
+        a, b = np.nonzero(np.triu(_pairs(g)))
+        low = np.frombuffer(b"".join(rows["low"].to_pylist()), np.uint8).reshape(len(g), HASHES)
+        some = np.zeros(len(g), bool)
+        for k in range(0, len(a), 1 << 16):
+            x, y = a[k : k + (1 << 16)], b[k : k + (1 << 16)]
+            alike = (low[x] == low[y]).sum(1) >= AGREE_BYTES
+            some[x[alike]] = some[y[alike]] = True
+        if some.any():
+            yield from rows.drop_columns("low").filter(pa.array(some)).combine_chunks().to_batches()
+
+
 def _meet(batches):
     """Connected members of each (group, block, block): rows of one key follow one another."""
     rows, sets = np.zeros((0, len(_NAMES)), np.int64), []
@@ -166,11 +197,7 @@ def _connected(rows: np.ndarray, sets: list[np.ndarray], at: list[int]):
     a, b = [], []
     for first, last in zip(at[:-1], at[1:]):
         g, members = rows[first:last], sets[first:last]
-        bits = np.ascontiguousarray(g[:, 5:]).view(np.uint64)
-        apart = np.zeros((len(g), len(g)), np.uint8)
-        for half in bits.T:
-            apart += np.bitwise_count(half[:, None] ^ half[None])
-        some = np.flatnonzero(((apart <= HASHES - AGREE) & (g[:, None, 4] != g[None, :, 4])).any(1))
+        some = np.flatnonzero(_pairs(g).any(1))
         if not len(some):
             continue
         both, size = intersections([members[k] for k in some]), np.array([len(members[k]) for k in some])
@@ -208,17 +235,17 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sign(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc, n_shingles, two fingerprints of the set, its buckets and its signature (stored)."""
+    """Per row: doc, n_shingles, a digest of its words, the buckets and the signature of its set (stored)."""
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     return stored(rows.mapInArrow(_sign, SIGNED), "signed")
 
 
 def links(texts: DataFrame, signed: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) joined by confirmed links, enough for all components; of equal sets only the least id takes part."""
+    """Pairs (a, b) joined by confirmed links, enough for all components; of equal texts only the least id takes part."""
     usable = signed.where(F.col("n_shingles") > 0).where(F.col("doc").isNotNull())
-    one = usable.groupBy("set_a", "set_b").agg(F.min("doc").alias("doc"))
+    one = usable.groupBy("digest").agg(F.min("doc").alias("doc"))
     single = usable.select("doc", "bands").join(one.select("doc").distinct(), "doc", "left_semi")
-    signatures = usable.select("doc", "bits_a", "bits_b")
+    signatures = usable.select("doc", "bits_a", "bits_b", "low")
     in_buckets = single.select("doc", F.explode("bands").alias("bucket"))
     buckets = in_buckets.groupBy("bucket").agg(F.min("doc").alias("least"), F.max("doc").alias("_most")).where("least < _most")
     met = in_buckets.join(buckets.select("bucket", "least"), "bucket").where("doc != least")
@@ -240,6 +267,9 @@ def links(texts: DataFrame, signed: DataFrame, block: int = BLOCK) -> DataFrame:
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.withColumn("lo", F.least("block", "_other")).withColumn("hi", F.greatest("block", "_other"))
+    rows = rows.select(*_NAMES, "low").repartition("least", "lo", "hi").sortWithinPartitions("least", "lo", "hi")
+    schema = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes if name != "low")
+    rows = stored(rows.mapInArrow(_agreeing, schema), "agreeing")
     rows = rows.join(members_of(texts, rows.select("doc")), "doc").select(*_NAMES, "members")
     rows = rows.repartition("least", "lo", "hi").sortWithinPartitions("least", "lo", "hi")
     return starry.union(stored(rows.mapInArrow(_meet, "a long, b long"), "connected"))
@@ -250,8 +280,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     signed = sign(docs, key, text)
     texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     usable = signed.where(F.col("n_shingles") > 0).where(F.col("doc").isNotNull())
-    equal = usable.groupBy("set_a", "set_b").agg(F.min("doc").alias("a"), F.max("doc").alias("_most")).where("a < _most")
-    copies = usable.join(equal.select("set_a", "set_b", "a"), ["set_a", "set_b"]).where("doc != a").select("a", F.col("doc").alias("b"))
+    equal = usable.groupBy("digest").agg(F.min("doc").alias("a"), F.max("doc").alias("_most")).where("a < _most")
+    copies = usable.join(equal.select("digest", "a"), "digest").where("doc != a").select("a", F.col("doc").alias("b"))
     found = components(copies.union(links(texts, signed)))
     out = signed.join(found.select(F.col("node").alias("doc"), "component"), "doc", "left")
     component = F.coalesce("component", "doc")

@@ -67,6 +67,44 @@ def hashes(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray
     return mix(plain + (stops - starts).astype(np.uint64) * U(0xD6E8FEB86659FD93))
 
 
+def block_hashes(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span of ``raw``, from its blocks of eight bytes.
+
+    Each block is mixed with its place before blocks are summed, so there is no
+    polynomial whose periods could cancel; slower than ``hashes`` for long spans only.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    sizes = stops - starts
+    n = (sizes + 7) >> 3
+    first = np.cumsum(n) - n
+    number = np.arange(int(n.sum())) - np.repeat(first, n)
+    left = np.repeat(sizes, n) - 8 * number
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    # Eight bytes from any place on, as one number.
+    windows = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))
+    blocks = windows[np.repeat(starts, n) + 8 * number]
+    short = left < 8
+    blocks[short] &= (U(1) << (left[short].astype(np.uint64) * U(8))) - U(1)
+    keys = mix((number.astype(np.uint64) + U(1)) * U(0x9E3779B97F4A7C15))
+    mixed = mix(mix(blocks + keys) ^ keys)
+    return mix(np.add.reduceat(mixed, first) + sizes.astype(np.uint64) * U(0xD6E8FEB86659FD93))
+
+
+def normal_texts(raw: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """The words of each text, ASCII letters lower-cased, with one blank between words."""
+    inside = ~SPACE[raw]
+    kept = inside.copy()
+    if len(raw):
+        # The first white space after a word becomes its blank.
+        kept[1:] |= inside[:-1]
+        begins = ends[1:-1][ends[1:-1] < len(raw)]
+        kept[begins] = inside[begins]
+    letters = np.where(inside, LOWER[raw], np.uint8(32))[kept].tobytes()
+    at = np.concatenate([[0], np.cumsum(kept)])[ends].tolist()
+    return [letters[a:b].rstrip(b" ") for a, b in zip(at[:-1], at[1:])]
+
+
 def counts_by_text(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Where each text's spans begin in ``starts`` (length + 1 numbers)."""
     return np.searchsorted(starts, ends, side="left")

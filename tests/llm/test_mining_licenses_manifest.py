@@ -318,3 +318,107 @@ def test_pipeline_dedup_keeps_clashing_names_maps_and_dots(spark):
     assert out.columns == docs.columns
     assert sorted(r["_row"] for r in out.collect()) == [10, 20, 40]
     assert all(r["m"] == {"k": r["_row"]} and r["a.b"] == r["_row"] and r["doc"] == "x" for r in out.collect())
+
+
+# Near-duplicates: word hashes, digests, open groups
+
+
+def utf8_of(texts):
+    import pyarrow as pa
+
+    from agora.llm.shared import utf8
+
+    return utf8(pa.array(texts, pa.string()))
+
+
+def test_block_hashes_depend_on_the_word_alone():
+    from agora.llm import words
+
+    draw = random.Random(8)
+    some = sorted({"".join(draw.choices("abé", k=draw.randrange(1, 40))) for _ in range(3000)})
+    raw, ends = utf8_of([" ".join(some), " " + "  ".join(some[::-1])])
+    starts, stops = words.spans(~words.SPACE[raw], ends)
+    h = words.block_hashes(raw, starts, stops)
+    assert len(set(h.tolist())) == len(some) and (h[: len(some)] == h[len(some) :][::-1]).all()
+    assert len(words.block_hashes(raw[:0], starts[:0], stops[:0])) == 0
+
+
+def test_words_that_fool_polynomials_stay_apart(spark):
+    """Thue-Morse words of 1,024 letters have equal values under every polynomial modulo 2**64."""
+    from agora.llm import near_dup
+
+    prepare(spark)
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    df = spark.createDataFrame([(1, word), (2, other), (3, word.upper()), (4, f" {word}\n")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.component_id) for r in near_dup.near_duplicates(df).collect()) == [(1, 1), (2, 2), (3, 1), (4, 1)]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text("aB \t\n\x0b.é", max_size=12), max_size=6))
+def test_normal_texts(texts):
+    import re
+
+    from agora.llm import words
+
+    raw, ends = utf8_of(texts)
+    want = [" ".join(re.findall(r"[^\x20\x09-\x0D]+", ascii_lowered(t))).encode() for t in texts]
+    assert words.normal_texts(raw, ends) == want
+
+
+def test_same_set_in_another_order_is_one_component(spark):
+    from agora.llm import near_dup
+
+    prepare(spark)
+    ring = "a b c d e f g h i j".split()
+    once = " ".join(ring + ring[:4])
+    turned = " ".join(ring[5:] + ring[:5] + ring[5:9])
+    df = spark.createDataFrame([(1, once), (2, turned), (3, "x y z"), (4, "x y z w v u")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_dup.near_duplicates(df).collect()) == [
+        (1, 10, 1), (2, 10, 1), (3, 1, 3), (4, 2, 4)]
+
+
+def test_open_groups_fetch_sets_of_agreeing_members_only(spark, monkeypatch):
+    """Many texts share buckets through one passage but agree with none other: their sets are not moved for the blocks."""
+    from agora.llm import near_dup
+
+    prepare(spark)
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choices("abcdefgh", k=6))
+    passage = [word() for _ in range(60)]
+    texts = [(i, " ".join(passage + [word() for _ in range(60)])) for i in range(150)]
+    twin = texts[100][1].split()
+    texts.append((500, " ".join(twin[:-1] + [word()])))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    asked = []
+    real = near_dup.members_of
+
+    def counted(rows, ids):
+        asked.append(sorted({r.doc for r in ids.collect()}))
+        return real(rows, ids)
+
+    monkeypatch.setattr(near_dup, "members_of", counted)
+    out = near_dup.near_duplicates(df)
+    assert {r.doc_id: r.component_id for r in out.collect()} == {**{i: i for i, _ in texts}, 500: 100}
+    # The twins are linked in the first pass; hardly any of the 150 others agrees with another one.
+    assert len(asked[-1]) < 20
+
+
+def test_language_training_does_not_grow_with_a_language(spark):
+    """Of a language with very many ids only a bounded number is ranked; the sample is the same as ranking all."""
+    from agora.llm import language
+
+    prepare(spark)
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("en").alias("lang"))
+    seen = []
+    real = language.train
+    try:
+        language.train = lambda windows, labels, names: seen.append(windows.copy()) or real(windows, labels, names, passes=1)
+        language.fit(docs, per_language=50)
+        language.SPARE, spare = 10**9, language.SPARE
+        language.fit(docs, per_language=50)
+    finally:
+        language.train, language.SPARE = real, spare
+    assert (seen[0] == seen[1]).all() and len(seen[0]) >= 50
