@@ -217,19 +217,20 @@ def parse(page: str) -> tuple[list[tuple[str, bool, str, list[int]]], int]:
     return out, _digest("\x1f".join(content))
 
 
-PARSED = "row long, host long, page long, blocks array<struct<text string, rank int, digests array<long>>>"
+PARSED = "row long, host long, page long, blocks array<struct<text string, rank int, outside boolean, digests array<long>>>"
 
 
 def _parse_batches(carried: list[str]):
     def run(batches):
         task, number = TaskContext.get().partitionId(), 0
-        kind = pa.list_(pa.struct([("text", pa.string()), ("rank", pa.int32()), ("digests", pa.list_(pa.int64()))]))
+        kind = pa.list_(pa.struct([("text", pa.string()), ("rank", pa.int32()), ("outside", pa.bool_()), ("digests", pa.list_(pa.int64()))]))
         for batch in batches:
             rows, pages, kept = [], [], []
             for page in batch.column("_html"):
                 blocks, content = parse(page.as_py() or "")
-                # What the markup rules out needs no counting.
-                kept.append([{"text": text, "rank": ZONES.index(zone), "digests": digests} for text, outside, zone, digests in blocks if not outside])
+                kept.append([
+                    {"text": text, "rank": ZONES.index(zone), "outside": outside, "digests": digests} for text, outside, zone, digests in blocks
+                ])
                 rows.append((task << 36) + number)
                 number += 1
                 pages.append(content)
@@ -248,24 +249,32 @@ def templates(parsed: DataFrame, many: int = MANY_PAGES, share: float = MANY_SHA
     return often.join(few(hosts, "hosts"), "host").where(F.col("count") >= share * F.col("pages")).select("host", "digest")
 
 
-def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", many: int = MANY_PAGES) -> DataFrame:
-    """Per page: key, url, text (blocks in page order, one newline between), n_chars (code points)."""
+def parse_pages(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
+    """Per page: key and url, row, host, page (digest of its content) and all its blocks, stored."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select(F.col(key).alias("_key"), F.col(url).alias("_url"), F.xxhash64(host).alias("_host"), F.col(page).alias("_html"))
     kinds = dict(rows.dtypes)
     schema = f"_key {kinds['_key']}, _url {kinds['_url']}, {PARSED}"
-    parsed = stored(rows.mapInArrow(_parse_batches(["_key", "_url"]), schema), "pages")
+    return stored(rows.mapInArrow(_parse_batches(["_key", "_url"]), schema), "pages")
 
+
+def recurring(parsed: DataFrame, many: int = MANY_PAGES) -> DataFrame:
+    """row and the places of the blocks that stand in a template of the page's host, stored."""
     blocks = parsed.select("row", "host", F.posexplode("blocks.digests").alias("place", "digests"))
     inside = blocks.select("row", "place", "host", F.explode("digests").alias("digest"))
     gone = inside.join(few(templates(parsed, many), "templates"), ["host", "digest"])
-    gone = gone.groupBy("row").agg(F.collect_set("place").alias("gone"))
-    # Stored first: pages are shuffled to it only where it is too large to be sent to them.
-    gone = stored(gone, "gone-blocks")
+    # Stored: pages are shuffled to it only where it is too large to be sent to them.
+    return stored(gone.groupBy("row").agg(F.collect_set("place").alias("gone")), "gone-blocks")
+
 
-    joined = parsed.select("row", "_key", "_url", "blocks").join(gone, "row", "left")
+def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", many: int = MANY_PAGES) -> DataFrame:
+    """Per page: key, url, text (blocks in page order, one newline between), n_chars (code points)."""
+    parsed = parse_pages(pages, key, url, page)
+    joined = parsed.select("row", "_key", "_url", "blocks").join(recurring(parsed, many), "row", "left")
     places = F.transform("blocks", lambda b, i: i)
+    # What recurs on the host goes first; then, of the rest, what the markup rules out.
     left = F.array_except(places, F.coalesce(F.col("gone"), F.slice(places, 1, 0)))
+    left = F.filter(left, lambda i: ~F.col("blocks")[i]["outside"])
     zones = []
     for rank in map(F.lit, range(len(ZONES))):
         mine = F.filter(left, lambda i: F.col("blocks")[i]["rank"] == rank)  # noqa: B023 (called at once)
@@ -273,3 +282,14 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
     text = F.coalesce(*zones, F.lit(""))
     out = joined.select(F.col("_key").alias(key), F.col("_url").alias(url), text.alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def removed(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", many: int = MANY_PAGES) -> DataFrame:
+    """One row: blocks, those that went by count, and those of the rest that went by markup."""
+    parsed = parse_pages(pages, key, url, page)
+    blocks = parsed.select("row", F.posexplode("blocks.outside").alias("place", "outside"))
+    gone = recurring(parsed, many).select("row", F.explode("gone").alias("place"), F.lit(True).alias("recurs"))
+    met = blocks.join(gone, ["row", "place"], "left")
+    return met.agg(
+        F.count(F.lit(1)).alias("blocks"), F.count_if("recurs").alias("by_count"), F.count_if(F.col("recurs").isNull() & F.col("outside")).alias("by_markup")
+    )

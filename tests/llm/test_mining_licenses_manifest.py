@@ -422,3 +422,26 @@ def test_language_training_does_not_grow_with_a_language(spark):
     finally:
         language.train, language.SPARE = real, spare
     assert (seen[0] == seen[1]).all() and len(seen[0]) >= 50
+
+
+# Site templates
+
+
+def test_templates_of_the_given_pages_go_by_count(spark):
+    """Pages of the table as they are: subtrees recur on hosts, and a menu of plain blocks set into each page goes by count alone."""
+    from agora.llm import html_text
+
+    prepare(spark)
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    (found,) = html_text.removed(pages).collect()
+    assert found.by_count > 1000 and found.by_markup > 0 and found.by_count + found.by_markup < found.blocks
+    small = spark.read.parquet(f"{SF}/pages.parquet")
+    menu = "<div><div>Start here</div><div>Our partners</div><div>All the letters we got</div></div>"
+    with_menu = small.withColumn("html", F.regexp_replace("html", "(?i)(<article[^>]*>)", f"{menu}$1")).withColumn(
+        "html", F.regexp_replace("html", "(?i)</?article[^>]*>", ""))
+    before = {r.page_id: r.text for r in html_text.extract(small.withColumn("html", F.regexp_replace("html", "(?i)</?article[^>]*>", "")), many=2).collect()}
+    after = {r.page_id: r.text for r in html_text.extract(with_menu, many=2).collect()}
+    hosts = {r.page_id: r.host for r in small.select("page_id", F.regexp_extract("url", "//([^/]*)", 1).alias("host")).collect()}
+    shared = [p for p in hosts if sum(h == hosts[p] for h in hosts.values()) > 2]
+    assert len(shared) > 50 and all("Our partners" not in after[p] for p in shared)
+    assert sum(after[p] == before[p] for p in shared) > 0.9 * len(shared)
