@@ -29,24 +29,36 @@ def _label_of(model_class: Column) -> Column:
     return out
 
 
-def score_sentiment(df: DataFrame, text_col: str, scorer: Scorer, batch_size: int = BATCH) -> DataFrame:
+def by_length(texts: Sequence[str], predict: Callable, batch_size: int) -> list[tuple[str, float]]:
+    """``predict`` over batches of texts of about the same length, which a model pads to their longest; results in the given order."""
+    order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
+    found: list = [None] * len(texts)
+    for start in range(0, len(order), batch_size):
+        places = order[start : start + batch_size]
+        for place, result in zip(places, predict([texts[i] for i in places]), strict=True):
+            found[place] = result
+    return found
+
+
+def score_sentiment(df: DataFrame, text_col: str, scorer: Scorer, batch_size: int = BATCH, max_tokens: int | None = None) -> DataFrame:
     """Add ``sentiment_label`` and ``sentiment_score`` (confidence, four decimals) from a model.
 
     Null texts are scored as ''. Class names the label table lacks are neutral.
-    The model runs inside an Arrow-batched UDF and is loaded once per worker.
+    The model runs inside an Arrow-batched UDF and is loaded once per worker;
+    its batches are formed by length, so that little is padded. ``max_tokens``
+    cuts texts to so many blank-separated tokens, for models that read no more; by default they get whole texts.
     """
+    text = F.col(text_col)
+    if max_tokens is not None:
+        text = F.array_join(F.slice(tokenize(F.coalesce(text, F.lit(""))), F.lit(1), F.lit(max_tokens)), " ")
 
     @F.pandas_udf("struct<cls: string, prob: double>")
     def model(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         predict = scorer()
         for texts in batches:
-            values = texts.fillna("").tolist()
-            found: list[tuple[str, float]] = []
-            for i in range(0, len(values), batch_size):
-                found.extend(predict(values[i : i + batch_size]))
-            yield pd.DataFrame(found, columns=["cls", "prob"])
+            yield pd.DataFrame(by_length(texts.fillna("").tolist(), predict, batch_size), columns=["cls", "prob"])
 
-    scored = df.withColumn("_s", model(F.col(text_col)))
+    scored = df.withColumn("_s", model(text))
     return scored.withColumns(
         {
             "sentiment_label": _label_of(F.col("_s.cls")),

@@ -97,3 +97,28 @@ def test_weighted_lexicon_against_brute_force(spark):
         assert got[i].sentiment_label == ("positive" if pos > neg else "negative" if neg > pos else "neutral")
         assert got[i].sentiment_score == (round(max(pos, neg) / (pos + neg), 4) if pos + neg else 0.0)
     assert got[0].t == "Bagus BAGUS buruk"
+
+
+def test_batches_are_formed_by_length():
+    """Padded tokens: each batch is as wide as its longest text."""
+    texts = [" ".join(["w"] * n) for k in range(64) for n in (2, 400)]
+    padded = []
+
+    def predict(batch):
+        widths = [len(t.split()) for t in batch]
+        padded.append(max(widths) * len(batch) - sum(widths))
+        return [(t, float(len(t))) for t in batch]
+
+    assert sentiment.by_length(texts, predict, 16) == [(t, float(len(t))) for t in texts]
+    assert sum(padded) == 0 and len(padded) == 8
+    assert sentiment.by_length([], predict, 16) == []
+
+
+def test_texts_can_be_cut_for_the_model(spark):
+    def counting():
+        return lambda texts: [("LABEL_0", len(t.split()) / 1000) for t in texts]
+
+    df = spark.createDataFrame([("w " * 900,), ("a  b\nc",), (None,)], "t string")
+    cut = [float(r.sentiment_score) for r in sentiment.score_sentiment(df, "t", counting, max_tokens=512).collect()]
+    assert cut == [0.512, 0.003, 0.0]
+    assert [float(r.sentiment_score) for r in sentiment.score_sentiment(df, "t", counting).collect()] == [0.9, 0.003, 0.0]
