@@ -192,7 +192,7 @@ def resolve_dimensions(spark, sf):
 @query(
     "build_dim_topic",
     f"""WITH {S.STAGED}, t AS (SELECT topic_label, min(topic_category) AS topic_category FROM staged GROUP BY topic_label)
-SELECT CAST(row_number() OVER (ORDER BY substr(md5(topic_label), 1, 3), topic_label) AS BIGINT) AS topic_id,
+SELECT CAST(row_number() OVER (ORDER BY topic_label) AS BIGINT) AS topic_id,
   topic_label, topic_category FROM t""",
 )
 def build_dim_topic(spark, sf):
