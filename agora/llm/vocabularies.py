@@ -12,7 +12,7 @@ from pathlib import Path
 import regex
 
 # Entries each of a memo's two generations holds, and the longest piece it holds.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 150_000
 MEMO_LENGTH = 64
 # Up to here Python, its pattern module and the tokenizer libraries agree on every letter and number.
 LAST_SHARED = "\u024f"

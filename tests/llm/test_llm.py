@@ -642,4 +642,4 @@ def test_documents_that_share_an_id_are_told_apart(spark):
 
 def test_queries_are_registered():
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
