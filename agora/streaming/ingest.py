@@ -46,8 +46,8 @@ def append_new(
         pruned = F.col(tables.PART).isin(sorted({p for p, _ in places})) & F.col(BUCKET).isin(sorted({b for _, b in places}))
         full = StructType([*schema.fields, StructField(BUCKET, IntegerType())])
         stored = tables.read_table(spark, path, full).where(pruned & where)
-        fresh = fresh.unionByName(new_facts(stored, perhaps, keys))
-    fresh = _kept(fresh, "fresh")
+        # Stored, so that filters and table get the same rows.
+        fresh = _kept(fresh.unionByName(new_facts(stored, perhaps, keys)), "fresh")
     # Filters come first: a run that dies in between leaves a filter too many, never one too few.
     add_filters(fresh, path, keys)
     tables.append_table(fresh, path, PLACE)
