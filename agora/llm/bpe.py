@@ -2,14 +2,16 @@
 
 The encodings of byte strings form a monoid: ``join`` makes the encoding of a
 concatenation from two encodings. A piece is encoded by encoding its halves,
-down to short leaves, and joining them up the tree. Decoding concatenates
+down to single bytes, and joining them up the tree. Decoding concatenates
 token bytes up the same kind of tree.
 
 Why a join may stop. A token sequence is the encoding of its bytes exactly if
 every two neighbours are the encoding of their own bytes. Neighbours inside
 either half, and inside the re-encoded window, meet this already; so only the
 two borders of the window are tested. Where a border fails, the window grows
-on that side and is encoded again; at worst it is the whole piece.
+on that side and is encoded again; at worst it is the whole piece. A worker
+remembers what two neighbours become and the encodings of short halves, both
+in bounded memory.
 
 A text is split by the public pattern; pieces do not influence each other.
 Null texts encode to no tokens. Special tokens are never made.
@@ -29,12 +31,13 @@ from pyspark.sql import functions as F
 from agora.llm.vocabularies import LAST_SHARED, Memo, cuts, default_path, rank_file, splitter
 
 RANKS = "byte_bpe_50k.tiktoken"
-LEAF_BYTES = 16
 WINDOW_BYTES = 64
 LEAF_TOKENS = 4096
 NONE = 1 << 60  # the rank of a pair that is no token
-# Neighbour tests a worker remembers.
-PAIRS = 500_000
+# Neighbours a worker remembers, and encodings of halves of up to HALF_BYTES.
+PAIRS = 300_000
+HALVES = 200_000
+HALF_BYTES = 8
 
 
 class TreeCoder:
@@ -45,7 +48,9 @@ class TreeCoder:
         self.tokens = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self.stays: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[tuple[int, int], list[int] | None] = {}
+        self.halves: dict[bytes, list[int]] = {data: [rank] for data, rank in ranks.items() if len(data) == 1}
+        self.letters = dict(self.halves)
         self.whole = Memo(self._pieces)
         self.after_space = Memo(self._after_space)
 
@@ -66,36 +71,47 @@ class TreeCoder:
         return [whole] if whole is not None else self._tree(piece)
 
     def _tree(self, piece: bytes) -> list[int]:
-        if len(piece) <= LEAF_BYTES:
-            return self._leaf(piece)
+        known = self.halves.get(piece)
+        if known is not None:
+            return known
         half = len(piece) // 2
-        return self.join(self._tree(piece[:half]), self._tree(piece[half:]))
+        out = self.join(self._tree(piece[:half]), self._tree(piece[half:]))
+        if len(piece) <= HALF_BYTES:
+            if len(self.halves) >= HALVES:
+                self.halves = dict(self.letters)
+            self.halves[piece] = out
+        return out
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of the bytes of ``left`` followed by those of ``right``, both encodings themselves."""
-        if not left or not right or self._neighbours(left[-1], right[0]):
+        if not left or not right:
+            return left + right
+        window = self._met(left[-1], right[0])
+        if window is None:
             return left + right
         i = j = 1
         while True:
-            tokens = left[len(left) - i :] + right[:j]
-            window = self._leaf(b"".join(map(self.tokens.__getitem__, tokens)))
-            left_done = i == len(left) or self._neighbours(left[-i - 1], window[0])
-            right_done = j == len(right) or self._neighbours(window[-1], right[j])
+            left_done = i == len(left) or self._met(left[-i - 1], window[0]) is None
+            right_done = j == len(right) or self._met(window[-1], right[j]) is None
             if left_done and right_done:
                 return left[: len(left) - i] + window + right[j:]
             i = i if left_done else min(len(left), 2 * i)
             j = j if right_done else min(len(right), 2 * j)
-
-    def _neighbours(self, a: int, b: int) -> bool:
-        known = self.stays.get((a, b))
-        if known is None:
-            known = self._leaf(self.tokens[a] + self.tokens[b]) == [a, b]
-            if len(self.stays) >= PAIRS:
-                self.stays.clear()
-            self.stays[a, b] = known
-        return known
-
-    def _leaf(self, data: bytes) -> list[int]:
+            tokens = left[len(left) - i :] + right[:j]
+            window = self._merge(b"".join(map(self.tokens.__getitem__, tokens)))
+
+    def _met(self, a: int, b: int) -> list[int] | None:
+        """What two neighbours become when they are encoded as one; None if they stay."""
+        try:
+            return self.pairs[a, b]
+        except KeyError:
+            out = self._merge(self.tokens[a] + self.tokens[b])
+            if len(self.pairs) >= PAIRS:
+                self.pairs.clear()
+            out = self.pairs[a, b] = None if out == [a, b] else out
+            return out
+
+    def _merge(self, data: bytes) -> list[int]:
         """Merge the adjacent pair of lowest rank, the leftmost of equals, until none is left."""
         if len(data) > WINDOW_BYTES:
             return self._long(data)

@@ -29,6 +29,9 @@ class Counter:
 
     def __init__(self, path: str):
         content = merge_file(path)
+        flags = ["lstrip", "rstrip", "single_word"] + (["normalized"] if content["normalizer"] else [])
+        if any(t.get(flag) for t in content["added_tokens"] for flag in flags):
+            raise ValueError(f"{path}: added tokens that take in white space, or match whole words or normalised texts, are not counted")
         vocabulary = content["model"]["vocab"]
         self.symbols = [vocabulary[letter] for letter in byte_letters()]
         self.made, self.rank = [], {}  # by rank: the symbol a pair becomes; by pair of symbols (one number): its rank

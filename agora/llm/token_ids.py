@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from agora.llm.vocabularies import LAST_SHARED, Memo, byte_letters, cuts, merge_file, splitter
+from agora.llm.vocabularies import LAST_SHARED, MEMO_ENTRIES, Memo, byte_letters, cuts, merge_file, splitter
 
 # str.split() takes these for white space, the tokenizer does not.
 _NO_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
@@ -29,7 +29,7 @@ _MARKS = frozenset(".,;:!?")
 class Ids:
     """Encodes texts under one tokenizer file; ids come as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = MEMO_ENTRIES):
         from tokenizers import Tokenizer
 
         if sys.byteorder != "little" or array("I").itemsize != 4:
@@ -50,8 +50,8 @@ class Ids:
         self.blank = self.letters[32]
         # Texts that hold one of these go to the library whole.
         self.whole_texts = [t["content"] for t in content["added_tokens"]] + ([] if self.keeps_space else list(_NO_SPACE))
-        self.whole = Memo(self._cut)
-        self.after_space = Memo(self._after_space)
+        self.whole = Memo(self._cut, entries)
+        self.after_space = Memo(self._after_space, entries)
 
     def _after_space(self, cut: str) -> bytes:
         if cut.isalpha() and cut.isascii() and self.keeps_space:  # most of the words not seen before
@@ -91,17 +91,20 @@ class Ids:
 
 
 @functools.cache
-def ids_of(path: str) -> Ids:
-    return Ids(path)
+def ids_of(path: str, entries: int = MEMO_ENTRIES) -> Ids:
+    return Ids(path, entries)
 
 
-def token_ids(text: Column, path: str, end: int | None = None) -> Column:
-    """Column with the ids of each whole text, ``end`` after them; null is an empty text."""
+def token_ids(text: Column, path: str, end: int | None = None, entries: int = MEMO_ENTRIES) -> Column:
+    """Column with the ids of each whole text, ``end`` after them; null is an empty text.
+
+    ``entries`` bounds what a worker remembers, for jobs whose workers hold other things too.
+    """
     tail = b"" if end is None else np.asarray([end], "<u4").tobytes()
 
     @F.arrow_udf("binary")
     def tokenizer_ids(texts: pa.Array) -> pa.Array:
-        work = ids_of(path).encode
+        work = ids_of(path, entries).encode
         return pa.array([work(t.as_py() or "") + tail for t in texts], pa.binary())
 
     return tokenizer_ids(text)

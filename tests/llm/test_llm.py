@@ -1,9 +1,11 @@
 """The operators of the subpackage against brute force, the tokenizer libraries and held-out rows."""
 
 import hashlib
+import json
 import random
 import re
 import zlib
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -142,6 +144,36 @@ def test_counts_equal_the_library(result, documents):
         assert (r.n_tokens, r.n_bytes, r.over_limit) == (n, len(text.encode()), n > 1024)
 
 
+def test_every_piece_is_joined_from_single_bytes(documents):
+    """Only tokens and single bytes come without a join; what is encoded again are whole neighbouring tokens."""
+    ranks, library = bpe.rank_file(default_path(bpe.RANKS)), byte_library()
+    pieces = {p for text in list(documents.values())[:40] for p in bpe.splitter().findall(text or "")}
+    tree, joined, joins = bpe.TreeCoder(ranks), 0, []
+    join = tree.join
+    tree.join = lambda a, b: joins.append((a, b)) or join(a, b)
+    for text in pieces | {"q" * 3000, "ab" * 999, "zxqjv" * 40}:
+        piece = text.encode()
+        tree.halves = dict(tree.letters)
+        joins.clear()
+        assert tree.encode(piece) == library.encode_ordinary(text)
+        if piece in ranks:
+            assert not joins
+        else:
+            joined += 1
+            a, b = joins[-1]
+            assert tree.decode(a) + tree.decode(b) == piece
+    assert joined > 100
+
+
+def test_counts_refuse_added_tokens_with_flags(tmp_path):
+    content = json.loads(Path(default_path(token_counts.MERGES)).read_text())
+    content["added_tokens"][0]["lstrip"] = True
+    path = tmp_path / "flags.json"
+    path.write_text(json.dumps(content))
+    with pytest.raises(ValueError, match="added tokens"):
+        token_counts.Counter(str(path))
+
+
 ALPHABETS = ["ab", "a", "abcdefgh ", "a \n\t", "éèaß ", "tion the ing", "日本語あ ", "\x1c\x1f 　 ab", "'sdl re'", "՘࢏ a"]
 
 
