@@ -15,6 +15,8 @@ from agora.llm.shared import few, prepare, stored, table
 from agora.llm.vocabularies import default_path
 
 END_ID = 2
+# Words a packing worker remembers: it ran the stages before, whose memory it keeps.
+REMEMBERED = 150_000
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,7 +72,8 @@ def _by_rows(docs: DataFrame) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences of 1024 tokens."""
     prepare(spark)
-    return packing.pack_ids(docs, token_ids.token_ids(F.col("text"), default_path("byte_bpe_50k.json"), END_ID))
+    ids = token_ids.token_ids(F.col("text"), default_path("byte_bpe_50k.json"), END_ID, REMEMBERED)
+    return packing.pack_ids(docs, ids)
 
 
 STAGES = [
