@@ -33,10 +33,10 @@ from hashlib import blake2b
 import pyarrow as pa
 import regex
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agora.llm.shared import few, stored
+from agora.llm.shared import FEW_IDS, few, stored
 
 MANY_PAGES = 3
 MANY_SHARE = 0.1
@@ -258,26 +258,45 @@ def parse_pages(pages: DataFrame, key: str = "page_id", url: str = "url", page:
     return stored(rows.mapInArrow(_parse_batches(["_key", "_url"]), schema), "pages")
 
 
-def recurring(parsed: DataFrame, many: int = MANY_PAGES) -> DataFrame:
+def recurring(parsed: DataFrame, found: DataFrame) -> DataFrame:
     """row and the places of the blocks that stand in a template of the page's host, stored."""
     blocks = parsed.select("row", "host", F.posexplode("blocks.digests").alias("place", "digests"))
     inside = blocks.select("row", "place", "host", F.explode("digests").alias("digest"))
-    gone = inside.join(few(templates(parsed, many), "templates"), ["host", "digest"])
+    gone = inside.join(found, ["host", "digest"])
     # Stored: pages are shuffled to it only where it is too large to be sent to them.
     return stored(gone.groupBy("row").agg(F.collect_set("place").alias("gone")), "gone-blocks")
 
 
+def _marked(parsed: DataFrame, many: int) -> DataFrame:
+    """``parsed`` with ``gone``, the places of the blocks that stand in a template of the page's host (null or empty: none).
+
+    Up to ``FEW_IDS`` templates in all are sent to the pages, one array a host, and no page is shuffled. More of
+    them meet single blocks, and pages are joined with the places by ``row``.
+    """
+    found = stored(templates(parsed, many), "templates")
+    if found.count() > FEW_IDS:
+        return parsed.join(recurring(parsed, found), "row", "left")
+    sets = found.groupBy("host").agg(F.collect_list("digest").alias("templates"))
+    # The page's own templates are taken once, bound to a name; blocks are held against those few.
+    mine = F.array(F.array_intersect(F.flatten("blocks.digests"), "templates"))
+    gone = F.transform(mine, lambda m: F.filter(_places(), lambda i: F.arrays_overlap(F.col("blocks")[i]["digests"], m)))[0]
+    return parsed.join(F.broadcast(sets), "host", "left").withColumn("gone", F.when(F.col("templates").isNotNull(), gone))
+
+
+def _places() -> Column:
+    return F.transform("blocks", lambda b, i: i)
+
+
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", many: int = MANY_PAGES) -> DataFrame:
     """Per page: key, url, text (blocks in page order, one newline between), n_chars (code points)."""
-    parsed = parse_pages(pages, key, url, page)
-    joined = parsed.select("row", "_key", "_url", "blocks").join(recurring(parsed, many), "row", "left")
-    places = F.transform("blocks", lambda b, i: i)
+    joined = _marked(parse_pages(pages, key, url, page), many)
+    places = _places()
     # What recurs on the host goes first; then, of the rest, what the markup rules out.
     left = F.array_except(places, F.coalesce(F.col("gone"), F.slice(places, 1, 0)))
-    left = F.filter(left, lambda i: ~F.col("blocks")[i]["outside"])
+    joined = joined.select("_key", "_url", "blocks", F.filter(left, lambda i: ~F.col("blocks")[i]["outside"]).alias("left"))
     zones = []
     for rank in map(F.lit, range(len(ZONES))):
-        mine = F.filter(left, lambda i: F.col("blocks")[i]["rank"] == rank)  # noqa: B023 (called at once)
+        mine = F.filter("left", lambda i: F.col("blocks")[i]["rank"] == rank)  # noqa: B023 (called at once)
         zones.append(F.nullif(F.array_join(F.transform(mine, lambda i: F.col("blocks")[i]["text"]), "\n"), F.lit("")))
     text = F.coalesce(*zones, F.lit(""))
     out = joined.select(F.col("_key").alias(key), F.col("_url").alias(url), text.alias("text"))
@@ -288,7 +307,7 @@ def removed(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
     """One row: blocks, those that went by count, and those of the rest that went by markup."""
     parsed = parse_pages(pages, key, url, page)
     blocks = parsed.select("row", F.posexplode("blocks.outside").alias("place", "outside"))
-    gone = recurring(parsed, many).select("row", F.explode("gone").alias("place"), F.lit(True).alias("recurs"))
+    gone = recurring(parsed, stored(templates(parsed, many), "templates")).select("row", F.explode("gone").alias("place"), F.lit(True).alias("recurs"))
     met = blocks.join(gone, ["row", "place"], "left")
     return met.agg(
         F.count(F.lit(1)).alias("blocks"), F.count_if("recurs").alias("by_count"), F.count_if(F.col("recurs").isNull() & F.col("outside")).alias("by_markup")

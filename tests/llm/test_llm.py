@@ -308,6 +308,20 @@ def test_words_in_names_are_whole_and_recur_inside_articles(spark):
     assert page(spark, htmls[:2])[0] == "own 0\nother 0\ntake care 0"
 
 
+def test_templates_meet_pages_alike_in_both_ways(spark, monkeypatch):
+    menu = "<div class=x><ul><li>Home<li>News<li>Shop</ul><div>Follow us</div></div>"
+    rows = [(k, f"http://h{k % 2}.org/{k}", f"<body>{menu if k % 2 else ''}<div><p>Story {k}</p><p>More of {k}</p></div></body>") for k in range(12)]
+    rows += [(None, None, None), (50, "http://h1.org/a", ""), (51, None, menu)]
+    pages = spark.createDataFrame(rows, PAGES)
+    sent = html_text.extract(pages)
+    plan = sent._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    sent = {tuple(r) for r in sent.collect()}
+    assert all("Home" not in r[2] for r in sent if r[1] and r[1].startswith("http://h1")) and len(sent) == len(rows)
+    monkeypatch.setattr(html_text, "FEW_IDS", 0)
+    assert {tuple(r) for r in html_text.extract(pages).collect()} == sent
+
+
 # 5 top-k
 
 def brute_top(vectors, asked, k):
