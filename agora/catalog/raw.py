@@ -150,17 +150,25 @@ def mark_processed(spark, sf):
 
 @query(
     "config_lookup",
-    """SELECT CAST(d.doc_id AS VARCHAR) AS key,
-  CASE WHEN l.doc_id IS NULL THEN 'default' ELSE CAST(l.quality AS VARCHAR) END AS value
-FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+    """WITH config AS (SELECT 'c' || CAST(c_custkey AS VARCHAR) AS key, c_mktsegment AS value FROM customer
+  UNION ALL SELECT 'd' || CAST(doc_id AS VARCHAR), CAST(quality AS VARCHAR) FROM labels),
+asked AS (SELECT 'c' || CAST(o_custkey AS VARCHAR) AS key FROM orders UNION ALL SELECT 'd' || CAST(doc_id AS VARCHAR) FROM documents)
+SELECT a.key, CASE WHEN c.key IS NULL THEN 'default' ELSE c.value END AS value, count(*) AS lookups
+FROM asked a LEFT JOIN config c ON a.key = c.key GROUP BY ALL""",
 )
 def config_lookup(spark, sf):
-    """Key/value lookups; a key the table lacks (a document without labels) gets the default."""
-    config = sample.read(spark, sf, "labels").select(
-        F.col("doc_id").cast("string").alias("key"), F.col("quality").cast("string").alias("value")
-    )
-    keys = sample.read(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("key"))
-    return raw.config_lookup(config, keys, "default")
+    """Key/value lookups by every order and document; a key the table lacks (a document without labels) gets the default."""
+
+    def entry(name, letter, key, value=None):
+        shown = [F.concat(F.lit(letter), F.col(key).cast("string")).alias("key")]
+        return sample.read(spark, sf, name).select(*shown, *([] if value is None else [F.col(value).cast("string").alias("value")]))
+
+    config = entry("customer", "c", "c_custkey", "c_mktsegment").unionByName(entry("labels", "d", "doc_id", "quality"))
+    asked = entry("orders", "c", "o_custkey").unionByName(entry("documents", "d", "doc_id"))
+    keys = asked.groupBy("key").agg(F.count(F.lit(1)).alias("lookups"))
+    found = raw.config_lookup(config, keys, "default")
+    # A key the table holds twice counts twice, as in a plain join.
+    return found.groupBy("key", "value").agg(F.sum("lookups").alias("lookups"))
 
 
 @query(

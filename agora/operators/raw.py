@@ -137,10 +137,10 @@ def unpack_extra(df: DataFrame, schema: StructType, name: str = "extra") -> Data
 
 
 def config_lookup(config: DataFrame, keys: DataFrame, default: str | None) -> DataFrame:
-    """Value of each wanted key, or ``default`` where the table has no such key."""
+    """``keys`` with the value of each wanted key, or ``default`` where the table has no such key."""
     found = config.select("key", "value").withColumn("_hit", F.lit(True))
     value = F.when(F.col("_hit"), F.col("value")).otherwise(F.lit(default))
-    return keys.join(found, "key", "left").select("key", value.alias("value"))
+    return keys.join(found, "key", "left").select(*keys.columns, value.alias("value"))
 
 
 def set_config(config: DataFrame, entries: DataFrame) -> DataFrame:

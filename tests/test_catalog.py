@@ -70,3 +70,10 @@ def test_embed_related_splits_large_families(spark, monkeypatch):
     rows = [tuple(r) for r in tables.embed_related(spark, "").collect()]
     assert sorted(rows, key=str) == sorted([(1, k, 1.0) for k in range(1000)] + [(2, None, -1.0), (3, 1, 2.0)], key=str)
     assert max(len(r.lines) for r in kept[0].collect()) < 500
+
+
+def test_config_lookup_asks_for_every_order_and_document(spark, sf_dir):
+    found = QUERIES["config_lookup"](spark, sf_dir).collect()
+    asked = sum(spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in ("orders", "documents"))
+    assert sum(r.lookups for r in found) == asked and len({r.key for r in found}) == len(found)
+    assert {r.value == "default" for r in found} == {True, False}
