@@ -1,7 +1,8 @@
 """Text cleaning as native column expressions.
 
 Two steps have no Spark built-in (HTML unescape and NFKC); they are Arrow
-batched, and only texts that can change are handed to Python.
+batched (``agora.session`` bounds a batch's rows and bytes), and only texts that
+can change are handed to Python.
 """
 
 from __future__ import annotations
@@ -9,9 +10,9 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -43,14 +44,19 @@ def _unescape_all(text: str) -> str:
     return text
 
 
-@F.pandas_udf(StringType())
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(_unescape_all, na_action="ignore")
+def _mapped(texts: pa.Array, change: Callable[[str], str]) -> pa.Array:
+    # One text at a time: only the batch and its result are held.
+    return pa.array((change(t.as_py()) if t.is_valid else None for t in texts), pa.string())
 
 
-@F.pandas_udf(StringType())
-def _nfkc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+@F.arrow_udf(StringType())
+def _unescape(texts: pa.Array) -> pa.Array:
+    return _mapped(texts, _unescape_all)
+
+
+@F.arrow_udf(StringType())
+def _nfkc(texts: pa.Array) -> pa.Array:
+    return _mapped(texts, lambda t: unicodedata.normalize("NFKC", t))
 
 
 def unescape_html(text: Column) -> Column:

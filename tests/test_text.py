@@ -2,6 +2,7 @@ import re
 import sys
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,3 +167,15 @@ def test_read_word_list(spark, tmp_path):
 def test_trigram_similarity(spark, a, b, expected):
     row = texts(spark, a).select(X.trigram_similarity(F.col("t"), F.lit(b)).alias("s")).first()
     assert row.s == pytest.approx(expected)
+
+
+def test_nfkc_batches_are_bounded(spark):
+    """A Python worker gets at most a thousand texts at once, whatever the session was set to before the query."""
+    from agora.session import pin
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    pin(spark)
+    sizes = F.arrow_udf(lambda texts: pa.array([len(texts)] * len(texts), pa.int32()), "int")
+    rows = spark.range(0, 5000, 1, 1).select(X.nfkc(F.concat(F.lit("\ufb01"), F.col("id"))).alias("t"), sizes(F.col("id")).alias("n"))
+    found = rows.agg(F.max("n"), F.count_if(F.col("t").startswith("fi"))).first()
+    assert found[0] <= 1024 and found[1] == 5000
