@@ -35,6 +35,8 @@ def _java(pattern: str) -> str:
 
 
 EMAIL, HASHTAG, MENTION = map(_java, (fixed.EMAIL, fixed.HASHTAG, fixed.MENTION))
+# A whole run of word characters and '#' that holds a '#'; tried from the start of a run only.
+_TAGGED_RUN = f"(?<![#{fixed.WORD}]){fixed.WORD}*+#[#{fixed.WORD}]*+"
 
 
 def _unescape_all(text: str) -> str:
@@ -136,7 +138,25 @@ def expand_hashtags(text: Column, dropped: Sequence[str] = fixed.DROPPED_HASHTAG
         new = F.when(F.lower(tag).isin(list(dropped)), F.lit("")).otherwise(words(tag))
         return F.replace(acc, tag, new)
 
-    return F.when(text.contains("#"), F.aggregate(hashtags(text), text, replace)).otherwise(text)
+    # No replacement reaches beyond its run of word characters and '#', so tags meet the text's
+    # distinct runs, one a line, and not the whole text once for each tag.
+    def expanded(runs: Column) -> Column:
+        written = F.array_distinct(runs)
+        lines = F.aggregate(hashtags(text), F.array_join(written, "\n"), replace)
+        return _let(F.map_from_arrays(written, F.split(lines, "\n", -1)), lambda table: joined(runs, table))
+
+    def joined(runs: Column, table: Column) -> Column:
+        # One piece more than runs: the last one has no run after it.
+        pieces = F.zip_with(F.split(text, _TAGGED_RUN, -1), runs, lambda a, run: F.concat(a, F.coalesce(F.element_at(table, run), F.lit(""))))
+        return F.array_join(pieces, "")
+
+    runs = F.regexp_extract_all(text, F.lit(_TAGGED_RUN), F.lit(0))
+    return F.when(text.contains("#"), _let(runs, lambda r: F.when(F.size(r) > 0, expanded(r)).otherwise(text))).otherwise(text)
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once: inside a lambda it would be computed for each element."""
+    return F.transform(F.array(value), use)[0]
 
 
 def strip_mentions(text: Column) -> Column:
