@@ -314,8 +314,9 @@ FROM range({_N_TOPICS}) t(i)""",
 def fit_topics(spark, sf):
     """Topics of all documents: their number, labels (no rule's words occur in these texts) and that their words are the texts' own."""
     docs = _documents(spark, sf)
-    table = topics.topic_table(spark, topics.fit_topics(docs, "text", _N_TOPICS))
-    words = docs.select(F.explode(X.tokenize(F.col("text"))).alias("word")).distinct()
+    model = topics.fit_topics(docs, "text", _N_TOPICS)
+    table, top = topics.topic_table(spark, model), sorted({w for _, words in model.top for w in words})
+    words = docs.select(F.explode(F.filter(X.tokenize(F.col("text")), lambda w: w.isin(top))).alias("word")).distinct()
     named = table.select("topic_no", "topic_label", "topic_category", F.explode("top_keywords").alias("word"))
     met = named.join(words.withColumn("_known", F.lit(True)), "word", "left")
     return met.groupBy(F.col("topic_no").cast("long").alias("topic_no"), "topic_label", "topic_category").agg(

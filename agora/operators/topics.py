@@ -5,14 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agora import fixed, schemas
 from agora.functions.text import tokenize
+from agora.operators import lda
 from agora.session import work_dir
 from agora.sources.local import small_table
 
@@ -28,8 +26,7 @@ SLOTS = 1 << 18
 
 @dataclass(frozen=True)
 class TopicModel:
-    words: CountVectorizerModel
-    lda: LDAModel
+    topics: lda.Topics
     slots: int
     top: list[tuple[int, list[str]]]  # topic, its words, best first
 
@@ -50,12 +47,11 @@ def label_rules(
 
 
 def _slot(word: Column, slots: int) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(slots)).cast("string")
+    return F.pmod(F.xxhash64(word), F.lit(slots)).cast("int")
 
 
-def _with_slots(df: DataFrame, text_col: str, slots: int) -> DataFrame:
-    tokens = tokenize(F.coalesce(F.col(text_col), F.lit("")))
-    return df.withColumn("_tokens", F.transform(tokens, lambda w: _slot(w, slots)))
+def _slots(text_col: str, slots: int) -> Column:
+    return F.transform(tokenize(F.coalesce(F.col(text_col), F.lit(""))), lambda w: _slot(w, slots))
 
 
 def fit_topics(
@@ -67,22 +63,20 @@ def fit_topics(
     most frequent word (the least of several). What the driver holds is
     k x slots numbers, whatever the data.
     """
-    hashed = _with_slots(df, text_col, slots).select("_tokens")
-    words = CountVectorizer(inputCol="_tokens", outputCol="_bow", vocabSize=slots).fit(hashed)
     path = work_dir(df.sparkSession, "bags")
-    words.transform(hashed).select("_bow").write.parquet(path)
-    lda = LDA(
-        k=k, maxIter=iterations, seed=seed, optimizer="online", subsamplingRate=1.0,
-        featuresCol="_bow", topicDistributionCol="_topics",
-    ).fit(df.sparkSession.read.parquet(path))
+    bags = lda.blocks(df.select(_slots(text_col, slots).alias("_slots")), slots)
+    # Every pass reads them, so all cores get as many.
+    bags.repartition(df.sparkSession.sparkContext.defaultParallelism).write.parquet(path)
+    topics = lda.fit(df.sparkSession.read.schema(lda.BLOCK).parquet(path), slots, k, iterations, seed)
     # k rows of a few slots each, whatever the corpus; so is the dictionary of these slots.
-    best = [(r.topic, [words.vocabulary[i] for i in r.termIndices]) for r in lda.describeTopics(naming).collect()]
-    wanted = sorted({s for _, of in best for s in of})
-    each = df.select(F.explode(tokenize(F.coalesce(F.col(text_col), F.lit("")))).alias("word"))
-    counted = each.where(_slot(F.col("word"), slots).isin(wanted)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    best = topics.top(naming)
+    wanted = sorted({s for of in best for s in of})
+    tokens = tokenize(F.coalesce(F.col(text_col), F.lit("")))
+    each = df.select(F.explode(F.filter(tokens, lambda w: _slot(w, slots).isin(wanted))).alias("word"))
+    counted = each.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     name = F.min(F.struct(-F.col("n"), "word"))["word"].alias("word")
     names = dict(counted.groupBy(_slot(F.col("word"), slots).alias("slot")).agg(name).collect())
-    return TopicModel(words, lda, slots, [(topic, [names[s] for s in of]) for topic, of in best])
+    return TopicModel(topics, slots, [(topic, [names[s] for s in of]) for topic, of in enumerate(best)])
 
 
 def topic_table(
@@ -103,10 +97,9 @@ def assign_topic(df: DataFrame, text_col: str, model: TopicModel, rules: Sequenc
     Posts without tokens are unclassified. Topic names come from a join with
     the table of the k topics, so rules run once per topic.
     """
-    tokens = _with_slots(df, text_col, model.slots)
-    probability = vector_to_array(F.col("_topics"))
-    best = F.array_position(probability, F.array_max(probability)).cast("int") - 1
-    scored = model.lda.transform(model.words.transform(tokens)).withColumn("topic_no", F.when(F.size("_tokens") > 0, best))
+    tokens = df.withColumn("_slots", _slots(text_col, model.slots))
+    best = lda.best_topic(model.topics, F.col("_slots"), df.sparkSession.sparkContext)
+    scored = tokens.withColumn("topic_no", F.when(F.size("_slots") > 0, best))
     named = scored.join(topic_table(df.sparkSession, model, rules), "topic_no", "left")
     return with_topic_default(named).select(*df.columns, "topic_no", "topic_label", "topic_category", "top_keywords")
 

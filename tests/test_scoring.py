@@ -1,10 +1,12 @@
+import math
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from agora import fixed
-from agora.operators import sentiment, topics
+from agora.operators import lda, sentiment, topics
 
 
 def test_pluggable_scorer(spark):
@@ -122,3 +124,62 @@ def test_texts_can_be_cut_for_the_model(spark):
     cut = [float(r.sentiment_score) for r in sentiment.score_sentiment(df, "t", counting, max_tokens=512).collect()]
     assert cut == [0.512, 0.003, 0.0]
     assert [float(r.sentiment_score) for r in sentiment.score_sentiment(df, "t", counting).collect()] == [0.9, 0.003, 0.0]
+
+
+def _plain_updates(beta, counts, prior, least):
+    """Parameters of one text by plain updates until they move it by ``least``, and how many those were."""
+    params, moved, n = np.ones(len(prior)), 1.0, 0
+    while moved > least:
+        theta = lda.exp_expected_log(params)
+        new = theta * (beta @ (counts / (theta @ beta))) + prior
+        params, moved, n = new, np.abs(new - params).mean(), n + 1
+    return params, n
+
+
+def test_texts_settle_in_few_updates_where_plain_ones_go_on(monkeypatch):
+    """Each text gets what updates without extrapolation reach, in far fewer of them, next to texts of any length."""
+    draw = np.random.default_rng(5)
+    k, n_slots, prior = 4, 500, np.full(4, 0.25)
+    table = np.hstack([lda.exp_expected_log(draw.gamma(100, 0.01, (k, n_slots))), np.ones((k, 1))])
+    words = np.concatenate([draw.integers(1, 60, 40), [3000]])
+    slots = [draw.integers(0, n_slots, n) for n in words]
+    which, *bag = lda.bag(words, np.concatenate(slots), n_slots)
+    updates, real = [], lda._update
+    monkeypatch.setattr(lda, "_update", lambda p, *more: updates.append(len(p)) or real(p, *more))
+    got = np.empty((len(words), k))
+    for some, ids, counts in lda._together(*bag, n_slots):
+        got[which[some]] = lda.settle(lda._beta(table, ids, counts), counts, prior)
+    assert np.allclose(got.sum(1), words + 1, rtol=1e-5)
+    plain = 0
+    for text, mine in zip(slots, got):
+        at, counts = np.unique(text, return_counts=True)
+        plain += _plain_updates(table[:, at], counts, prior, 1e-3)[1]
+        # Plain updates lead nowhere else from here.
+        theta = lda.exp_expected_log(mine)
+        again = theta * (table[:, at] @ (counts / (theta @ table[:, at]))) + prior
+        assert np.abs(again - mine).mean() <= lda.SETTLED
+    assert sum(updates) < plain / 3
+
+
+def test_each_text_counts_once_in_every_pass(spark):
+    """The shares a pass adds up are the words' counts, exactly: no text is drawn twice or left out."""
+    docs = [(f"a{i % 7} b{i % 5} b{i % 5} c{i}",) for i in range(300)] + [("",), (None,)]
+    df = spark.createDataFrame(docs, "t string").repartition(5)
+    bags = lda.blocks(df.select(topics._slots("t", 1 << 10).alias("s")), 1 << 10).localCheckpoint()
+    counted, (n,) = lda._summed(bags, 1 << 10, 1, lda._totals)
+    expected = np.zeros(1 << 10)
+    for r in df.select(F.explode(topics._slots("t", 1 << 10)).alias("s")).groupBy("s").count().collect():
+        expected[r.s] = r["count"]
+    assert n == 300 and (counted[0] == expected).all()
+    model = lda.Topics(np.where(counted > 0, np.random.default_rng(1).gamma(100, 0.01, (3, 1 << 10)), 0), np.full(3, 1 / 3))
+    sent = spark.sparkContext.broadcast(model.table())
+    sums, more = lda._summed(bags, 1 << 10, 3, lda._pass(sent, model.prior))
+    assert more[0] == 300 and np.allclose((sums * model.table()[:, :-1]).sum(0), expected, rtol=1e-4)
+
+
+def test_series_of_the_gamma_function():
+    x = np.array([1e-3, 0.2, 1.0, 2.5, 7.0, 400.0, 1e7])
+    step = 1e-3 * np.minimum(x, 1)
+    assert np.allclose(lda.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-9, atol=1e-9)
+    assert np.allclose(lda.digamma(x), (lda.log_gamma(x + step) - lda.log_gamma(x - step)) / (2 * step), rtol=1e-3, atol=1e-3)
+    assert np.allclose(lda.trigamma(x), (lda.digamma(x + step) - lda.digamma(x - step)) / (2 * step), rtol=1e-3, atol=1e-3)
