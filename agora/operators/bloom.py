@@ -32,10 +32,9 @@ def _bits(h: np.ndarray, size: int) -> np.ndarray:
 
 def filter_bytes(h: np.ndarray) -> bytes:
     size = max(64, 1 << int(np.ceil(np.log2(max(1, len(h)) * BITS))))
-    words = np.zeros(size // 8, np.uint8)
-    at = _bits(h, size).reshape(-1)
-    np.bitwise_or.at(words, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7))).astype(np.uint8))
-    return words.tobytes()
+    bits = np.zeros(size, bool)
+    bits[_bits(h, size)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
 
 
 def may_hold(filters: Sequence[bytes], h: np.ndarray) -> np.ndarray:
@@ -64,8 +63,10 @@ def add_filters(placed: DataFrame, path: str, keys: Sequence[str]) -> None:
 
 
 def _probe(filters: pa.Table, rows: pa.Table) -> pa.Table:
-    held = may_hold([b.as_py() for b in filters["bits"]], rows["h"].to_numpy().view(np.uint64)) if rows.num_rows else np.zeros(0, bool)
-    return pa.table([rows["h"], pa.array(held)], names=["h", "held"])
+    h = np.unique(rows["h"].to_numpy())
+    held = h[may_hold([b.as_py() for b in filters["bits"]], h.view(np.uint64))] if filters.num_rows else h[:0]
+    place = [rows[name].slice(0, 1).to_pylist() * len(held) for name in ("part", "bucket")]
+    return pa.table([pa.array(place[0], pa.string()), pa.array(place[1], pa.int32()), pa.array(held, pa.int64())], names=["part", "bucket", "h"])
 
 
 def stored_filters(spark: SparkSession, path: str, parts: Sequence[str]) -> DataFrame:
@@ -74,8 +75,12 @@ def stored_filters(spark: SparkSession, path: str, parts: Sequence[str]) -> Data
 
 def perhaps_stored(placed: DataFrame, path: str, keys: Sequence[str], parts: Sequence[str]) -> DataFrame:
     """``placed`` with ``held``: whether the table at ``path`` may hold the row's key. ``parts``: the partitions of ``placed``."""
-    hashed = placed.withColumn("h", F.xxhash64(*keys, F.lit(7)))
-    asked = hashed.select("part", "bucket", "h").distinct()
     filters = stored_filters(placed.sparkSession, path, parts)
-    met = filters.groupBy("part", "bucket").cogroup(asked.groupBy("part", "bucket")).applyInArrow(_probe, "h long, held boolean")
-    return hashed.join(met, "h", "left").withColumn("held", F.coalesce("held", F.lit(False))).drop("h")
+    if filters.isEmpty():
+        return placed.withColumn("held", F.lit(False))
+    hashed = placed.withColumn("h", F.xxhash64(*keys, F.lit(7)))
+    asked = hashed.select("part", "bucket", "h")
+    # Only what may be stored comes back, so a batch of new posts is not dealt a second time.
+    met = filters.groupBy("part", "bucket").cogroup(asked.groupBy("part", "bucket")).applyInArrow(_probe, "part string, bucket int, h long")
+    found = met.withColumn("held", F.lit(True))
+    return hashed.join(found, ["part", "bucket", "h"], "left").withColumn("held", F.coalesce("held", F.lit(False))).select(*placed.columns, "held")

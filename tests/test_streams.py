@@ -170,6 +170,20 @@ def test_filters_have_no_false_negatives_and_few_false_positives():
         assert bloom.may_hold([data], other).mean() < 0.01
 
 
+def test_only_rows_that_may_be_stored_come_back_from_the_filters(spark):
+    """A first batch asks none; later each row is judged once, whatever other rows share its hash."""
+    out, df = work_dir(spark, "facts"), captures(spark, 60).dropDuplicates(KEYS)
+    placed = Layout(KEYS, "year", 4, 2023, 2026).place(df)
+    parts = tables.touched_partitions(placed)
+    first = bloom.perhaps_stored(placed, out, KEYS, parts)
+    assert "CoGroup" not in first._jdf.queryExecution().toString() and first.where("held").count() == 0
+    bloom.add_filters(placed.where("seq % 2 = 0"), out, KEYS)
+    twice = bloom.perhaps_stored(placed.unionByName(placed), out, KEYS, parts)
+    assert twice.columns == [*placed.columns, "held"] and twice.count() == 2 * df.count()
+    held = {r.seq for r in twice.where("held").collect()}
+    assert {r.seq for r in df.where("seq % 2 = 0").collect()} <= held and len(held) < df.count()
+
+
 def test_stream_dedup_keeps_one_of_each_across_batches(spark):
     feed, out = work_dir(spark, "feed"), work_dir(spark, "out")
     df = captures(spark, 600).withColumn("posted_at", F.lit("2024-05-01").cast("timestamp"))
