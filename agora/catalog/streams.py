@@ -8,7 +8,7 @@ from agora.catalog.registry import query
 from agora.session import work_dir
 from agora.sources import sample_posts as sample
 from agora.sources import tables
-from agora.streaming.ingest import latest, stream_dedup, stream_ingest, stream_upsert
+from agora.streaming.ingest import latest, stream_ingest, stream_upsert, write_first
 
 _POSTS_SQL = """SELECT CAST(event_id AS VARCHAR) AS source_id, epoch_us(ts) AS posted_at, 'u_' || CAST(user_id AS VARCHAR) AS username,
   CAST(floor(value) AS BIGINT) AS upvote_count FROM events"""
@@ -59,26 +59,20 @@ def stream_ingest_(spark, sf):
 )
 def stream_dedup_(spark, sf):
     """Repeated captures of events and of orders, which are years older: the first of each post is kept."""
-    feed, schema = _feed(spark, sf)
+    events = sample.read(spark, sf, "events").selectExpr("CAST(event_id AS string) AS event_id", "ts", "user_id", "value")
     orders = sample.read(spark, sf, "orders").selectExpr(
         "concat('o', o_orderkey) AS event_id", "o_orderdate AS ts", "o_custkey AS user_id", "o_totalprice AS value"
     )
     out, mixed = work_dir(spark, "unique"), work_dir(spark, "mixed")
-    events = spark.read.schema(schema).parquet(feed).selectExpr("CAST(event_id AS string) AS event_id", "ts", "user_id", "value")
     events.write.parquet(mixed)
-    orders.write.mode("append").parquet(mixed)
+    for more in (events.where("value > 10"), orders):
+        more.write.mode("append").parquet(mixed)
     stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 4).parquet(mixed)
     captured = F.col("_metadata.file_modification_time").alias("captured_at")
     posts = _as_posts(stream.select("*", captured), "captured_at")
-    unique = stream_dedup(posts, ["source_id"], "captured_at", "60 days")
-    run = (
-        unique.writeStream.format("parquet")
-        .option("checkpointLocation", work_dir(spark, "progress"))
-        .trigger(availableNow=True)
-        .start(out)
-    )
+    run = write_first(posts, out, work_dir(spark, "progress"), keys=["source_id"], captured="captured_at", delay="60 days")
     run.awaitTermination()
-    return _shown(spark.read.schema(unique.schema).parquet(out))
+    return _shown(spark.read.schema(posts.schema).parquet(out))
 
 
 @query(

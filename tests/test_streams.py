@@ -3,6 +3,7 @@ from datetime import datetime
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from agora.operators import bloom
@@ -11,7 +12,7 @@ from agora.session import work_dir
 from agora.sources import tables
 from agora.sources.layout import Layout
 from agora.streaming.capture_log import CaptureLog
-from agora.streaming.ingest import append_new, latest, merge_latest, stream_dedup, stream_ingest, stream_upsert
+from agora.streaming.ingest import _outermost, append_new, latest, merge_latest, stream_dedup, stream_ingest, stream_upsert, write_first
 
 SCHEMA = "platform_id int, source_id string, posted_at timestamp, seq int, v string"
 
@@ -195,3 +196,73 @@ def test_stream_dedup_keeps_one_of_each_across_batches(spark):
     ).start(out).awaitTermination()
     ids = [r.source_id for r in spark.read.schema(df.schema).parquet(out).collect()]
     assert len(ids) == len(set(ids)) == df.select("source_id").distinct().count()
+
+
+def test_copies_go_where_they_are_read_and_each_key_is_stored_once(spark):
+    """One state, in a number of partitions made for the cores; the session keeps its own settings."""
+    feed, out, progress = (work_dir(spark, n) for n in ("feed", "out", "progress"))
+    hot = spark.range(6000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) AS id", "timestamp '2024-05-01' AS at")
+    hot.coalesce(1).write.parquet(feed)
+    hot.where("id < '3'").coalesce(1).write.mode("append").parquet(feed)
+    settings = {key: spark.conf.get(key, None) for key in ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass")}
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        stream = spark.readStream.schema(hot.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+        run = write_first(stream, out, progress, keys=["id"], captured="at", delay="30 days")
+        run.awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", settings["spark.sql.shuffle.partitions"])
+    assert {key: spark.conf.get(key, None) for key in settings} == settings
+    ids = [r.id for r in spark.read.schema(hot.schema).parquet(out).collect()]
+    assert len(ids) == len(set(ids)) == 4001
+    first = next(p for p in run.recentProgress if p.numInputRows)
+    assert [s.customMetrics["numDroppedDuplicateRows"] < 20 for s in first.stateOperators] == [True]
+    partitions = [p for p in Path(progress.removeprefix("file:"), "state", "0").iterdir() if p.name.isdigit()]
+    assert len(partitions) == 4 * spark.sparkContext.defaultParallelism
+
+
+def test_a_late_copy_does_not_displace_one_that_is_not_late(spark):
+    feed, out = work_dir(spark, "feed"), work_dir(spark, "out")
+    rows = lambda *r: spark.createDataFrame(r, "id string, at timestamp").coalesce(1).write.mode("append").parquet(feed)
+    rows(("z", datetime(2024, 6, 1)))
+    rows(("y", datetime(2024, 6, 1)))
+    rows(("a", datetime(2024, 1, 1)), ("a", datetime(2024, 6, 2)), ("a", datetime(2024, 1, 2)), ("b", datetime(2024, 1, 1)))
+    source = spark.readStream.schema("id string, at timestamp").option("maxFilesPerTrigger", 1).parquet(feed)
+    run = write_first(source, out, work_dir(spark, "progress"), keys=["id"], captured="at", delay="30 days")
+    run.awaitTermination()
+    assert content(spark.read.schema("id string, at timestamp").parquet(out), "id", "at") == [
+        ("a", datetime(2024, 6, 2)), ("y", datetime(2024, 6, 1)), ("z", datetime(2024, 6, 1)),
+    ]
+
+
+def test_rows_a_filter_removes_displace_no_copy(spark):
+    feed, out = work_dir(spark, "feed"), work_dir(spark, "out")
+    rows = [("a", datetime(2024, 6, day), day == 2) for day in (1, 2, 3)]
+    spark.createDataFrame(rows, "id string, at timestamp, good boolean").coalesce(1).write.parquet(feed)
+    good = F.arrow_udf(lambda column: column, "boolean")
+    source = spark.readStream.schema("id string, at timestamp, good boolean").parquet(feed).where(good("good"))
+    write_first(source, out, work_dir(spark, "progress"), keys=["id"], captured="at", delay="30 days").awaitTermination()
+    assert content(spark.read.schema(source.schema).parquet(out), "id", "at") == [("a", datetime(2024, 6, 2))]
+
+
+def test_each_key_keeps_its_earliest_and_latest_capture_of_an_arrow_batch():
+    draw = np.random.default_rng(3)
+    for n in (0, 1, 2, 500):
+        at = [None if x == 0 else int(x) for x in draw.integers(0, 40, n)]
+        word = [None if x == 0 else str(x) for x in draw.integers(0, 6, n)]
+        pair = [None if x == 0 else {"a": int(x), "b": [1.5, None]} for x in draw.integers(0, 4, n)]
+        number = [None if x == 0 else float(x) for x in draw.integers(0, 3, n)]
+        kept = _outermost(
+            pa.array(at, pa.int64()), pa.array(word, pa.string()),
+            pa.array(pair, pa.struct([("a", pa.int64()), ("b", pa.list_(pa.float64()))])), pa.array(number, pa.float64()),
+        ).to_pylist()
+        groups = {}
+        for i, key in enumerate(zip(word, map(repr, pair), number, strict=True)):
+            groups.setdefault(key, []).append(i)
+        assert len(kept) == n
+        for places in groups.values():
+            timed = [i for i in places if at[i] is not None]
+            assert all(kept[i] for i in places if at[i] is None)
+            chosen = [at[i] for i in timed if kept[i]]
+            assert sorted(set(chosen)) == sorted({f(at[i] for i in timed) for f in (min, max) if timed}) and len(chosen) <= 2
