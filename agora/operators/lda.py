@@ -32,6 +32,8 @@ TOGETHER = 1 << 18
 # Slots of one row of sums.
 RANGE = 1 << 12
 SETTLED = 1e-4
+# A row is megabytes. Unless told, Parquet collects 100 before it looks at their size, in writing and in reading.
+STORED = {"parquet.block.row.count.limit": 4, "parquet.page.row.count.limit": 1}
 # Texts of at most this many words are updated in single precision, whose last digit is then far below SETTLED.
 SINGLE = 1 << 9
 TINY = np.float32(1e-30)
@@ -209,6 +211,13 @@ def blocks(slots: DataFrame, n_slots: int) -> DataFrame:
     return slots.mapInArrow(run, BLOCK).where(F.length("lengths") > 0)
 
 
+def stored(bags: DataFrame, path: str) -> DataFrame:
+    """``bags`` written once, dealt to all cores alike; whatever their number, a task holds a few."""
+    spark = bags.sparkSession
+    bags.repartition(spark.sparkContext.defaultParallelism).write.options(**STORED).parquet(path)
+    return spark.read.schema(BLOCK).parquet(path)
+
+
 def _added(sums: pa.Table) -> pa.Table:
     total = sum(np.frombuffer(s.as_py(), np.float64) for s in sums["sums"])
     return pa.table([sums["part"].slice(0, 1), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])

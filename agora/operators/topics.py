@@ -63,11 +63,9 @@ def fit_topics(
     most frequent word (the least of several). What the driver holds is
     k x slots numbers, whatever the data.
     """
-    path = work_dir(df.sparkSession, "bags")
     bags = lda.blocks(df.select(_slots(text_col, slots).alias("_slots")), slots)
-    # Every pass reads them, so all cores get as many.
-    bags.repartition(df.sparkSession.sparkContext.defaultParallelism).write.parquet(path)
-    topics = lda.fit(df.sparkSession.read.schema(lda.BLOCK).parquet(path), slots, k, iterations, seed)
+    # Every pass reads them.
+    topics = lda.fit(lda.stored(bags, work_dir(df.sparkSession, "bags")), slots, k, iterations, seed)
     # k rows of a few slots each, whatever the corpus; so is the dictionary of these slots.
     best = topics.top(naming)
     wanted = sorted({s for of in best for s in of})

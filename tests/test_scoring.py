@@ -2,6 +2,7 @@ import math
 from decimal import Decimal
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,6 +178,24 @@ def test_each_text_counts_once_in_every_pass(spark):
     assert more[0] == 300 and np.allclose((sums * model.table()[:, :-1]).sum(0), expected, rtol=1e-4)
 
 
+def test_stored_blocks_are_held_few_at_a_time(spark, tmp_path, monkeypatch):
+    """However many blocks a core gets, Parquet writes and reads a few of these large rows at once."""
+    path = str(tmp_path / "bags")
+    monkeypatch.setattr(topics, "work_dir", lambda spark, name: path)
+    monkeypatch.setattr(lda, "BLOCK_SLOTS", 1)
+    # One core gets 96 blocks, each a text.
+    docs = spark.range(96 * spark.sparkContext.defaultParallelism).select(F.concat(F.lit("w v"), "id").alias("t"))
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+    try:
+        topics.fit_topics(docs, "t", 2, slots=1000, iterations=1)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "bags").glob("*.parquet")]
+    held = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+    assert sum(held) == docs.count() and max(held) <= 4
+
+
 def test_series_of_the_gamma_function():
     x = np.array([1e-3, 0.2, 1.0, 2.5, 7.0, 400.0, 1e7])
     step = 1e-3 * np.minimum(x, 1)
