@@ -7,8 +7,8 @@ starts from equal topics, so what a text gives does not depend on how rows are
 dealt, and each has settled when an update moves its parameters by 0.0001 on
 average (Spark: 0.001).
 
-A block is a row of the bags table: texts in ascending number of words, as arrays. A task updates the texts of a block together and drops the settled ones,
-and its sums are added up by ranges of slots. The driver holds topics x slots
+A block is a row of the bags table: texts in ascending number of words, as arrays. A task updates the texts of the blocks of an Arrow batch together, those
+of similar length at once, and drops the settled ones, and its sums are added up by ranges of slots. The driver holds topics x slots
 numbers, whatever the data.
 """
 
@@ -29,6 +29,8 @@ SUMS = "part int, sums binary"
 BLOCK_SLOTS = 1 << 20
 # Places (texts x the longest one's slots) that are updated together.
 TOGETHER = 1 << 18
+# One in so many, the last to settle, are updated with those of other groups.
+LAST = 16
 # Slots of one row of sums.
 RANGE = 1 << 12
 SETTLED = 1e-4
@@ -110,21 +112,14 @@ def _raised(old: np.ndarray, old_rest: list, new: np.ndarray, new_rest: list, co
     return words + ((prior - new) * new_logs - (prior - old) * logs + log_gamma(new) - log_gamma(old)) @ np.ones(len(prior))
 
 
-def settle(beta: np.ndarray, counts: np.ndarray, prior: np.ndarray) -> np.ndarray:
-    """Parameters (texts x topics) of texts, given beta (texts x topics x places) and counts (texts x places).
-
-    A text has settled when an update moves its parameters by ``SETTLED`` or less on
-    average, and by no more than the one before (it would leave a saddle), however many
-    updates that takes. They are extrapolated from every two updates (squared
-    extrapolation), where the bound does not fall by it; else updates go on from where
-    they were.
-    """
-    out = np.ones((len(counts), len(prior)))
-    at, params, moving = np.arange(len(counts)), out, np.ones(len(counts), bool)
+def advance(beta: np.ndarray, counts: np.ndarray, prior: np.ndarray, start: np.ndarray, few: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``settle`` from the parameters ``start`` until no more than ``few`` texts go on: parameters, and which texts have settled."""
+    out, settled = start.copy(), np.zeros(len(counts), bool)
+    at, params, moving = np.arange(len(counts)), start, ~settled
     # Sums of a few numbers a row are faster as products.
     ones = np.ones(len(prior))
 
-    while moving.any():
+    while moving.sum() > few:
         if 3 * moving.sum() < 2 * len(moving):
             at, params, beta, counts = at[moving], params[moving], beta[moving], counts[moving]
             moving = np.ones(len(at), bool)
@@ -136,6 +131,7 @@ def settle(beta: np.ndarray, counts: np.ndarray, prior: np.ndarray) -> np.ndarra
         growing = (last > np.abs(moved) @ ones / len(ones)) & (last > SETTLED / 2)
         done = moving & ~(last > SETTLED) & ~growing
         out[at[done]] = second[done]
+        settled[at[done]] = True
         moving &= ~done
         if not moving.any():
             break
@@ -146,29 +142,51 @@ def settle(beta: np.ndarray, counts: np.ndarray, prior: np.ndarray) -> np.ndarra
         beyond, *other = _update(ahead, beta, counts, prior)
         good = _raised(first, rest, ahead, other, counts, prior) >= 0
         params = np.where(good[:, None], beyond, second)
-    return out
-
+    out[at[moving]] = params[moving]
+    return out, settled
 
-def _arrays(block: pa.Table | pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    lengths, slots, counts = (np.frombuffer(block[name][row].as_py(), np.int32) for name in ("lengths", "slots", "counts"))
-    return lengths, slots, counts
 
+def settle(beta: np.ndarray, counts: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    """Parameters (texts x topics) of texts, given beta (texts x topics x places) and counts (texts x places).
 
-def _together(lengths: np.ndarray, slots: np.ndarray, counts: np.ndarray, empty: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
-    """Texts of similar length: which, their slots (``empty`` where a text has no more) and counts."""
-    ends = np.cumsum(lengths)
-    low = 0
-    while low < len(lengths):
-        # Those before the first text that is longer by far, or with which they are too many.
-        most = np.maximum.accumulate(lengths[low : low + TOGETHER])
-        fits = (most <= 2 * lengths[low] + 32) & (most.astype(np.int64) * np.arange(1, len(most) + 1) <= TOGETHER)
-        high = low + max(1, len(fits) if fits.all() else int(fits.argmin()))
-        mine = lengths[low:high]
-        filled = np.arange(mine.max()) < mine[:, None]
-        ids, n = np.full(filled.shape, empty), np.zeros(filled.shape)
-        ids[filled], n[filled] = (a[ends[low] - lengths[low] : ends[high - 1]] for a in (slots, counts))
-        yield slice(low, high), ids, n.astype(np.float32) if n.sum(1).max() <= SINGLE else n
-        low = high
+    A text has settled when an update moves its parameters by ``SETTLED`` or less on
+    average, and by no more than the one before (it would leave a saddle), however many
+    updates that takes. They are extrapolated from every two updates (squared
+    extrapolation), where the bound does not fall by it; else updates go on from where
+    they were.
+    """
+    return advance(beta, counts, prior, np.ones((len(counts), len(prior))), 0)[0]
+
+
+def _arrays(batch: pa.Table | pa.RecordBatch) -> list[np.ndarray]:
+    """Lengths, slots and counts of the texts of all its blocks."""
+    none = np.zeros(0, np.int32)
+    return [np.concatenate([none, *(np.frombuffer(v.as_buffer(), np.int32) for v in batch[name])]) for name in ("lengths", "slots", "counts")]
+
+
+def _together(
+    lengths: np.ndarray, slots: np.ndarray, counts: np.ndarray, empty: int, only: np.ndarray | None = None, apart: float = 1.5
+) -> Iterator[tuple[np.ndarray, ...]]:
+    """Texts (of ``only``) of similar length, ``apart`` times the shortest: which, their slots (``empty`` where a text has no more) and counts."""
+    starts = np.cumsum(lengths) - lengths
+    long = np.add.reduceat(counts, starts) > SINGLE if len(lengths) else starts > 0
+    for kind, of in ((~long, np.float32), (long, float)):
+        order = np.flatnonzero(kind if only is None else kind & only)
+        order = order[np.argsort(lengths[order], kind="stable")]
+        sizes, low = lengths[order].astype(np.int64), 0
+        while low < len(order):
+            # Those before the first text that is longer by far, or with which they are too many.
+            next_sizes = sizes[low : low + TOGETHER]
+            fits = (next_sizes <= apart * sizes[low] + 16) & (next_sizes * np.arange(1, len(next_sizes) + 1) <= TOGETHER)
+            high = low + max(1, len(fits) if fits.all() else int(fits.argmin()))
+            some = order[low:high]
+            places = np.arange(sizes[high - 1])
+            filled = places < sizes[low:high, None]
+            at = (starts[some, None] + places)[filled]
+            ids, n = np.full(filled.shape, empty), np.zeros(filled.shape, of)
+            ids[filled], n[filled] = slots[at], counts[at]
+            yield some, ids, n
+            low = high
 
 
 def _beta(table: np.ndarray, ids: np.ndarray, like: np.ndarray) -> np.ndarray:
@@ -178,6 +196,23 @@ def _beta(table: np.ndarray, ids: np.ndarray, like: np.ndarray) -> np.ndarray:
     return out
 
 
+def _settled(bags: list[np.ndarray], table: np.ndarray, prior: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Groups of settled texts: which, their slots, counts, beta and parameters.
+
+    The last few of each group, which take most updates, meet those of the others and go on from where they were.
+    """
+    empty = table.shape[1] - 1
+    left, params = np.zeros(len(bags[0]), bool), np.ones((len(bags[0]), len(prior)))
+    for some, ids, counts in _together(*bags, empty):
+        beta = _beta(table, ids, counts)
+        params[some], done = advance(beta, counts, prior, params[some], len(some) // LAST)
+        left[some] = ~done
+        yield tuple(a if done.all() else a[done] for a in (some, ids, counts, beta, params[some]))
+    for some, ids, counts in _together(*bags, empty, left, 4):
+        beta = _beta(table, ids, counts)
+        yield some, ids, counts, beta, advance(beta, counts, prior, params[some], 0)[0]
+
+
 def bag(words: np.ndarray, slots: np.ndarray, n_slots: int) -> tuple[np.ndarray, ...]:
     """Which texts have a word, in ascending number of words, and their distinct slots: how many, which, how often."""
     by_words = np.argsort(words, kind="stable")
@@ -253,7 +288,7 @@ def _totals(batches: Iterator[pa.RecordBatch], sums: np.ndarray) -> np.ndarray:
     texts = 0
     for batch in batches:
         for row in range(batch.num_rows):
-            lengths, slots, counts = _arrays(batch, row)
+            lengths, slots, counts = _arrays(batch.slice(row, 1))
             sums[0] += np.bincount(slots, counts, sums.shape[1])
             texts += len(lengths)
     return np.array([texts], float)
@@ -266,19 +301,13 @@ def _pass(sent, prior: np.ndarray) -> Callable[[Iterator[pa.RecordBatch], np.nda
         table, width = sent.value, sums.shape[1]
         more = np.zeros(1 + len(prior))
         for batch in batches:
-            for row in range(batch.num_rows):
-                found = []
-                for _, ids, counts in _together(*_arrays(batch, row), width):
-                    beta = _beta(table, ids, counts)
-                    params = settle(beta, counts, prior)
-                    theta = exp_expected_log(params)
-                    share = counts / (np.matmul(theta[:, None].astype(beta.dtype), beta)[:, 0] + TINY)
-                    found.append((ids, theta, share))
-                    more += [len(ids), *np.log(theta).sum(0)]
-                slots = np.concatenate([ids.ravel() for ids, _, _ in found])
+            for _, ids, counts, beta, params in _settled(_arrays(batch), table, prior):
+                theta = exp_expected_log(params)
+                share = counts / (np.matmul(theta[:, None].astype(beta.dtype), beta)[:, 0] + TINY)
+                slots, theta_of = ids.ravel(), theta.T[:, :, None]
+                more += [len(ids), *np.log(theta).sum(0)]
                 for topic in range(len(prior)):
-                    weights = np.concatenate([(theta[:, topic, None] * share).ravel() for _, theta, share in found])
-                    sums[topic] += np.bincount(slots, weights, width + 1)[:width]
+                    sums[topic] += np.bincount(slots, (theta_of[topic] * share).ravel(), width + 1)[:width]
         return more
 
     return task
@@ -325,8 +354,8 @@ def best_topic(topics: Topics, slots: Column, context) -> Column:
         known = seen[at]
         which, *mine = bag(np.bincount(text[known], minlength=len(texts)), at[known], n_slots)
         out = np.zeros(len(texts), np.int32)
-        for some, ids, counts in _together(*mine, n_slots):
-            out[which[some]] = settle(_beta(table, ids, counts), counts, prior).argmax(1)
+        for some, _, _, _, params in _settled(mine, table, prior):
+            out[which[some]] = params.argmax(1)
         return pa.array(out, pa.int32())
 
     return best(slots)

@@ -162,6 +162,32 @@ def test_texts_settle_in_few_updates_where_plain_ones_go_on(monkeypatch):
     assert sum(updates) < plain / 3
 
 
+def test_texts_left_over_settle_with_those_of_other_groups(monkeypatch):
+    """Every text comes once, with its own words, and settled; the last ones of all groups take fewer calls together."""
+    draw = np.random.default_rng(6)
+    k, n_slots, prior = 4, 500, np.full(4, 0.25)
+    table = np.hstack([lda.exp_expected_log(draw.gamma(100, 0.01, (k, n_slots))), np.ones((k, 1))])
+    words = np.concatenate([draw.integers(1, 200, 900), [3000]])
+    _, *bag = lda.bag(words, np.concatenate([draw.integers(0, n_slots, n) for n in words]), n_slots)
+    calls, real = [], lda._update
+    monkeypatch.setattr(lda, "_update", lambda *a: calls.append(1) or real(*a))
+    for _, ids, counts in lda._together(*bag, n_slots):
+        lda.settle(lda._beta(table, ids, counts), counts, prior)
+    alone, met = len(calls), []
+    ends = np.cumsum(bag[0])
+    for some, ids, counts, beta, params in lda._settled(bag, table, prior):
+        met += some.tolist()
+        assert beta.shape == (len(some), k, ids.shape[1])
+        for text, at, n, mine in zip(some, ids, counts, params):
+            own = slice(ends[text] - bag[0][text], ends[text])
+            assert (at[at < n_slots] == bag[1][own]).all() and (n[at < n_slots] == bag[2][own]).all() and not n[at == n_slots].any()
+            theta = lda.exp_expected_log(mine)
+            again = theta * (table[:, at] @ (n / (theta @ table[:, at]))) + prior
+            assert np.abs(again - mine).mean() <= 1.1 * lda.SETTLED
+    assert sorted(met) == list(range(len(words)))
+    assert len(calls) - alone < 0.8 * alone
+
+
 def test_each_text_counts_once_in_every_pass(spark):
     """The shares a pass adds up are the words' counts, exactly: no text is drawn twice or left out."""
     docs = [(f"a{i % 7} b{i % 5} b{i % 5} c{i}",) for i in range(300)] + [("",), (None,)]
