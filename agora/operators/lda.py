@@ -28,7 +28,7 @@ SUMS = "part int, sums binary"
 # Words of a block's texts, about; a longer text is a block of its own.
 BLOCK_SLOTS = 1 << 20
 # Places (texts x the longest one's slots) that are updated together.
-TOGETHER = 1 << 18
+TOGETHER = 1 << 17
 # One in so many, the last to settle, are updated with those of other groups.
 LAST = 16
 # Slots of one row of sums.
